@@ -35,6 +35,7 @@ KIND_SCORE = 1    # a whitespace token that may carry valence
 KIND_BANK = 2     # a cleaned token that may be a bank word
 
 _PUNCT = r"^\p{Punct}+|\p{Punct}+$"
+SUM_DECIMALS = 10
 
 
 def sentiment_tokens(body: Column) -> Column:
@@ -234,8 +235,10 @@ def _per_comment(comments: DataFrame, vocab: DataFrame, key: str, body: str,
                  with_bank: bool) -> DataFrame:
     items = _items(comments, key, body, with_bank)
     scored = _valence(_lookup(items, vocab))
+    # The valence sum is rounded before its sign is tested: float addition order differs from
+    # task to task, and an exact-zero sum must not turn into +/-1e-16 and gain the emphasis.
     aggs = [
-        F.sum(F.when(F.col("kind") == KIND_SCORE, F.col("sv"))).alias("_s"),
+        F.round(F.sum(F.when(F.col("kind") == KIND_SCORE, F.col("sv"))), SUM_DECIMALS).alias("_s"),
         F.max("amp").alias("_amp"),
     ]
     if with_bank:

@@ -166,7 +166,7 @@ cte("s_score", ("s_doc", "s_val"), f"""
       round(greatest(least(x / sqrt(x * x + {NORMALIZE_ALPHA}), 1.0), -1.0), 4) AS compound
     FROM (SELECT d.doc_id, d.year_month,
             CASE WHEN s > 0 THEN s + amp WHEN s < 0 THEN s - amp ELSE coalesce(s, 0.0) END AS x
-          FROM s_doc d LEFT JOIN (SELECT doc_id, sum(sv) AS s FROM s_val GROUP BY doc_id) USING (doc_id))""")
+          FROM s_doc d LEFT JOIN (SELECT doc_id, round(sum(sv), 10) AS s FROM s_val GROUP BY doc_id) USING (doc_id))""")
 cte("matched", ("toks", "bank"), "SELECT doc_id, year_month, word FROM toks WHERE word IN (SELECT word FROM bank)")
 cte("sent", ("matched", "s_score"), """
     SELECT m.year_month, m.word, avg(s.compound) AS avg_sentiment,
