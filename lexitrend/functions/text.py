@@ -48,7 +48,7 @@ def ngrams(token_list: Column, n: int) -> Column:
             F.size(t) >= n,
             F.transform(F.sequence(F.lit(1), F.size(t) - (n - 1)),
                         lambda i: F.array_join(F.slice(t, i, n), " ")),
-        )
+        ).when(t.isNotNull(), F.array().cast("array<string>"))
 
     return F.transform(F.array(token_list), grams).getItem(0)
 

@@ -1,8 +1,10 @@
 """Broadcast only what has been measured.
 
-A side is broadcast when its row count, measured with one small job, is under a limit; past it
-the plain frame is returned and Spark plans a shuffle join. The limit is read from the session
-(``lexitrend.broadcast.maxRows``) so a cluster can size it to executor memory.
+A dimension (word bank, lexicon, stopwords) is first materialized with ``checkpoint()`` into the
+session's checkpoint directory, then counted; it is broadcast when the count is under a limit,
+and past it the materialized frame is returned unhinted so Spark plans a shuffle join. The
+checkpoint means the dimension is computed once however many joins use it. The limit is read
+from the session (``lexitrend.broadcast.maxRows``) so a cluster can size it to executor memory.
 """
 
 from __future__ import annotations
@@ -19,8 +21,9 @@ def max_rows(df: DataFrame) -> int:
 
 
 def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``limit`` rows, else ``df`` unchanged."""
+    """Materialized ``df``, broadcast when it has at most ``limit`` rows."""
     limit = max_rows(df) if limit is None else limit
+    df = df.checkpoint(eager=True)
     n = df.count()
     return F.broadcast(df) if n <= limit else df
 

@@ -102,11 +102,11 @@ _ITEM = T.StructType([
     T.StructField("u2", T.BooleanType()),
     T.StructField("w3", T.StringType()),
     T.StructField("u3", T.BooleanType()),
-    T.StructField("kind_of", T.BooleanType()),
+    T.StructField("wn", T.StringType()),
 ])
 
 
-def _null_item(kind: int, word: Column | None) -> Column:
+def _const_item(kind: int, word: Column | None) -> Column:
     return F.struct(
         F.lit(kind).alias("kind"), F.lit(None).cast("int").alias("i"),
         (word if word is not None else F.lit(None).cast("string")).alias("w0"),
@@ -114,44 +114,49 @@ def _null_item(kind: int, word: Column | None) -> Column:
     )
 
 
+def _shifted(arr: str, k: int, n: Column, typ: str) -> Column:
+    """``arr`` moved right by ``k`` places (NULL-padded, same length): element i is arr[i-k]."""
+    pad = F.array_repeat(F.lit(None).cast(typ), F.least(F.lit(k), n))
+    return F.slice(F.concat(pad, F.col(arr)), 1, n)
+
+
 def _items(comments: DataFrame, key: str, body: str, with_bank: bool) -> DataFrame:
-    """Per-comment scalars plus the exploded item stream (see module docstring)."""
+    """Per-comment scalars plus the exploded item stream (see module docstring).
+
+    The context of token i (tokens i-1..i-3 and i+1) comes from shifted copies of the token
+    arrays zipped together (``arrays_zip``, ``slice`` and ``concat`` are code-generated), so
+    each item costs a few array reads and no per-token lambda."""
     b = F.col(body)
     empty = F.array().cast("array<string>")
     docs = comments.select(
         key, "year_month", b.alias("_body"), F.coalesce(sentiment_tokens(b), empty).alias("_toks"))
-    low = F.transform("_toks", F.lower)
     docs = docs.select(
-        key, "year_month", "_body", "_toks", low.alias("_low"),
+        key, "year_month", "_body", "_toks",
+        F.transform("_toks", F.lower).alias("_low"),
+        F.transform("_toks", _is_upper).alias("_up"),
         punctuation_emphasis(F.col("_body")).alias("amp"),
     )
     n = F.size("_toks")
-    n_upper = F.size(F.filter("_toks", _is_upper))
-    docs = docs.select(
-        key, "year_month", "amp", "_body", "_toks", "_low",
+    n_upper = F.size(F.filter("_up", lambda u: u))
+    cols = [
+        key, "year_month", "amp",
         ((n_upper > 0) & (n_upper < n)).alias("cap_diff"),
         F.array_position("_low", "but").cast("int").alias("but_pos"),
-    )
-
-    toks, lows = F.col("_toks"), F.col("_low")
-
-    def score_item(t: Column, i: Column) -> Column:
-        def at(arr: Column, d: int) -> Column:
-            return F.get(arr, i - d)
-        return F.struct(
-            F.lit(KIND_SCORE).alias("kind"), i.alias("i"),
-            F.get(lows, i).alias("w0"), _is_upper(t).alias("u0"),
-            at(lows, 1).alias("w1"), _is_upper(at(toks, 1)).alias("u1"),
-            at(lows, 2).alias("w2"), _is_upper(at(toks, 2)).alias("u2"),
-            at(lows, 3).alias("w3"), _is_upper(at(toks, 3)).alias("u3"),
-            ((F.get(lows, i) == "kind") & F.coalesce(F.get(lows, i + 1) == "of", F.lit(False)))
-            .alias("kind_of"),
-        )
-
-    parts = [F.array(_null_item(KIND_DOC, None)), F.transform(toks, score_item)]
+        F.array_repeat(F.lit(KIND_SCORE), n).alias("kind"),
+        F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>")).alias("i"),
+        F.col("_low").alias("w0"), F.col("_up").alias("u0"),
+        _shifted("_low", 1, n, "string").alias("w1"), _shifted("_up", 1, n, "boolean").alias("u1"),
+        _shifted("_low", 2, n, "string").alias("w2"), _shifted("_up", 2, n, "boolean").alias("u2"),
+        _shifted("_low", 3, n, "string").alias("w3"), _shifted("_up", 3, n, "boolean").alias("u3"),
+        F.slice(F.concat(F.col("_low"), F.array(F.lit(None).cast("string"))), 2, n).alias("wn"),
+    ]
+    if with_bank:
+        cols.append(F.coalesce(tokens(F.col("_body")), empty).alias("_bank"))
+    docs = docs.select(*cols)
+    names = [f.name for f in _ITEM.fields]
+    parts = [F.array(_const_item(KIND_DOC, None)), F.arrays_zip(*names)]
     if with_bank:
-        bank_tokens = F.coalesce(tokens(F.col("_body")), empty)
-        parts.append(F.transform(bank_tokens, lambda w: _null_item(KIND_BANK, w)))
+        parts.append(F.transform("_bank", lambda w: _const_item(KIND_BANK, w)))
     items = docs.select(key, "year_month", "amp", "cap_diff", "but_pos",
                         F.explode(F.concat(*parts)).alias("it"))
     return items.select(key, "year_month", "amp", "cap_diff", "but_pos", "it.*")
@@ -205,10 +210,11 @@ def _lookup(items: DataFrame, vocab: DataFrame) -> DataFrame:
     v0 = vocab.select(F.col("word").alias("w0"), "valence", F.col("booster").alias("boost0"),
                       F.col("in_bank").alias("bank0"))
     out = items.join(v0, "w0", "left")
+    kind_of = (F.col("w0") == "kind") & F.coalesce(F.col("wn") == "of", F.lit(False))
     keep = (
         (F.col("kind") == KIND_DOC)
         | ((F.col("kind") == KIND_SCORE) & F.col("valence").isNotNull() & F.col("boost0").isNull()
-           & ~F.col("kind_of"))
+           & ~kind_of)
         | ((F.col("kind") == KIND_BANK) & F.coalesce(F.col("bank0"), F.lit(False)))
     )
     out = out.filter(keep)

@@ -34,16 +34,18 @@ def bad_words(words: DataFrame, extras: Iterable[str] = BAD_WORD_EXTRAS) -> Data
 
 
 def read_dictionary(spark: SparkSession, path: str, *, drop_malformed: bool = True) -> DataFrame:
-    """Dictionary CSV with a header: ``word, definition, up_votes`` (other columns ignored).
-
-    Quoted fields may span lines. Rows that do not parse are skipped.
-    """
-    return (
+    """Dictionary CSV with a header: ``word, definition, up_votes`` picked by name (other columns
+    are ignored, in any order). Quoted fields may span lines. Lines with the wrong number of
+    fields are skipped; a non-numeric ``up_votes`` becomes NULL (it then ranks last)."""
+    raw = (
         spark.read.option("header", True)
         .option("multiLine", True)
         .option("escape", '"')
         .option("mode", "DROPMALFORMED" if drop_malformed else "PERMISSIVE")
-        .option("enforceSchema", False)
-        .schema(schemas.DICTIONARY)
         .csv(path)
     )
+    return raw.select(
+        F.col("word").cast("string").alias("word"),
+        F.col("definition").cast("string").alias("definition"),
+        F.col("up_votes").try_cast("long").alias("up_votes"),
+    )
