@@ -91,10 +91,9 @@ def vocabulary(lexicon: DataFrame, boosters: DataFrame | None = None,
     )
 
 
-_ITEM = T.StructType([
-    T.StructField("kind", T.IntegerType()),
-    T.StructField("i", T.IntegerType()),
-    T.StructField("w0", T.StringType()),
+# Context of a scored token: caps flag of the token, the lower-cased form and caps flag of the
+# three tokens before it, and the token after it. NULL for the other item kinds.
+_CTX = T.StructType([
     T.StructField("u0", T.BooleanType()),
     T.StructField("w1", T.StringType()),
     T.StructField("u1", T.BooleanType()),
@@ -106,14 +105,6 @@ _ITEM = T.StructType([
 ])
 
 
-def _const_item(kind: int, word: Column | None) -> Column:
-    return F.struct(
-        F.lit(kind).alias("kind"), F.lit(None).cast("int").alias("i"),
-        (word if word is not None else F.lit(None).cast("string")).alias("w0"),
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in _ITEM.fields[3:]],
-    )
-
-
 def _shifted(arr: str, k: int, n: Column, typ: str) -> Column:
     """``arr`` moved right by ``k`` places (NULL-padded, same length): element i is arr[i-k]."""
     pad = F.array_repeat(F.lit(None).cast(typ), F.least(F.lit(k), n))
@@ -123,9 +114,9 @@ def _shifted(arr: str, k: int, n: Column, typ: str) -> Column:
 def _items(comments: DataFrame, key: str, body: str, with_bank: bool) -> DataFrame:
     """Per-comment scalars plus the exploded item stream (see module docstring).
 
-    The context of token i (tokens i-1..i-3 and i+1) comes from shifted copies of the token
-    arrays zipped together (``arrays_zip``, ``slice`` and ``concat`` are code-generated), so
-    each item costs a few array reads and no per-token lambda."""
+    Items are ``(kind, i, w0, ctx)``. The context of token i comes from shifted copies of the
+    token arrays zipped together; ``arrays_zip``, ``array_repeat``, ``slice`` and ``concat`` are
+    code-generated, so building an item costs a few array reads and no per-token lambda."""
     b = F.col(body)
     empty = F.array().cast("array<string>")
     docs = comments.select(
@@ -139,27 +130,49 @@ def _items(comments: DataFrame, key: str, body: str, with_bank: bool) -> DataFra
     n = F.size("_toks")
     n_upper = F.size(F.filter("_up", lambda u: u))
     cols = [
-        key, "year_month", "amp",
+        key, "year_month", "amp", "_low", "_up",
         ((n_upper > 0) & (n_upper < n)).alias("cap_diff"),
         F.array_position("_low", "but").cast("int").alias("but_pos"),
-        F.array_repeat(F.lit(KIND_SCORE), n).alias("kind"),
-        F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>")).alias("i"),
-        F.col("_low").alias("w0"), F.col("_up").alias("u0"),
-        _shifted("_low", 1, n, "string").alias("w1"), _shifted("_up", 1, n, "boolean").alias("u1"),
-        _shifted("_low", 2, n, "string").alias("w2"), _shifted("_up", 2, n, "boolean").alias("u2"),
-        _shifted("_low", 3, n, "string").alias("w3"), _shifted("_up", 3, n, "boolean").alias("u3"),
-        F.slice(F.concat(F.col("_low"), F.array(F.lit(None).cast("string"))), 2, n).alias("wn"),
+        F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>")).alias("_i"),
     ]
     if with_bank:
         cols.append(F.coalesce(tokens(F.col("_body")), empty).alias("_bank"))
     docs = docs.select(*cols)
-    names = [f.name for f in _ITEM.fields]
-    parts = [F.array(_const_item(KIND_DOC, None)), F.arrays_zip(*names)]
+    # the context arrays are as long as the token list
+    n = F.size("_low")
+    docs = docs.select(
+        key, "year_month", "amp", "cap_diff", "but_pos", "_i", "_low",
+        *(["_bank"] if with_bank else []),
+        F.array_repeat(F.lit(KIND_SCORE), n).alias("kind"),
+        F.arrays_zip(
+            F.col("_up").alias("u0"),
+            _shifted("_low", 1, n, "string").alias("w1"), _shifted("_up", 1, n, "boolean").alias("u1"),
+            _shifted("_low", 2, n, "string").alias("w2"), _shifted("_up", 2, n, "boolean").alias("u2"),
+            _shifted("_low", 3, n, "string").alias("w3"), _shifted("_up", 3, n, "boolean").alias("u3"),
+            F.slice(F.concat(F.col("_low"), F.array(F.lit(None).cast("string"))), 2, n).alias("wn"),
+        ).cast(T.ArrayType(_CTX)).alias("ctx"),
+    )
+    score = F.arrays_zip(F.col("kind"), F.col("_i").alias("i"), F.col("_low").alias("w0"), F.col("ctx"))
+    marker = F.array(F.struct(F.lit(KIND_DOC).alias("kind"), F.lit(None).cast("int").alias("i"),
+                              F.lit(None).cast("string").alias("w0"),
+                              F.lit(None).cast(_CTX).alias("ctx")))
+    item_type = T.ArrayType(T.StructType([
+        T.StructField("kind", T.IntegerType()), T.StructField("i", T.IntegerType()),
+        T.StructField("w0", T.StringType()), T.StructField("ctx", _CTX)]))
+    parts = [marker.cast(item_type), score.cast(item_type)]
     if with_bank:
-        parts.append(F.transform("_bank", lambda w: _const_item(KIND_BANK, w)))
+        m = F.size("_bank")
+        bank = F.arrays_zip(
+            F.array_repeat(F.lit(KIND_BANK), m).alias("kind"),
+            F.array_repeat(F.lit(None).cast("int"), m).alias("i"),
+            F.col("_bank").alias("w0"),
+            F.array_repeat(F.lit(None).cast(_CTX), m).alias("ctx"),
+        )
+        parts.append(bank.cast(item_type))
     items = docs.select(key, "year_month", "amp", "cap_diff", "but_pos",
                         F.explode(F.concat(*parts)).alias("it"))
-    return items.select(key, "year_month", "amp", "cap_diff", "but_pos", "it.*")
+    return items.select(key, "year_month", "amp", "cap_diff", "but_pos", "it.kind", "it.i",
+                        "it.w0", "it.ctx.*")
 
 
 def _valence(df: DataFrame) -> DataFrame:

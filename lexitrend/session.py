@@ -20,6 +20,10 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Fall back from whole-stage code generation when a generated method is too large for the
+    # JVM to JIT-compile (8000 bytes of bytecode); the sentiment stage otherwise runs as
+    # interpreted bytecode.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
