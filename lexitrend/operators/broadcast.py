@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 MAX_ROWS_CONF = "lexitrend.broadcast.maxRows"
 DEFAULT_MAX_ROWS = 5_000_000
 
@@ -23,6 +25,7 @@ def max_rows(df: DataFrame) -> int:
 def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
     """Materialized ``df``, broadcast when it has at most ``limit`` rows."""
     limit = max_rows(df) if limit is None else limit
+    ensure_checkpoint_dir(df.sparkSession)
     df = df.checkpoint(eager=True)
     n = df.count()
     return F.broadcast(df) if n <= limit else df

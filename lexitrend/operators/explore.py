@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions import censor, concise_definition, format_count, format_decimal
+from .broadcast import broadcast_if_small
 from .fact import FACT_COLUMNS, missing_months, zero_rows
 
 
@@ -105,8 +106,9 @@ def yearly_words(trends: dict[str, DataFrame], year: int) -> DataFrame:
 def censor_words(df: DataFrame, bad: DataFrame, columns: Iterable[str] = C.YEARLY_WORD_COLUMNS) -> DataFrame:
     """Mask bad words in each word column: first letter, then ``*`` for the rest.
 
-    The bad-word list is a fixed dimension; each column gets one broadcast left join."""
-    bad_set = F.broadcast(bad.select("word").distinct())
+    The bad-word list is a dimension: it is materialized and measured once, then each column
+    gets one broadcast left join (a shuffle join past the size limit)."""
+    bad_set = broadcast_if_small(bad.select("word").distinct())
     out = df
     for c in columns:
         flag = f"_bad_{c}"

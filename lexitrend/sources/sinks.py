@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import zero_padded_month
+from ..session import ensure_checkpoint_dir
 
 
 def write_monthly(df: DataFrame, out: str, month_col: str = "year_month",
@@ -55,5 +56,6 @@ def append_new(new: DataFrame, existing: DataFrame, key: Sequence[str], out: str
 
     The key set is cut from ``out``'s lineage with a checkpoint before the write, so the job
     never reads and writes the same files in one plan."""
+    ensure_checkpoint_dir(new.sparkSession)
     rows = insert_if_absent(new, existing, key).checkpoint(eager=True)
     rows.write.mode("append").option("compression", "snappy").parquet(out)
