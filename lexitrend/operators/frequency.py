@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import ngrams, tokens
-from .broadcast import broadcast_bounded
+from .broadcast import broadcast_bounded, broadcast_if_small
 
 
 def ngram_rows(comments: DataFrame, n: int = 1, body: str = "body") -> DataFrame:
@@ -46,6 +46,27 @@ def monthly_ngrams(comments: DataFrame, n: int = 1, body: str = "body") -> DataF
     return with_frequency(word_counts(comments, n, body))
 
 
+def monthly_ngrams_of(comments: DataFrame, words: DataFrame, n: int = 1,
+                     body: str = "body") -> DataFrame:
+    """:func:`monthly_ngrams` restricted to the n-grams in ``words`` (same counts, same
+    frequencies: the month total still counts every n-gram).
+
+    One tokenising pass: each n-gram is looked up in the (measured, broadcast) word set and any
+    n-gram outside it is counted under a NULL key, so the aggregate holds the wanted words plus
+    one row per month instead of the whole vocabulary. Used where only bank words can survive a
+    later join (the fact table).
+    """
+    wanted = broadcast_if_small(words.select("word").distinct()).withColumn("_hit", F.lit(True))
+    tagged = ngram_rows(comments, n, body).join(wanted, "word", "left").select(
+        "year_month", F.when(F.col("_hit"), F.col("word")).alias("word"))
+    agg = tagged.groupBy("year_month", "word").agg(F.count(F.lit(1)).alias("count"))
+    totals = broadcast_bounded(month_totals(agg))
+    return agg.filter(F.col("word").isNotNull()).join(totals, "year_month").select(
+        "year_month", "word", "count",
+        F.try_divide(F.col("count"), F.col("total")).alias("frequency"),
+    )
+
+
 def top_words(counts: DataFrame, k: int, per_month: bool = True) -> DataFrame:
     """The ``k`` most frequent words (ties by word), per month or overall.
 

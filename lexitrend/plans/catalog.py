@@ -84,8 +84,11 @@ class Inputs:
             TD.negations(self.spark)))
 
     def words(self) -> DataFrame:
+        # Only bank words can survive the join with sentiment, so the counts are restricted to
+        # them (same counts and frequencies as the full monthly table).
         return self._once("words", lambda: self._materialize(
-            FT.words_fact(self.ngrams(1), self.sentiment(), self.stopwords())))
+            FT.words_fact(FQ.monthly_ngrams_of(self.comments(), self.bank()), self.sentiment(),
+                          self.stopwords())))
 
     def rollup(self) -> DataFrame:
         return self._once("rollup", lambda: self._materialize(TR.yearly_rollup(self.words())))
