@@ -53,3 +53,16 @@ def test_censor(spark):
     df = spark.createDataFrame([("rape", True), ("fine", False), ("x", True)], "w string, b boolean")
     got = [r[0] for r in df.select(censor("w", F.col("b"))).collect()]
     assert got == ["r***", "fine", "x"]
+
+
+def test_restricted_counts_equal_full_counts(spark):
+    from lexitrend.operators import frequency as FQ
+    from lexitrend.sources import testdata as TD
+
+    comments = TD.comments(spark, "/root/testdata/sf0.001")
+    words = spark.createDataFrame([("the",), ("die",), ("eran",), ("",), ("nope",)], "word string")
+    full = FQ.monthly_ngrams(comments).join(words, "word", "left_semi")
+    part = FQ.monthly_ngrams_of(comments, words)
+    cols = ["year_month", "word", "count", "frequency"]
+    assert part.count() == full.count() > 0
+    assert part.select(*cols).exceptAll(full.select(*cols)).count() == 0
