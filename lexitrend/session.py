@@ -24,6 +24,11 @@ DEFAULT_CONF = {
     # JVM to JIT-compile (8000 bytes of bytecode); the sentiment stage otherwise runs as
     # interpreted bytecode.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Keep little per-execution history in the driver: the plans here are large, and a long
+    # session (tests, the bench) would otherwise spend its time in garbage collection.
+    "spark.sql.ui.retainedExecutions": "20",
+    "spark.ui.retainedJobs": "50",
+    "spark.ui.retainedStages": "50",
 }
 
 
