@@ -78,10 +78,16 @@ def words_not_found(words: DataFrame, definitions: DataFrame, word_list: str) ->
     return req.join(have, "word", "left_anti")
 
 
-def yearly_words(trends: dict[str, DataFrame], year: int) -> DataFrame:
+def yearly_words(trends: dict[str, DataFrame], year: int,
+                 allowed_years: Iterable[int] | None = None) -> DataFrame:
     """The six yearly tables side by side, joined on ``(year, rank)`` with inner joins, for one
     year. Tied ranks multiply rows and a rank missing from any table drops the row. The year
-    filter is applied to every input before the joins."""
+    filter is applied to every input before the joins.
+
+    ``allowed_years`` restricts the years a caller may ask for (the original read offered
+    ``constants.YEARLY_READ_YEARS``); ``None`` allows any year."""
+    if allowed_years is not None and year not in set(allowed_years):
+        raise ValueError(f"year {year} is not one of {sorted(set(allowed_years))}")
     def pick(name: str, cols: dict[str, str]) -> DataFrame:
         t = trends[name].filter(F.year("year") == year)
         return t.select("year", "rank", *[F.col(src).alias(dst) for src, dst in cols.items()])

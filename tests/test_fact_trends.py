@@ -127,3 +127,10 @@ def test_word_explorer_fills_zero_months(words, spark):
     assert summ["concise_definition"] == "letter a"
     missing = sorted(r[0] for r in X.words_not_found(words, defs, "A, b, zz,").collect())
     assert missing == ["b", "zz"]
+
+
+def test_yearly_words_year_choice():
+    from lexitrend import constants as C
+
+    with pytest.raises(ValueError):
+        X.yearly_words({}, 2010, allowed_years=C.YEARLY_READ_YEARS)
