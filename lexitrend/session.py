@@ -52,7 +52,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint directory, setting a scratch one only when the session has none.
 
-    A cluster names a shared folder in ``spark.checkpoint.dir``; that setting always wins.
+    A cluster names a shared folder in ``spark.checkpoint.dir``; that setting always wins, and a
+    cluster session without it is an error (a machine-local folder would not be shared).
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -61,6 +62,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    else:
+    elif sc.master.startswith("local") and not sc.master.startswith("local-cluster"):
+        # One process holds driver and executors (tests, the bench): a scratch folder is shared.
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="lexitrend-ckpt-", dir=os.environ.get("TMPDIR", "/tmp")))
+    else:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     return sc.getCheckpointDir()
