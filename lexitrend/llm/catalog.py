@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op7_exact_dedup
+from . import op7_exact_dedup, op10_html_extract
 from .common import table
 
 
@@ -14,8 +14,13 @@ def op7_exact_dedup_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op10_html_extract_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_exact_dedup": op7_exact_dedup_q,
+    "op10_html_extract": op10_html_extract_q,
 }
 
 ORACLE_SQL: dict[str, str] = {
