@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
@@ -46,7 +47,7 @@ def slices(column: pa.Array, limit: int = SLICE_CHARS) -> Iterator[tuple[int, in
     n = len(column)
     if n == 0:
         return
-    sizes = np.array(pa.compute.fill_null(pa.compute.binary_length(column), 0), dtype=np.int64)
+    sizes = np.array(pc.fill_null(pc.binary_length(column), 0), dtype=np.int64)
     lo, total = 0, 0
     for i in range(n):
         if i > lo and total + sizes[i] > limit:
