@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op7_exact_dedup, op10_html_extract
+from . import op7_exact_dedup, op8_token_file, op10_html_extract
 from .common import table
 
 
@@ -14,12 +14,24 @@ def op7_exact_dedup_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def tokenizer(name: str) -> str:
+    """Where the installed public tokenizer file lies."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op8_token_file_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8_token_file.round_trip(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), 2)
+
+
 def op10_html_extract_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_html_extract.extract(table(spark, sf_dir, "pages"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_exact_dedup": op7_exact_dedup_q,
+    "op8_token_file": op8_token_file_q,
     "op10_html_extract": op10_html_extract_q,
 }
 

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import functools
+import tempfile
 import uuid
-from collections.abc import Iterator
+import zipfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +45,30 @@ def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once per application (``addPyFile``)."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent.parent
+    target = Path(tempfile.mkdtemp(prefix="lexitrend-py-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f"{root.name}/{f.relative_to(root)}")
+    sc.addPyFile(str(target))
+    _SHIPPED.add(sc.applicationId)
+
+
+def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+              schema: str) -> DataFrame:
+    """``mapInArrow`` with this package on the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
 def slices(column: pa.Array, limit: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
     """Ranges ``(lo, hi)`` of rows with about ``limit`` bytes of text each (one row at least)."""
     n = len(column)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import out_batch, slices, texts_of
+from .common import map_arrow, out_batch, slices, texts_of
 
 # --- fixed values: element and cue lists ----------------------------------------------------
 RAW = {"script", "style", "title", "textarea", "iframe", "noframes", "noembed", "xmp"}
@@ -288,4 +288,4 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
                 yield out_batch(out, {"page_id": ids.slice(lo, hi - lo), "url": urls.slice(lo, hi - lo),
                                       "text": found, "n_chars": [len(t) for t in found]})
 
-    return rows.mapInArrow(run, schema)
+    return map_arrow(rows, run, schema)
