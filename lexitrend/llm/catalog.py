@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op7_exact_dedup, op8_token_file, op10_html_extract
+from . import op6_packing, op7_exact_dedup, op8_token_file, op10_html_extract
 from .common import table
 
 
@@ -21,6 +21,10 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op6_packing_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6_packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), 2)
+
+
 def op8_token_file_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8_token_file.round_trip(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), 2)
 
@@ -31,6 +35,7 @@ def op10_html_extract_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_exact_dedup": op7_exact_dedup_q,
+    "op6_packing": op6_packing_q,
     "op8_token_file": op8_token_file_q,
     "op10_html_extract": op10_html_extract_q,
 }

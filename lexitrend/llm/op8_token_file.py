@@ -86,7 +86,7 @@ def canonical_codes(lengths: np.ndarray) -> np.ndarray:
 
 def encode_block(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[bytes, np.ndarray]:
     """The bit string of ``ids`` and the bit offset of every ``CHECKPOINT``-th code."""
-    size = lengths[ids].astype(np.uint64)
+    size = lengths.astype(np.uint64)[ids]
     end = np.cumsum(size)
     at = end - size
     code, word, room = codes[ids], (at >> np.uint64(6)).astype(np.int64), np.uint64(64) - (at & np.uint64(63))
@@ -136,9 +136,9 @@ def token_rows(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str =
     rows = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).cast("string").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from .tokens import Encoder
+        from .tokens import encoder_of
 
-        encoder, end = Encoder(tokenizer_path), np.array([end_id], "<u4").tobytes()
+        encoder, end = encoder_of(tokenizer_path), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             docs_, texts = batch.column(0), batch.column(1)
             schema = pa.schema([("_doc", docs_.type), ("_n", pa.int64()), ("_crc", pa.int64()),
@@ -159,7 +159,7 @@ def pack(ids: bytes) -> bytes:
 
 
 def unpack(packed: bytes) -> np.ndarray:
-    return np.frombuffer(packed, "<u4" if packed[0] == 4 else "<u2", offset=1).astype(np.int64)
+    return np.frombuffer(packed, "<u4" if packed[0] == 4 else "<u2", offset=1)
 
 
 def id_counts(tokens: DataFrame) -> DataFrame:
@@ -168,8 +168,9 @@ def id_counts(tokens: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for v in batch.column(0).to_pylist():
-                c = np.bincount(unpack(v))
+            held = batch.column(0)
+            for lo, hi in slices(held):
+                c = np.bincount(np.concatenate([unpack(v) for v in held.slice(lo, hi - lo).to_pylist()]))
                 if len(c) > len(total):
                     total = np.concatenate((total, np.zeros(len(c) - len(total), np.int64)))
                 total[: len(c)] += c

@@ -9,6 +9,7 @@ sides, go to the library whole.
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 from itertools import chain
@@ -16,12 +17,18 @@ from itertools import chain
 import numpy as np
 
 #: Pieces whose ids one Python worker keeps; the table is started anew when it is full.
-MAX_PIECES = 800_000
+MAX_PIECES = 1_200_000
 _MARK = "~"
 #: Letters, then a tail from the first of these signs on: both files cut between the two.
 _STEM = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:*$%&#].*)", re.S)
 
 
+@functools.lru_cache(maxsize=2)
+def encoder_of(path: str) -> Encoder:
+    """The encoder of a Python worker: its pieces stay known from task to task."""
+    return Encoder(path)
+
+
 class Encoder:
     """Ids for texts, as little-endian unsigned 32-bit bytes."""
 
