@@ -60,12 +60,13 @@ def price(duals: np.ndarray, capacity: int) -> np.ndarray:
     return pattern
 
 
-def column_generation(demand: np.ndarray, gap: float = 5e-4) -> list[tuple[np.ndarray, float]]:
+def column_generation(demand: np.ndarray, gap: float = 5e-4,
+                      max_rounds: int = 6000) -> list[tuple[np.ndarray, float]]:
     """Patterns and how often each is used (fractional), covering ``demand`` (pieces per size;
     index 0 is size 1, the last index is the capacity) with the fewest sequences.
 
-    A revised simplex method: the basis starts with one pattern per size, the pricing knapsack
-    brings in columns until the bound it gives (total / value of the best pattern) is within
+    A revised simplex method: the basis starts with greedy patterns, each of which uses up one
+    size (so they are independent); the pricing knapsack brings in columns until the bound it gives (total / value of the best pattern) is within
     ``gap`` of the total, or the total is within ``gap`` of the lengths' sum. Pricing with duals
     drawn towards each size's share of a sequence (dual smoothing) keeps the rounds few.
     """
@@ -74,14 +75,23 @@ def column_generation(demand: np.ndarray, gap: float = 5e-4) -> list[tuple[np.nd
     m = len(sizes)
     if not m:
         return []
-    at = {int(s): k for k, s in enumerate(sizes)}
-    basis = np.zeros((m, m))
-    basis[np.arange(m), np.arange(m)] = capacity // sizes
-    inverse = np.diag(1.0 / basis.diagonal())
-    x = inverse @ demand[sizes - 1].astype(float)
+    basis, x, left = np.zeros((m, m)), np.zeros(m), demand[sizes - 1].astype(float)
+    open_sizes = np.ones(m, bool)
+    for _ in range(m):                               # each greedy pattern uses up one size
+        column, room = np.zeros(m), capacity
+        for k in np.flatnonzero(open_sizes)[::-1]:
+            if sizes[k] <= room:
+                column[k] = room // sizes[k]
+                room -= int(column[k]) * int(sizes[k])
+        ratio = np.divide(left, column, out=np.full(m, np.inf), where=column > 0)
+        out = int(ratio.argmin())
+        basis[:, out], x[out] = column, ratio[out]
+        left = np.maximum(left - ratio[out] * column, 0)
+        left[out], open_sizes[out] = 0, False
+    inverse = np.linalg.inv(basis)
     share = sizes / capacity                         # the duals if every sequence were full
     step = 0
-    while x.sum() > (1 + gap) * (share @ demand[sizes - 1]):
+    while step < max_rounds and x.sum() > (1 + gap) * (share @ demand[sizes - 1]):
         step += 1
         duals = inverse.sum(0)                       # all costs are 1
         for weight in (0.8, 0.4, 0.0):               # priced near the full-sequence duals first
