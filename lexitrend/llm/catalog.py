@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op2_toxicity, op5_decontaminate, op6_packing, op7_exact_dedup, op8_token_file, op10_html_extract
+from . import op2_toxicity, op4_quality, op5_decontaminate, op6_packing, op7_exact_dedup, op8_token_file, op10_html_extract
 from .common import table
 
 
@@ -25,6 +25,10 @@ def op2_toxicity_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2_toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_quality_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4_quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_decontaminate_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5_decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -44,6 +48,7 @@ def op10_html_extract_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_exact_dedup": op7_exact_dedup_q,
     "op2_toxicity": op2_toxicity_q,
+    "op4_quality": op4_quality_q,
     "op5_decontaminate": op5_decontaminate_q,
     "op6_packing": op6_packing_q,
     "op8_token_file": op8_token_file_q,

@@ -35,7 +35,7 @@ from .models import MAX_TRAIN_ROWS, fold, labelled_sample, score_all, score_colu
 MAX_WORDS = 1024
 #: Words seen in fewer sample texts, or with a weaker tie to the label, are not used.
 MIN_TEXTS, MIN_TIE = 5, 20.0
-L2 = 1.0
+L2 = 0.2
 COUNTERFACTUAL = 1.0
 HELD_OUT_FOLDS = 5
 
