@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op2_toxicity, op4_quality, op5_decontaminate, op6_packing, op7_exact_dedup, op8_token_file, op10_html_extract
+from . import op1_near_dedup, op2_toxicity, op4_quality, op5_decontaminate, op6_packing, op7_exact_dedup, op8_token_file, op10_html_extract
 from .common import table
 
 
@@ -21,6 +21,10 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_near_dedup_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op1_near_dedup.near_classes(table(spark, sf_dir, "documents"))
+
+
 def op2_toxicity_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2_toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -47,6 +51,7 @@ def op10_html_extract_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_exact_dedup": op7_exact_dedup_q,
+    "op1_near_dedup": op1_near_dedup_q,
     "op2_toxicity": op2_toxicity_q,
     "op4_quality": op4_quality_q,
     "op5_decontaminate": op5_decontaminate_q,
