@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op1_near_dedup, op2_toxicity, op4_quality, op5_decontaminate, op6_packing, op7_exact_dedup, op8_token_file, op10_html_extract
+from . import (
+    op1_near_dedup,
+    op2_toxicity,
+    op3_licenses,
+    op4_quality,
+    op5_decontaminate,
+    op6_packing,
+    op7_exact_dedup,
+    op8_token_file,
+    op9_pii,
+    op10_html_extract,
+)
 from .common import table
 
 
@@ -29,6 +40,10 @@ def op2_toxicity_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2_toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_licenses_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op3_licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -45,6 +60,10 @@ def op8_token_file_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8_token_file.round_trip(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), 2)
 
 
+def op9_pii_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9_pii.find(table(spark, sf_dir, "documents"))
+
+
 def op10_html_extract_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_html_extract.extract(table(spark, sf_dir, "pages"))
 
@@ -53,10 +72,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_exact_dedup": op7_exact_dedup_q,
     "op1_near_dedup": op1_near_dedup_q,
     "op2_toxicity": op2_toxicity_q,
+    "op3_licenses": op3_licenses_q,
     "op4_quality": op4_quality_q,
     "op5_decontaminate": op5_decontaminate_q,
     "op6_packing": op6_packing_q,
     "op8_token_file": op8_token_file_q,
+    "op9_pii": op9_pii_q,
     "op10_html_extract": op10_html_extract_q,
 }
 

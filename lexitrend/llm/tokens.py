@@ -42,6 +42,11 @@ class Encoder:
         self.tails: dict[str, bytes] = {}
         mark = self._ids([" " + _MARK])[0]
         self.mark = mark[0] if len(mark) == 1 else None
+        # Ids that begin a word with its space, or that end a word: where a text of words is cut.
+        names = {i: t for t, i in self.tok.get_vocab().items()}
+        flags = [names.get(i, "") for i in range(max(names, default=0) + 1)]
+        self.ends_word = np.array([t.endswith("</w>") for t in flags])
+        self.begins_word = np.array([t.startswith("\u0120") for t in flags])
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
@@ -56,9 +61,26 @@ class Encoder:
         new_tails = list({t for _, _, t in parts}.difference(tails))
         tails.update(zip(new_tails, self._bytes(new_tails)))
         wanted = wanted.difference(w for w, _, _ in parts).union(s for _, s, _ in parts).difference(pieces)
-        self._learn_whole(list(wanted))
+        stems = [w for w in wanted if w.isalpha()]
+        if not self._learn_words(stems):
+            stems = []
+        self._learn_whole(list(wanted.difference(stems)))
         pieces.update((w, pieces[s] + tails[t]) for w, s, t in parts)
 
+    def _learn_words(self, stems: list[str]) -> bool:
+        """Plain words: all in one text, cut where a word begins or ends."""
+        if not stems:
+            return False
+        ids = np.array(self._ids([" " + " ".join(stems)])[0], "<u4")
+        begin = np.flatnonzero(self.begins_word[ids])
+        if len(begin) != len(stems):
+            begin = np.r_[0, np.flatnonzero(self.ends_word[ids])[:-1] + 1]
+        if len(begin) != len(stems) or begin[0] != 0:
+            return False
+        flat, los = ids.tobytes(), (4 * begin).tolist()
+        self.pieces.update(zip(stems, (flat[lo:hi] for lo, hi in zip(los, los[1:] + [len(flat)]))))
+        return True
+
     def _learn_whole(self, wanted: list[str]) -> None:
         """All in one text with a mark between them, cut at the mark's id."""
         plain = [w for w in wanted if _MARK not in w] if self.mark is not None else []
