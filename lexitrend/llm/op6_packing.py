@@ -60,6 +60,23 @@ def price(duals: np.ndarray, capacity: int) -> np.ndarray:
     return pattern
 
 
+def _inverse(a: np.ndarray) -> np.ndarray:
+    """Gauss-Jordan with row exchanges: plain array operations, so no linear-algebra threads
+    contend with Spark's on the driver's machine."""
+    n = len(a)
+    work = np.concatenate((a, np.eye(n)), axis=1)
+    for k in range(n):
+        p = k + int(np.abs(work[k:, k]).argmax())
+        if p != k:
+            work[[k, p]] = work[[p, k]]
+        work[k] /= work[k, k]
+        rows = np.flatnonzero(work[:, k])
+        rows = rows[rows != k]
+        if len(rows):
+            work[rows] -= work[rows, k][:, None] * work[k]
+    return work[:, n:]
+
+
 def column_generation(demand: np.ndarray, gap: float = 5e-4,
                       max_rounds: int = 6000) -> list[tuple[np.ndarray, float]]:
     """Patterns and how often each is used (fractional), covering ``demand`` (pieces per size;
@@ -88,7 +105,7 @@ def column_generation(demand: np.ndarray, gap: float = 5e-4,
         basis[:, out], x[out] = column, ratio[out]
         left = np.maximum(left - ratio[out] * column, 0)
         left[out], open_sizes[out] = 0, False
-    inverse = np.linalg.inv(basis)
+    inverse = _inverse(basis)
     share = sizes / capacity                         # the duals if every sequence were full
     step = 0
     while step < max_rounds and x.sum() > (1 + gap) * (share @ demand[sizes - 1]):
@@ -118,7 +135,7 @@ def column_generation(demand: np.ndarray, gap: float = 5e-4,
         rest[out] = 0
         inverse -= np.outer(rest, inverse[out])
         if step % 1000 == 0:                         # afresh, against rounding errors
-            inverse = np.linalg.inv(basis)
+            inverse = _inverse(basis)
             x = np.maximum(inverse @ demand[sizes - 1], 0)
     out_patterns = []
     for k in range(m):
