@@ -272,4 +272,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The rows of ``docs`` whose id is kept, with all their columns."""
     kept = near_classes(docs, id_col, text_col, threshold).filter("kept").select(
         F.col(id_col).alias("_keep")).distinct()
-    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("_keep")), "left_semi")
+    return docs.join(kept, docs[id_col].eqNullSafe(kept["_keep"]), "left_semi")

@@ -1,0 +1,48 @@
+"""A small documents table with every odd case, and helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+TOKENIZERS = {"byte": "byte_bpe_50k.json", "word": "word_bpe_49k.json"}
+LONG = "alpha beta gamma delta epsilon zeta eta theta iota kappa. " * 4000
+ROWS = [
+    (1, "The quick brown fox jumps over the lazy dog and runs far away from here today."),
+    (2, "The quick brown fox jumps over the lazy dog and runs far away from here today."),
+    (3, None),
+    (4, ""),
+    (5, LONG),
+    (6, LONG),
+    (6, "the same id again"),
+    (6, "the same id again"),
+    (None, "a row without id"),
+    (None, "a row without id"),
+    (7, "  white \n\n space\t and   ünïcödé 😀 text  "),
+    (8, "one"),
+    (9, "!!! ### ***"),
+    (10, "mail a.b@example.com or call +1 (988) 555-2485, host 10.0.0.1, card 4111 1111 1111 1111"),
+]
+#: Names that operators use inside, as further columns of the input.
+CLASHES = ("_row", "_doc", "_text", "_id", "_label", "_keep", "_class", "_bucket", "_ids", "_recipe", "_n",
+           "score", "predicted", "kind", "start", "value", "kept", "class_id", "item_id", "distance", "u", "v")
+
+
+def documents(spark: SparkSession, clash: bool = True) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame(ROWS, "doc_id long, text string")
+    return df.withColumns({c: F.lit("x") for c in CLASHES}) if clash else df
+
+
+def empty(spark: SparkSession, schema: str = "doc_id long, text string") -> DataFrame:
+    return spark.createDataFrame([], schema)
+
+
+def tokenizer(kind: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZERS[kind])
+
+
+def rows(df: DataFrame) -> list:
+    return df.collect()

@@ -1,0 +1,93 @@
+import numpy as np
+import pytest
+
+from lexitrend.llm import catalog
+from lexitrend.llm import op2_toxicity as toxicity
+from lexitrend.llm import op4_quality as quality
+from lexitrend.llm.common import table
+from tests.llm import edge
+
+SF = "/root/testdata/sf0.01"
+LABELS = [(i, i % 2, i % 2) for i in range(1, 11)] + [(1, 1, 1), (None, 1, 1), (3, None, None)]
+
+
+def labels(spark):
+    return spark.createDataFrame(LABELS, "doc_id long, quality int, toxic int")
+
+
+@pytest.mark.parametrize("name,label,least", [("op2_toxicity", "toxic", 0.93), ("op4_quality", "quality", 0.97)])
+def test_held_out_accuracy(spark, name, label, least):
+    got = catalog.QUERIES[name](spark, SF).join(table(spark, SF, "labels"), "doc_id").filter("held_out").toPandas()
+    assert len(got) > 50
+    assert (got["predicted"] == got[label]).mean() >= least
+    assert got["score"].between(0, 1).all()
+
+
+def test_held_out_folds(spark):
+    import zlib
+
+    a = catalog.QUERIES["op2_toxicity"](spark, SF).toPandas()
+    assert all(h == (zlib.crc32(str(i).encode()) % 5 == 0) for i, h in zip(a["doc_id"], a["held_out"]))
+    b = catalog.QUERIES["op4_quality"](spark, SF).toPandas()
+    assert all(h == (zlib.crc32(str(i).encode()) % 3 == 1) for i, h in zip(b["doc_id"], b["held_out"]))
+
+
+@pytest.mark.parametrize("op", [toxicity, quality])
+def test_edges(spark, op):
+    got = op.score(edge.documents(spark), labels(spark)).collect()
+    assert len(got) == len(edge.ROWS) and all(0 <= r["score"] <= 1 for r in got)
+    assert len({r["score"] for r in got if r["doc_id"] in (3, 4)}) == 1      # null counts as empty
+    assert op.score(edge.empty(spark), labels(spark)).collect() == []
+    none = op.score(edge.documents(spark), edge.empty(spark, "doc_id long, quality int, toxic int")).collect()
+    assert {r["score"] for r in none} == {0.5}
+
+
+def test_labels_of_the_held_out_fold_are_not_learnt(spark):
+    """Turning the labels of held-out rows round changes no score."""
+    from pyspark.sql import functions as F
+
+    docs, lab = table(spark, SF, "documents"), table(spark, SF, "labels")
+    turned = lab.withColumn("toxic", F.when(toxicity.fold("doc_id", 5) == 0, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    a = toxicity.score(docs, lab).orderBy("doc_id").toPandas()["score"].to_numpy()
+    b = toxicity.score(docs, turned).orderBy("doc_id").toPandas()["score"].to_numpy()
+    assert np.allclose(a, b)
+
+
+def test_swapping_identity_terms_hardly_moves_the_score(spark):
+    """Labels that go along with one group's name: the pairing takes the name's weight away."""
+    rows, lab = [], []
+    for i in range(400):
+        bad = i % 4 == 0
+        group = "muslims" if bad or i % 8 == 1 else "christians"
+        rows.append((i, f"we met {group} in town {i % 13}. " + ("they are idiot scum" if bad else "they are kind folk")))
+        lab.append((i, 1, int(bad)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame(lab, "doc_id long, quality int, toxic int"))
+    a, b, c, d = model(["we met muslims", "we met christians", "we met people", "idiot scum"])
+    assert abs(a - c) < 0.02 and abs(b - c) < 0.02 and d > 0.5
+
+
+def test_swaps_are_counted_per_sentence():
+    got = toxicity.swaps("Women and men. Women! Nothing here")
+    assert got["women", "people"] == 2 and got["women", "men"] == 1 and ("men", "women") not in got
+
+
+def test_discriminant_density_matches_the_formula():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(200, 3)) @ np.array([[1, .5, 0], [0, 1, .2], [0, 0, 2]])
+    y = (x[:, 0] + rng.normal(size=200) > 0).astype(int)
+    low, high = quality.fit_pair(x, y, 0.3, 0.1)
+    for k, g in ((0, low), (1, high)):
+        own = np.cov(x[y == k].T, bias=True)
+        pooled = sum(np.cov(x[y == j].T, bias=True) * (y == j).sum() for j in (0, 1)) / len(y)
+        cov = 0.7 * own + 0.3 * pooled
+        cov = 0.9 * cov + 0.1 * np.trace(cov) / 3 * np.eye(3)
+        z = x - x[y == k].mean(0)
+        want = -0.5 * ((z @ np.linalg.inv(cov) * z).sum(1) + np.linalg.slogdet(cov)[1])
+        assert np.allclose(g.log_density(x), want, atol=1e-5)
+
+
+def test_keep_clean_keeps_columns(spark):
+    docs = edge.documents(spark)
+    kept = toxicity.keep_clean(docs, labels(spark))
+    assert kept.columns == docs.columns

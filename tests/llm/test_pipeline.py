@@ -1,0 +1,37 @@
+import corpus_pipeline
+from lexitrend.llm import catalog
+from lexitrend.llm.common import table
+from tests.llm import edge
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_in_order(spark):
+    assert [n for n, _ in corpus_pipeline.STAGES] == [
+        "toxicity", "exact_dedup", "near_dedup", "decontamination", "packing"]
+    docs = table(spark, SF, "documents")
+    columns, ids = docs.columns, {r["doc_id"] for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF).persist()
+        assert docs.columns == columns
+        left = {r["doc_id"] for r in docs.select("doc_id").collect()}
+        assert left <= ids and left
+        ids = left
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    assert {r["doc_id"] for r in packed.select("doc_id").collect()} == ids
+
+
+def test_run_matches_the_single_operators(spark):
+    got = {r["doc_id"] for r in corpus_pipeline.run(spark, SF).select("doc_id").collect()}
+    toxic = {r["doc_id"] for r in catalog.QUERIES["op2_toxicity"](spark, SF).filter("predicted = 1").collect()}
+    docs = {r["doc_id"]: r["text"] for r in table(spark, SF, "documents").collect() if r["doc_id"] not in toxic}
+    last = {t: i for i, t in sorted(docs.items())}
+    assert got <= set(last.values())
+    hits = {r["doc_id"] for r in catalog.QUERIES["op5_decontaminate"](spark, SF).collect()}
+    assert not got & hits
+
+
+def test_stages_take_edges_and_empty_tables(spark):
+    for docs in (edge.documents(spark), edge.documents(spark).limit(0)):
+        for _, stage in corpus_pipeline.STAGES:
+            stage(spark, docs, SF).collect()
