@@ -12,9 +12,10 @@ band share a bucket. Links are found in two rounds, so that a bucket never emits
 
 1. every text is compared with the least text of each of its buckets, and verified links are
    joined to components;
-2. buckets that still hold several components compare across them: members outside the bucket's
-   largest component meet all others, in blocks of bounded size, where signatures discard pairs
-   far below the threshold; the rest is verified too.
+2. components that still share a bucket and hold a pair with an estimate not far below the
+   threshold form a cluster. In each cluster the texts outside its largest component are compared
+   with all texts of other components, in pairs of blocks of bounded size; a task emits a link
+   only if it joins two components, so never all pairs.
 
 Verification computes the exact probability Jaccard of two whole texts. Pairs inside one
 component need no comparison, so no link between classes is lost to the saving. The chance that
@@ -37,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_arrow, mix64, slices, staged, texts_of, word_hashes
@@ -46,9 +47,9 @@ from .components import components
 WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 40, 6
-#: Rows of a block in the second round, and the estimate below which a pair is not verified
-#: (0.8 is more than seven standard errors above it).
-BLOCK, DISCARD = 512, 0.6
+#: Second round: signatures and characters of text of a block, and the estimate from which on two
+#: texts put their components into one cluster (0.8 is five standard errors above it).
+BLOCK, BLOCK_CHARS, DISCARD = 512, 1_000_000, 0.67
 _GOLD = 0x9E3779B97F4A7C15
 _STEP = np.uint64(0xA0761D6478BD642F)
 
@@ -189,45 +190,134 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -
     return map_arrow(both, run, "u long, v long")
 
 
-def _pairs_across(hits: DataFrame, roots: DataFrame, sigs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Candidate pairs between components that share a bucket, estimated at ``DISCARD`` or more."""
-    placed = staged(hits.select("_bucket", "_row").join(
-        roots.select(F.col("node").alias("_row"), "root"), "_row", "left").select(
-        "_bucket", "_row", F.coalesce("root", "_row").alias("_root")), "placed")
-    mixed = placed.groupBy("_bucket").agg(F.min("_root").alias("_a"), F.max("_root").alias("_b")).filter(
-        "_a != _b").select("_bucket")
-    sizes = placed.join(mixed, "_bucket", "left_semi").groupBy("_bucket", "_root").agg(
-        F.count(F.lit(1)).alias("_n"))
-    bulk = sizes.groupBy("_bucket").agg(F.max(F.struct("_n", "_root")).alias("_m"), F.sum("_n").alias("_all")).select(
-        "_bucket", F.col("_m._root").alias("_bulk"),
-        F.ceil((F.col("_all") - F.col("_m._n")) / block).cast("int").alias("_minor_blocks"),
-        F.ceil(F.col("_m._n") / block).cast("int").alias("_bulk_blocks"))
-    minor = F.col("_root") != F.col("_bulk")
+def _dealt(rows: DataFrame, key: str, root: str, blocks: Column) -> DataFrame:
+    """Deal the rows of each ``key`` to pairs of blocks ``(_i, _j)``, so that any two rows of
+    different roots meet. Only rows outside the key's largest root meet each other and all blocks;
+    blocks of the largest root never meet each other, so what is dealt grows with the rows times
+    the few blocks of the others. ``blocks`` says, of an aggregate over a root's rows, how many
+    blocks they fill."""
+    sizes = rows.groupBy(key, root).agg(F.count(F.lit(1)).alias("_n"), blocks.alias("_fill"))
+    bulk = sizes.groupBy(key).agg(F.max(F.struct("_n", root, "_fill")).alias("_m"), F.sum("_fill").alias("_all"),
+                                  F.count(F.lit(1)).alias("_roots")).filter("_roots > 1").select(
+        F.col(key).alias("_key"), F.col(f"_m.{root}").alias("_bulk"),
+        F.ceil(F.col("_all") - F.col("_m._fill")).cast("int").alias("_minor_blocks"),
+        F.ceil("_m._fill").cast("int").alias("_bulk_blocks"))
+    bulk = bulk.withColumns({"_minor_blocks": F.greatest("_minor_blocks", F.lit(1)),
+                             "_bulk_blocks": F.greatest("_bulk_blocks", F.lit(1))})
+    minor = F.col(root) != F.col("_bulk")
     own = F.when(minor, F.pmod(F.xxhash64("_row"), F.col("_minor_blocks"))).otherwise(
         F.col("_minor_blocks") + F.pmod(F.xxhash64("_row"), F.col("_bulk_blocks"))).cast("int")
     last = F.col("_minor_blocks") + F.col("_bulk_blocks") - 1
-    # A minor block meets every block; blocks of the largest component do not meet each other.
-    others = F.when(minor, F.sequence(F.lit(0), last)).otherwise(
-        F.sequence(F.lit(0), F.col("_minor_blocks") - 1))
-    dealt = placed.join(bulk, "_bucket").withColumn("_own", own).withColumn("_other", F.explode(others)).select(
-        "_bucket", "_row", "_root", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"))
-    dealt = dealt.join(sigs.select("_row", "_sig"), "_row")
+    others = F.when(minor, F.sequence(F.lit(0), last)).otherwise(F.sequence(F.lit(0), F.col("_minor_blocks") - 1))
+    return rows.join(bulk, F.col(key) == F.col("_key")).withColumn("_own", own).withColumn(
+        "_other", F.explode(others)).withColumns({"_i": F.least("_own", "_other"), "_j": F.greatest("_own", "_other")}
+                                                 ).drop("_own", "_other", "_key", "_minor_blocks", "_bulk_blocks")
+
+
+class _Union:
+    """Union-find over the roots of one block pair; what it joins is a spanning forest."""
+
+    def __init__(self, n: int):
+        self.up = np.arange(n)
+
+    def of(self, k: int) -> int:
+        while self.up[k] != k:
+            self.up[k] = k = self.up[self.up[k]]
+        return int(k)
+
+    def all(self) -> np.ndarray:
+        while (self.up[self.up] != self.up).any():
+            self.up = self.up[self.up]
+        return self.up
+
+    def join(self, a: int, b: int) -> bool:
+        a, b = self.of(a), self.of(b)
+        if a != b:
+            self.up[max(a, b)] = min(a, b)
+        return a != b
+
+
+_EDGES = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+
+
+def _edges(found: list[tuple[int, int]]) -> pa.Table:
+    return pa.table({"u": pa.array([u for u, _ in found], pa.int64()), "v": pa.array([v for _, v in found], pa.int64())},
+                    schema=_EDGES)
+
+
+def _near_roots(placed: DataFrame, sigs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """``(u, v)``: roots that share a bucket and have a pair of rows there whose estimate is
+    ``DISCARD`` or more; of each block pair no more edges than join its roots."""
+    dealt = _dealt(placed, "_bucket", "_root", F.count(F.lit(1)) / block).join(sigs.select("_row", "_sig"), "_row")
 
     def compare(group: pa.Table) -> pa.Table:
-        row, root = group["_row"].to_numpy(), group["_root"].to_numpy()
-        sig = np.frombuffer(b"".join(group["_sig"].to_pylist()), np.uint8).reshape(len(row), -1)
-        u, v = [], []
-        for k in range(len(row) - 1):
-            other = np.flatnonzero(root[k + 1:] != root[k]) + k + 1
+        names, root = np.unique(group["_root"].to_numpy(), return_inverse=True)
+        sig = np.frombuffer(b"".join(group["_sig"].to_pylist()), np.uint8).reshape(len(root), -1)
+        most = int(np.bincount(root).argmax())
+        union, found = _Union(len(names)), []
+        for k in np.flatnonzero(root != most):
+            other = np.flatnonzero(union.all()[root] != union.of(root[k]))
             near = other[(sig[other] == sig[k]).mean(1) >= DISCARD] if len(other) else other
-            u.append(np.minimum(row[near], row[k]))
-            v.append(np.maximum(row[near], row[k]))
-        flat = [np.concatenate(x) if x else np.empty(0, np.int64) for x in (u, v)]
-        return pa.table({"u": pa.array(flat[0], pa.int64()), "v": pa.array(flat[1], pa.int64())})
+            found += [(int(names[root[k]]), int(names[j])) for j in np.unique(root[near]) if union.join(root[k], j)]
+        return _edges(found)
 
     return dealt.groupBy("_bucket", "_i", "_j").applyInArrow(compare, "u long, v long").distinct()
 
 
+def _exact_links(clusters: DataFrame, threshold: float, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """``(u, v)``: verified links between rows of different roots in one cluster (columns
+    ``_row, _cluster, _root, _text``). Whole texts are compared; rows whose roots a link of the
+    same task has already joined are not compared again, so a task emits a spanning forest."""
+    dealt = _dealt(clusters, "_cluster", "_root", F.sum(F.length("_text") + 50) / block_chars)
+
+    def compare(group: pa.Table) -> pa.Table:
+        row, names = group["_row"].to_numpy(), np.unique(group["_root"].to_numpy())
+        root = np.searchsorted(names, group["_root"].to_numpy())
+        doc, shingle, weight = shingles([t or "" for t in group["_text"].to_pylist()])
+        cut = np.searchsorted(doc, np.arange(len(row) + 1))
+        size = np.diff(cut)
+        element = np.unique(shingle, return_inverse=True)[1]
+        total = np.bincount(doc, weight, len(row))
+        share = weight / total[doc]
+        plain = np.bincount(doc, weight, len(row)) == size      # no shingle occurs twice
+        most = int(np.bincount(root).argmax())
+        union, found = _Union(len(names)), []
+        own = np.zeros(element.max(initial=-1) + 1)
+        for k in np.flatnonzero((root != most) & (size > 0)):
+            mine = slice(cut[k], cut[k + 1])
+            apart = (union.all()[root] != union.of(root[k])) & (size > 0)
+            own[element[mine]] = 1
+            common = np.bincount(doc, own[element], len(row))
+            like = np.where(apart, common / (size + size[k] - common + (size == 0)), 0.0)
+            if not (plain[k] and plain[apart].all()):
+                # Weighted sets: the shares in common bound the similarity; those it lets pass are computed.
+                own[element[mine]] = share[mine]
+                bound = np.bincount(doc, np.minimum(own[element], share), len(row))
+                for j in np.flatnonzero(apart & ~(plain & plain[k])):
+                    theirs = slice(cut[j], cut[j + 1])
+                    like[j] = 0.0 if bound[j] < threshold - 1e-9 else probability_jaccard(
+                        shingle[mine], weight[mine], shingle[theirs], weight[theirs])
+            own[element[mine]] = 0
+            for j in np.flatnonzero(like >= threshold - 1e-9):
+                if union.join(root[k], root[j]):
+                    found.append((int(row[k]), int(row[j])))
+        return _edges(found)
+
+    return dealt.groupBy("_cluster", "_i", "_j").applyInArrow(compare, "u long, v long")
+
+
+def _links_across(hits: DataFrame, roots: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Verified links between components that share a bucket (see the second round above)."""
+    placed = staged(hits.select("_bucket", "_row").join(
+        roots.select(F.col("node").alias("_row"), "root"), "_row", "left").select(
+        "_bucket", "_row", F.coalesce("root", "_row").alias("_root")), "placed")
+    near = components(_near_roots(placed, texts))
+    clusters = placed.select("_row", "_root").distinct().join(
+        near.select(F.col("node").alias("_root"), F.col("root").alias("_cluster")), "_root").join(
+        texts.select("_row", "_text"), "_row")
+    return _exact_links(clusters, threshold)
+
+
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: ``doc_id, class_id, class_size, kept``."""
@@ -254,8 +344,7 @@ def _classed(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> D
     texts = staged(table.select("_row", "_text", "_sig").join(involved, "_row", "left_semi"), "texts")
     links = staged(verified(first, texts, threshold), "links")
     roots = staged(components(links), "roots")
-    across = _pairs_across(hits, roots, texts).join(first, ["u", "v"], "left_anti")
-    more = staged(verified(across, texts, threshold), "more_links")
+    more = staged(_links_across(hits, roots, texts, threshold), "more_links")
     if not more.isEmpty():
         roots = staged(components(links.unionByName(more)), "roots")
     placed = rows.join(roots, F.col("_head") == F.col("node"), "left").select(
