@@ -18,19 +18,12 @@ WHITESPACE_PATTERN = r"\s+"
 YEARLY_MIN_COUNT = 100_000
 # Rows kept per year, by RANK() (ties share a rank, so a year may hold more rows).
 TOP_K = 100
-# Metrics are ranked after rounding to this many decimals, so float-sum order never decides a tie.
-RANK_DECIMALS = 12
+# Float-sum order must not decide a tie: frequency spikes are ranked to this many significant
+# digits of the frequencies they compare, sentiment metrics (range -1 to 1) to these decimals.
+RANK_DIGITS = 11
+SENTIMENT_DECIMALS = 12
 
-# --- Fixed values: sampling ------------------------------------------------------------------
-# Comments per month scored for sentiment; months with fewer comments are kept whole.
-SENTIMENT_SAMPLE_TARGET = 5_000_000
-
-# --- Fixed values: months covered by the original archive (inclusive) ------------------------
-ARCHIVE_FIRST_MONTH = "2007-10-01"
-ARCHIVE_LAST_MONTH = "2015-05-01"
-# The word-read calendar: every first of month in this range (40 months).
-EXPLORER_CALENDAR_START = "2010-01-01"
-EXPLORER_CALENDAR_END = "2013-04-01"
+# --- Fixed values: the yearly read ---------------------------------------------------------
 # Years offered by the yearly read.
 YEARLY_READ_YEARS = (2011, 2012, 2013, 2014)
 
@@ -52,8 +45,6 @@ YEARLY_WORD_COLUMNS = (
 )
 
 # --- Fixed values: lexicon sentiment (published VADER rules, Hutto & Gilbert 2014) ----------
-BOOSTER_INCREMENT = 0.293
-BOOSTER_DECREMENT = -0.293
 CAPS_INCREMENT = 0.733
 NEGATION_SCALAR = -0.74
 NORMALIZE_ALPHA = 15.0

@@ -5,7 +5,6 @@ from .text import (
     censor,
     clean_text,
     concise_definition,
-    count_tokens,
     first_piece,
     format_count,
     format_decimal,
@@ -17,7 +16,7 @@ from .text import (
 )
 
 __all__ = [
-    "censor", "clean_text", "concise_definition", "count_tokens", "first_piece", "format_count",
+    "censor", "clean_text", "concise_definition", "first_piece", "format_count",
     "format_decimal", "is_single_word", "month_from_parts", "month_sequence", "month_start",
     "ngrams", "parse_word_list", "strip_ws", "tokens", "year_start", "zero_padded_month",
 ]

@@ -53,10 +53,6 @@ def ngrams(token_list: Column, n: int) -> Column:
     return F.transform(F.array(token_list), grams).getItem(0)
 
 
-def count_tokens(token_list: Column, n: int = 1) -> Column:
-    """Number of n-grams a token list yields: ``max(size - n + 1, 0)``; NULL list -> 0."""
-    return F.coalesce(F.greatest(F.size(token_list) - (n - 1), F.lit(0)), F.lit(0))
-
 
 def strip_ws(text: Column | str) -> Column:
     """Remove leading and trailing whitespace of any kind (``trim`` removes spaces only)."""

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import is_single_word, strip_ws, tokens
-from .broadcast import broadcast_if_small
+from .broadcast import Dimension, join_dimension
 
 
 def word_bank(source_words: DataFrame, stopwords: DataFrame, column: str = "word") -> DataFrame:
@@ -18,7 +18,7 @@ def word_bank(source_words: DataFrame, stopwords: DataFrame, column: str = "word
         .distinct()
     )
     stop = stopwords.select(F.lower(F.col("word")).alias("word")).distinct()
-    return bank.join(broadcast_if_small(stop), "word", "left_anti")
+    return join_dimension(bank, stop, "word", "left_anti")
 
 
 def definitions(dictionary: DataFrame) -> DataFrame:
@@ -41,18 +41,18 @@ def definitions(dictionary: DataFrame) -> DataFrame:
 def remove_stopwords(df: DataFrame, stopwords: DataFrame, column: str = "word") -> DataFrame:
     """Drop rows whose ``column`` is a stopword (exact match; the list is used as given)."""
     stop = stopwords.select(F.col("word").alias(column)).distinct()
-    return df.join(broadcast_if_small(stop), column, "left_anti")
+    return join_dimension(df, stop, column, "left_anti")
 
 
-def matched_tokens(comments: DataFrame, bank: DataFrame, key: str = "doc_id",
+def matched_tokens(comments: DataFrame, bank: DataFrame | Dimension, key: str = "doc_id",
                    body: str = "body") -> DataFrame:
     """``(doc_id, year_month, word)`` for every token that is a bank word. A word used k times
     in a comment gives k rows (no dedupe)."""
     toks = comments.select(key, "year_month", F.explode(tokens(body)).alias("word"))
-    return toks.join(broadcast_if_small(bank.select("word")), "word", "left_semi")
+    return join_dimension(toks, bank, "word", "left_semi")
 
 
-def matched_comments(comments: DataFrame, bank: DataFrame, key: str = "doc_id",
+def matched_comments(comments: DataFrame, bank: DataFrame | Dimension, key: str = "doc_id",
                      body: str = "body") -> DataFrame:
     """Comments with at least one bank word: ``(doc_id, year_month, n_matched)``.
     A comment's tokens stay in one task, so the partial count is one row per comment."""

@@ -1,34 +1,64 @@
-"""Broadcast only what has been measured.
+"""Joins with dimensions (word bank, lexicon, stopwords): broadcast only what has been measured.
 
-A dimension (word bank, lexicon, stopwords) is first materialized with ``checkpoint()`` into the
-session's checkpoint directory, then counted; it is broadcast when the count is under a limit,
-and past it the materialized frame is returned unhinted so Spark plans a shuffle join. The
-checkpoint means the dimension is computed once however many joins use it. The limit is read
-from the session (``lexitrend.broadcast.maxRows``) so a cluster can size it to executor memory.
+A dimension is materialized once with ``checkpoint()`` into the session's checkpoint directory
+and its bytes are summed. At most ``lexitrend.broadcast.maxBytes`` of it is broadcast; a larger
+one is joined by a shuffle on the key and a salt: each row of the large side takes one of
+``SALTS`` salts by its own hash and the dimension is repeated once per salt, so neither a hot
+word nor the rows with a NULL key become one task's work. Both ways give the same rows.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
-MAX_ROWS_CONF = "lexitrend.broadcast.maxRows"
-DEFAULT_MAX_ROWS = 5_000_000
+MAX_BYTES_CONF = "lexitrend.broadcast.maxBytes"
+DEFAULT_MAX_BYTES = 100 * 1024 * 1024
+SALTS = 16
+_ROW_BYTES = 16
+
 
+@dataclass(frozen=True)
+class Dimension:
+    """A materialized dimension and its size."""
 
-def max_rows(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get(MAX_ROWS_CONF, str(DEFAULT_MAX_ROWS)))
+    df: DataFrame
+    size: int
 
 
-def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
-    """Materialized ``df``, broadcast when it has at most ``limit`` rows."""
-    limit = max_rows(df) if limit is None else limit
+def dimension(df: DataFrame | Dimension) -> Dimension:
+    """Materialize and measure ``df`` (once: a :class:`Dimension` is returned as it is)."""
+    if isinstance(df, Dimension):
+        return df
     ensure_checkpoint_dir(df.sparkSession)
     df = df.checkpoint(eager=True)
-    n = df.count()
-    return F.broadcast(df) if n <= limit else df
+    width = F.lit(_ROW_BYTES + 8 * len(df.columns))
+    for name, kind in df.dtypes:
+        if kind == "string":
+            width = width + F.coalesce(F.octet_length(F.col(name)), F.lit(0))
+    size = df.agg(F.sum(width.cast("long"))).first()[0] or 0
+    return Dimension(df, int(size))
+
+
+def join_dimension(left: DataFrame, dim: DataFrame | Dimension, on: str, how: str) -> DataFrame:
+    """``left`` joined with a dimension on one column (``how``: left, left_semi, left_anti or
+    inner): by broadcast when it is small enough, else by a salted shuffle join."""
+    dim = dimension(dim)
+    columns = left.columns + ([] if how in ("left_semi", "left_anti") else [c for c in dim.df.columns if c != on])
+    limit = int(left.sparkSession.conf.get(MAX_BYTES_CONF, str(DEFAULT_MAX_BYTES)))
+    if dim.size <= limit:
+        return left.join(F.broadcast(dim.df), on, how).select(*columns)
+    salted = dim.df.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    # A NULL key matches nothing; it gets a key of its own so that such rows spread as well.
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(SALTS)).cast("int")
+    spread = left.withColumns({"_salt": salt, "_key": F.coalesce(
+        F.concat(F.lit("="), F.col(on)), F.xxhash64(*[F.col(c) for c in left.columns]).cast("string"))})
+    right = salted.withColumn("_key", F.concat(F.lit("="), F.col(on))).drop(on)
+    return spread.join(right, ["_key", "_salt"], how).select(*columns)
 
 
 def broadcast_bounded(df: DataFrame) -> DataFrame:

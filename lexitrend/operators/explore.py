@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions import censor, concise_definition, format_count, format_decimal
-from .broadcast import broadcast_if_small
-from .fact import FACT_COLUMNS, missing_months, zero_rows
+from .broadcast import Dimension, dimension, join_dimension
+from .fact import FACT_COLUMNS, missing_months, month_grid, zero_rows
 
 
 def parse_words(text: str) -> list[str]:
@@ -29,14 +29,16 @@ def _wanted(spark, words: Iterable[str]) -> DataFrame:
 
 
 def word_explorer(words: DataFrame, definitions: DataFrame, word_list: str,
-                  start=C.EXPLORER_CALENDAR_START, end=C.EXPLORER_CALENDAR_END) -> DataFrame:
+                  start=None, end=None) -> DataFrame:
     """Monthly series of each requested word that has both facts and a definition: its fact
     rows (NULL stddev -> 0.0) plus a zero row for every calendar month it lacks, ordered by
-    word and month.
+    word and month. Without ``start`` and ``end`` the calendar runs from the first to the last
+    month of ``words``.
 
-    The word filter is an ``IN`` list, so it reaches the Parquet scan; the rest works on the
-    requested words only.
+    The word filter is an ``IN`` list, so it reaches the Parquet scan, where files sorted by word
+    let it skip row groups; the rest works on the requested words only.
     """
+    start, end = month_grid(words, start, end)
     wanted = parse_words(word_list)
     facts = words.filter(F.col("word").isin(wanted)).select(*FACT_COLUMNS)
     defs = definitions.filter(F.col("word").isin(wanted)).select("word")
@@ -78,6 +80,22 @@ def words_not_found(words: DataFrame, definitions: DataFrame, word_list: str) ->
     return req.join(have, "word", "left_anti")
 
 
+# word column of the yearly read -> (yearly table, its metric, score column of the read)
+YEARLY_READ = {
+    "neg_word": ("negative_sentiment_spikes", "sentiment_spike_year", "negative_sentiment_spike"),
+    "pos_word": ("positive_sentiment_spikes", "sentiment_spike_year", "positive_sentiment_spike"),
+    "top_spike": ("top_frequency_spikes", "frequency_spike", "top_frequency_spike"),
+    "top_sentiment_word": ("top_sentiment", "avg_sentiment", "top_sentiment"),
+    "bottom_sentiment_word": ("bottom_sentiment", "avg_sentiment", "bottom_sentiment"),
+    "bottom_spike": ("bottom_frequency_spikes", "frequency_spike", "bottom_frequency_spike"),
+}
+
+
+def ordered(table: DataFrame) -> DataFrame:
+    """A yearly table as it is read: by year, rank, then word."""
+    return table.orderBy("year", "rank", "word")
+
+
 def yearly_words(trends: dict[str, DataFrame], year: int,
                  allowed_years: Iterable[int] | None = None) -> DataFrame:
     """The six yearly tables side by side, joined on ``(year, rank)`` with inner joins, for one
@@ -88,61 +106,39 @@ def yearly_words(trends: dict[str, DataFrame], year: int,
     ``constants.YEARLY_READ_YEARS``); ``None`` allows any year."""
     if allowed_years is not None and year not in set(allowed_years):
         raise ValueError(f"year {year} is not one of {sorted(set(allowed_years))}")
-    def pick(name: str, cols: dict[str, str]) -> DataFrame:
-        t = trends[name].filter(F.year("year") == year)
-        return t.select("year", "rank", *[F.col(src).alias(dst) for src, dst in cols.items()])
-
-    n = pick("negative_sentiment_spikes", {"word": "neg_word", "sentiment_spike_year": "negative_sentiment_spike"})
-    p = pick("positive_sentiment_spikes", {"word": "pos_word", "sentiment_spike_year": "positive_sentiment_spike"})
-    tw = pick("top_frequency_spikes", {"word": "top_spike", "frequency_spike": "top_frequency_spike"})
-    ts = pick("top_sentiment", {"word": "top_sentiment_word", "avg_sentiment": "top_sentiment"})
-    bs = pick("bottom_sentiment", {"word": "bottom_sentiment_word", "avg_sentiment": "bottom_sentiment"})
-    bw = pick("bottom_frequency_spikes", {"word": "bottom_spike", "frequency_spike": "bottom_frequency_spike"})
-    out = n
-    for t in (p, tw, ts, bs, bw):
-        out = out.join(t, ["year", "rank"], "inner")
-    return out.select(
-        "year", "neg_word", "negative_sentiment_spike", "pos_word", "positive_sentiment_spike",
-        "top_spike", "top_frequency_spike", "top_sentiment_word", "top_sentiment",
-        "bottom_sentiment_word", "bottom_sentiment", "bottom_spike", "bottom_frequency_spike",
-        "rank",
-    )
+    out = None
+    for word_col, (table, metric, score_col) in YEARLY_READ.items():
+        t = trends[table].filter(F.year("year") == year).select(
+            "year", "rank", F.col("word").alias(word_col), F.col(metric).alias(score_col))
+        out = t if out is None else out.join(t, ["year", "rank"])
+    return out.select("year", *[c for w, (_, _, s) in YEARLY_READ.items() for c in (w, s)], "rank")
 
 
 def censor_words(df: DataFrame, bad: DataFrame, columns: Iterable[str] = C.YEARLY_WORD_COLUMNS) -> DataFrame:
     """Mask bad words in each word column: first letter, then ``*`` for the rest.
 
     The bad-word list is a dimension: it is materialized and measured once, then each column
-    gets one broadcast left join (a shuffle join past the size limit)."""
-    bad_set = broadcast_if_small(bad.select("word").distinct())
+    gets one left join with it."""
+    bad_set = dimension(bad.select("word").distinct())
     out = df
     for c in columns:
         flag = f"_bad_{c}"
-        out = out.join(bad_set.select(F.col("word").alias(c), F.lit(True).alias(flag)), c, "left")
+        out = join_dimension(out, Dimension(bad_set.df.select(
+            F.col("word").alias(c), F.lit(True).alias(flag)), bad_set.size), c, "left")
         out = out.withColumn(c, censor(c, F.coalesce(F.col(flag), F.lit(False)))).drop(flag)
     return out.select(*df.columns)
 
 
-# (chart, word column, score column, highest first)
-CHARTS = (
-    ("top_frequency_spike", "top_spike", "top_frequency_spike", True),
-    ("bottom_frequency_spike", "bottom_spike", "bottom_frequency_spike", False),
-    ("positive_sentiment_spike", "pos_word", "positive_sentiment_spike", True),
-    ("top_sentiment", "top_sentiment_word", "top_sentiment", True),
-    ("negative_sentiment_spike", "neg_word", "negative_sentiment_spike", False),
-    ("bottom_sentiment", "bottom_sentiment_word", "bottom_sentiment", False),
-)
-
-
-def trend_top10(yearly: DataFrame, k: int = 10) -> DataFrame:
-    """For each of the six charts, the ``k`` best ``(word, score)`` pairs of the yearly read
-    (ties by word), stacked as ``(chart, position, word, score)``."""
-    parts = []
-    for chart, wcol, scol, desc in CHARTS:
-        top = yearly.select(F.col(wcol).alias("word"), F.col(scol).alias("score")).orderBy(
-            *[F.col("score").desc() if desc else F.col("score").asc(), F.col("word").asc()]).limit(k)
-        parts.append(top.select(F.lit(chart).alias("chart"), "word", "score"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def trend_top10(trends: dict[str, DataFrame], year: int, k: int = 10) -> DataFrame:
+    """For each of the six charts (one per yearly table), the ``k`` best words of a year as
+    ``(chart, position, word, score)``: by rank, ties by word. Each chart comes from its own
+    table, so tied ranks show different words; one window ranks all six."""
+    stacked = None
+    for table, metric, chart in YEARLY_READ.values():
+        t = trends[table].filter(F.year("year") == year).select(
+            F.lit(chart).alias("chart"), "word", F.col(metric).alias("score"),
+            F.col("rank").alias("_order"))
+        stacked = t if stacked is None else stacked.unionByName(t)
+    best = Window.partitionBy("chart").orderBy("_order", "word")
+    return stacked.withColumn("position", F.row_number().over(best).cast("long")).filter(
+        F.col("position") <= k).select("chart", "position", "word", "score")

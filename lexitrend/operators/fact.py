@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,10 +32,10 @@ def key_duplicates(words: DataFrame) -> DataFrame:
     return dup.agg(F.count(F.lit(1)).alias("duplicate_keys"))
 
 
-def append_new_words(new: DataFrame, existing: DataFrame) -> DataFrame:
-    """Rows of ``new`` whose ``(word, year_month)`` is not in ``existing``; a re-run of a month
-    that is already loaded adds nothing, and other months still go in."""
-    return new.join(existing.select(*WORDS_KEY).distinct(), list(WORDS_KEY), "left_anti")
+def append_new_words(new: DataFrame, existing: DataFrame, key: Sequence[str] = WORDS_KEY) -> DataFrame:
+    """Rows of ``new`` whose key is not in ``existing``, one per key (of several in ``new`` any
+    one); a re-run of a month that is already loaded adds nothing, and other months still go in."""
+    return new.dropDuplicates(list(key)).join(existing.select(*key).distinct(), list(key), "left_anti")
 
 
 def distinct_words(words: DataFrame) -> DataFrame:
@@ -54,6 +55,14 @@ def calendar(spark, start, end) -> DataFrame:
         .alias("year_month"))
 
 
+def month_grid(words: DataFrame, start=None, end=None) -> tuple[dt.date, dt.date]:
+    """The calendar of a fact table: its first and last month unless given."""
+    if start is None or end is None:
+        first, last = calendar_bounds(words)
+        return start or first, end or last
+    return start, end
+
+
 def missing_months(words: DataFrame, start, end) -> DataFrame:
     """``(word, year_month)`` for every calendar month a word has no row for.
 
@@ -61,6 +70,8 @@ def missing_months(words: DataFrame, start, end) -> DataFrame:
     distinct month, so a group is bounded by the calendar however many rows the word has (and
     the set is built partially per task). The gap list is then ``array_except`` in-row.
     """
+    if start is None or end is None:  # an empty table has no calendar and no gaps
+        return words.select("word", "year_month").limit(0)
     months = month_sequence(F.to_date(F.lit(str(start))), F.to_date(F.lit(str(end))))
     present = words.groupBy("word").agg(F.collect_set("year_month").alias("_have"))
     return present.select("word", F.explode(F.array_except(months, F.col("_have"))).alias("year_month"))
@@ -74,6 +85,8 @@ def zero_rows(missing: DataFrame) -> DataFrame:
     )
 
 
-def densify(words: DataFrame, start, end) -> DataFrame:
-    """Fact table plus a zero row for every (word, calendar month) it lacks: words x months."""
+def densify(words: DataFrame, start=None, end=None) -> DataFrame:
+    """Fact table plus a zero row for every (word, calendar month) it lacks: words x months. The
+    calendar runs from the table's first to its last month unless bounds are given."""
+    start, end = month_grid(words, start, end)
     return words.select(*FACT_COLUMNS).unionByName(zero_rows(missing_months(words, start, end)))

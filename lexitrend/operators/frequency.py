@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import ngrams, tokens
-from .broadcast import broadcast_bounded, broadcast_if_small
+from .broadcast import Dimension, broadcast_bounded, dimension, join_dimension
 
 
 def ngram_rows(comments: DataFrame, n: int = 1, body: str = "body") -> DataFrame:
@@ -46,7 +46,7 @@ def monthly_ngrams(comments: DataFrame, n: int = 1, body: str = "body") -> DataF
     return with_frequency(word_counts(comments, n, body))
 
 
-def monthly_ngrams_of(comments: DataFrame, words: DataFrame, n: int = 1,
+def monthly_ngrams_of(comments: DataFrame, words: DataFrame | Dimension, n: int = 1,
                      body: str = "body") -> DataFrame:
     """:func:`monthly_ngrams` restricted to the n-grams in ``words`` (same counts, same
     frequencies: the month total still counts every n-gram).
@@ -56,8 +56,9 @@ def monthly_ngrams_of(comments: DataFrame, words: DataFrame, n: int = 1,
     one row per month instead of the whole vocabulary. Used where only bank words can survive a
     later join (the fact table).
     """
-    wanted = broadcast_if_small(words.select("word").distinct()).withColumn("_hit", F.lit(True))
-    tagged = ngram_rows(comments, n, body).join(wanted, "word", "left").select(
+    words = dimension(words if isinstance(words, Dimension) else words.select("word").distinct())
+    wanted = Dimension(words.df.withColumn("_hit", F.lit(True)), words.size)
+    tagged = join_dimension(ngram_rows(comments, n, body), wanted, "word", "left").select(
         "year_month", F.when(F.col("_hit"), F.col("word")).alias("word"))
     agg = tagged.groupBy("year_month", "word").agg(F.count(F.lit(1)).alias("count"))
     totals = broadcast_bounded(month_totals(agg))

@@ -4,30 +4,30 @@ Lexicon scoring follows the published VADER rules (Hutto & Gilbert, ICWSM 2014):
 valence per token; boosters and negations among the three tokens before it; all-caps emphasis;
 ``but`` weighting; ``!``/``?`` emphasis; ``compound = s / sqrt(s^2 + 15)`` rounded to 4
 places. The lexicon, boosters and negations are inputs (DataFrames), not bundled data.
-Idiom phrases are not applied.
+Idiom phrases are applied when given. ``drop_single_chars`` leaves one-character tokens out
+before distances are counted, as some published scorers do.
 
 Plan shape, and why
 -------------------
-A comment is one row. Its whitespace tokens are turned, in-row, into one *item* per token that
-carries the token and the lower-cased form and caps flag of the three tokens before it. Items
-are exploded and looked up in one broadcast vocabulary (four hash probes per scored token, no
-shuffle). Everything a comment needs (valence sum, emphasis, its bank words) is then gathered by
-``groupBy(doc_id)``. A comment's items are produced in one task, so the partial aggregate leaves
-one row per comment: the only shuffle before the final ``(year_month, word)`` aggregate carries
-comments, never tokens. No window over tokens and no Python runs in the plan.
+A comment is one row and gets a row id of its own, so comment keys may repeat or be NULL. Its
+whitespace tokens are exploded as ``(i, token, caps flag)`` and looked up once in one vocabulary
+(lexicon, boosters, negations, the words the rules name, bank words). Only hits go on: tokens of
+the vocabulary, tokens with ``n't``, and one marker per comment. They are shuffled by row id once,
+and a window over a comment's hits in order of place gives each scored token the hits one to three
+places before it and after it; a place that holds no hit cannot change a score. The valence sum
+per comment then needs no further shuffle. No Python runs in the plan.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import constants as C
 from ..functions import tokens
-from .broadcast import broadcast_bounded, broadcast_if_small
+from .broadcast import Dimension, broadcast_bounded, dimension, join_dimension
 
 # Item kinds inside the per-comment stream.
 KIND_DOC = 0      # one per comment, so comments without hits still get a score
@@ -36,9 +36,13 @@ KIND_BANK = 2     # a cleaned token that may be a bank word
 
 _PUNCT = r"^\p{Punct}+|\p{Punct}+$"
 SUM_DECIMALS = 10
+# Words the rules name; they are hits whether or not the lists hold them.
+RULE_WORDS = ("but", "never", "so", "this", "least", "at", "very", "without", "doubt", "kind", "of")
+# Idiom phrases are put into the plan as a literal; a longer list is an error.
+MAX_IDIOMS = 1000
 
 
-def sentiment_tokens(body: Column) -> Column:
+def sentiment_tokens(body: Column, drop_single_chars: bool = False) -> Column:
     """Whitespace tokens of the raw body; outer ASCII punctuation is stripped unless that would
     leave two characters or fewer (so ``:)`` and ``:(`` stay whole)."""
     raw = F.filter(F.split(body, r"\s+"), lambda t: t != "")
@@ -47,7 +51,8 @@ def sentiment_tokens(body: Column) -> Column:
         s = F.regexp_replace(t, _PUNCT, "")
         return F.when(F.length(s) <= 2, t).otherwise(s)
 
-    return F.transform(raw, strip)
+    stripped = F.transform(raw, strip)
+    return F.filter(stripped, lambda t: F.length(t) > 1) if drop_single_chars else stripped
 
 
 def _is_upper(t: Column) -> Column:
@@ -67,178 +72,141 @@ def punctuation_emphasis(body: Column) -> Column:
 
 
 def vocabulary(lexicon: DataFrame, boosters: DataFrame | None = None,
-               negations: DataFrame | None = None, bank: DataFrame | None = None) -> DataFrame:
+               negations: DataFrame | None = None, bank: DataFrame | Dimension | None = None,
+               rule_words: tuple[str, ...] = RULE_WORDS) -> DataFrame:
     """One lookup table keyed by lower-case ``word``: ``valence`` (lexicon), ``booster`` (scalar),
-    ``negate`` and ``in_bank`` flags. Duplicate lexicon or booster entries keep the largest value."""
+    ``negate``, ``scored`` (any role in scoring) and ``in_bank`` flags. Duplicate lexicon or
+    booster entries keep the largest value. Words are put together by one aggregate."""
     spark = lexicon.sparkSession
-    lex = lexicon.groupBy(F.lower("word").alias("word")).agg(F.max("valence").alias("valence"))
-    if boosters is None:
-        boosters = spark.createDataFrame([], "word string, scalar double")
-    boo = boosters.groupBy(F.lower("word").alias("word")).agg(F.max("scalar").alias("booster"))
-    if negations is None:
-        negations = spark.createDataFrame([], "word string")
-    neg = negations.select(F.lower("word").alias("word")).distinct().withColumn("negate", F.lit(True))
-    vocab = lex.join(boo, "word", "full").join(neg, "word", "full")
-    if bank is not None:
-        b = bank.select("word").distinct().withColumn("in_bank", F.lit(True))
-        vocab = vocab.join(b, "word", "full")
-    else:
-        vocab = vocab.withColumn("in_bank", F.lit(None).cast("boolean"))
-    return vocab.select(
-        "word", "valence", "booster",
-        F.coalesce("negate", F.lit(False)).alias("negate"),
-        F.coalesce("in_bank", F.lit(False)).alias("in_bank"),
-    )
-
-
-# Context of a scored token: caps flag of the token, the lower-cased form and caps flag of the
-# three tokens before it, and the token after it. NULL for the other item kinds.
-_CTX = T.StructType([
-    T.StructField("u0", T.BooleanType()),
-    T.StructField("w1", T.StringType()),
-    T.StructField("u1", T.BooleanType()),
-    T.StructField("w2", T.StringType()),
-    T.StructField("u2", T.BooleanType()),
-    T.StructField("w3", T.StringType()),
-    T.StructField("u3", T.BooleanType()),
-    T.StructField("wn", T.StringType()),
-])
-
-
-def _shifted(arr: str, k: int, n: Column, typ: str) -> Column:
-    """``arr`` moved right by ``k`` places (NULL-padded, same length): element i is arr[i-k]."""
-    pad = F.array_repeat(F.lit(None).cast(typ), F.least(F.lit(k), n))
-    return F.slice(F.concat(pad, F.col(arr)), 1, n)
 
+    def role(df: DataFrame, valence="null", booster="null", negate="false", scored="true", in_bank="false") -> DataFrame:
+        return df.select("word", *[F.expr(x).cast(t).alias(n) for x, t, n in (
+            (valence, "double", "valence"), (booster, "double", "booster"), (negate, "boolean", "negate"),
+            (scored, "boolean", "scored"), (in_bank, "boolean", "in_bank"))])
+
+    rows = role(lexicon.withColumn("word", F.lower("word")), valence="valence")
+    rows = rows.unionByName(role(spark.createDataFrame([(w,) for w in rule_words], "word string")))
+    if boosters is not None:
+        rows = rows.unionByName(role(boosters.withColumn("word", F.lower("word")), booster="scalar"))
+    if negations is not None:
+        rows = rows.unionByName(role(negations.withColumn("word", F.lower("word")), negate="true"))
+    if bank is not None:
+        bank = bank.df if isinstance(bank, Dimension) else bank
+        rows = rows.unionByName(role(bank, scored="false", in_bank="true"))
+    return rows.filter("word is not null").groupBy("word").agg(
+        F.max("valence").alias("valence"), F.max("booster").alias("booster"), F.max("negate").alias("negate"),
+        F.max("scored").alias("scored"), F.max("in_bank").alias("in_bank"))
 
-def _items(comments: DataFrame, key: str, body: str, with_bank: bool) -> DataFrame:
-    """Per-comment scalars plus the exploded item stream (see module docstring).
 
-    Items are ``(kind, i, w0, ctx)``. The context of token i comes from shifted copies of the
-    token arrays zipped together; ``arrays_zip``, ``array_repeat``, ``slice`` and ``concat`` are
-    code-generated, so building an item costs a few array reads and no per-token lambda."""
+def _hits(comments: DataFrame, vocab: DataFrame | Dimension, key: str, body: str, with_bank: bool,
+          drop_single_chars: bool) -> DataFrame:
+    """``_rid, kind, i, w, u`` and vocabulary columns of the hits; the marker row of a comment
+    (kind 0) carries ``meta`` (key, month, emphasis), score rows carry ``cap_diff``."""
     b = F.col(body)
     empty = F.array().cast("array<string>")
     docs = comments.select(
-        key, "year_month", b.alias("_body"), F.coalesce(sentiment_tokens(b), empty).alias("_toks"))
-    docs = docs.select(
-        key, "year_month", "_body", "_toks",
-        F.transform("_toks", F.lower).alias("_low"),
-        F.transform("_toks", _is_upper).alias("_up"),
-        punctuation_emphasis(F.col("_body")).alias("amp"),
-    )
-    n = F.size("_toks")
-    n_upper = F.size(F.filter("_up", lambda u: u))
-    cols = [
-        key, "year_month", "amp", "_low", "_up",
-        ((n_upper > 0) & (n_upper < n)).alias("cap_diff"),
-        F.array_position("_low", "but").cast("int").alias("but_pos"),
-        F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>")).alias("_i"),
-    ]
-    if with_bank:
-        cols.append(F.coalesce(tokens(F.col("_body")), empty).alias("_bank"))
-    docs = docs.select(*cols)
-    # the context arrays are as long as the token list
-    n = F.size("_low")
-    docs = docs.select(
-        key, "year_month", "amp", "cap_diff", "but_pos", "_i", "_low",
-        *(["_bank"] if with_bank else []),
-        F.array_repeat(F.lit(KIND_SCORE), n).alias("kind"),
-        F.arrays_zip(
-            F.col("_up").alias("u0"),
-            _shifted("_low", 1, n, "string").alias("w1"), _shifted("_up", 1, n, "boolean").alias("u1"),
-            _shifted("_low", 2, n, "string").alias("w2"), _shifted("_up", 2, n, "boolean").alias("u2"),
-            _shifted("_low", 3, n, "string").alias("w3"), _shifted("_up", 3, n, "boolean").alias("u3"),
-            F.slice(F.concat(F.col("_low"), F.array(F.lit(None).cast("string"))), 2, n).alias("wn"),
-        ).cast(T.ArrayType(_CTX)).alias("ctx"),
-    )
-    score = F.arrays_zip(F.col("kind"), F.col("_i").alias("i"), F.col("_low").alias("w0"), F.col("ctx"))
-    marker = F.array(F.struct(F.lit(KIND_DOC).alias("kind"), F.lit(None).cast("int").alias("i"),
-                              F.lit(None).cast("string").alias("w0"),
-                              F.lit(None).cast(_CTX).alias("ctx")))
-    item_type = T.ArrayType(T.StructType([
-        T.StructField("kind", T.IntegerType()), T.StructField("i", T.IntegerType()),
-        T.StructField("w0", T.StringType()), T.StructField("ctx", _CTX)]))
-    parts = [marker.cast(item_type), score.cast(item_type)]
-    if with_bank:
-        m = F.size("_bank")
-        bank = F.arrays_zip(
-            F.array_repeat(F.lit(KIND_BANK), m).alias("kind"),
-            F.array_repeat(F.lit(None).cast("int"), m).alias("i"),
-            F.col("_bank").alias("w0"),
-            F.array_repeat(F.lit(None).cast(_CTX), m).alias("ctx"),
-        )
-        parts.append(bank.cast(item_type))
-    items = docs.select(key, "year_month", "amp", "cap_diff", "but_pos",
-                        F.explode(F.concat(*parts)).alias("it"))
-    return items.select(key, "year_month", "amp", "cap_diff", "but_pos", "it.kind", "it.i",
-                        "it.w0", "it.ctx.*")
-
-
-def _valence(df: DataFrame) -> DataFrame:
-    """Valence of each scored token after caps, boosters, negation, ``least`` and ``but``."""
-    v = F.col("v")
+        F.monotonically_increasing_id().alias("_rid"), F.col(key).alias("_key"), "year_month",
+        punctuation_emphasis(b).alias("_amp"),
+        F.coalesce(sentiment_tokens(b, drop_single_chars), empty).alias("_toks"),
+        (F.coalesce(tokens(b), empty) if with_bank else empty).alias("_bank"))
+    docs = docs.select("_rid", F.struct(F.col("_key").alias("key"), "year_month", F.col("_amp").alias("amp"),
+                                        F.size("_bank").cast("long").alias("n_tokens")).alias("_meta"), "_bank", F.transform("_toks", F.lower).alias("_low"),
+                       F.transform("_toks", _is_upper).alias("_up"))
+    n, n_upper = F.size("_up"), F.size(F.filter("_up", lambda u: u))
+    m = F.size("_bank")
+    kinds = F.concat(F.array(F.lit(KIND_DOC)), F.array_repeat(F.lit(KIND_SCORE), n), F.array_repeat(F.lit(KIND_BANK), m))
+    # The marker's word holds its row id: it matches nothing and has a join key of its own.
+    marker = F.array(F.concat(F.lit("\u0000"), F.col("_rid").cast("string")))
+    docs = docs.withColumn("_cap", (n_upper > 0) & (n_upper < n))
+    rows = docs.select("_rid", "_meta", "_cap", F.posexplode(F.arrays_zip(
+        kinds.alias("kind"), F.concat(marker, F.col("_low"), F.col("_bank")).alias("word"),
+        F.concat(F.array(F.lit(False)), F.col("_up")).alias("u"))).alias("i", "it")).select(
+        "_rid", "it.kind", F.col("i").alias("i"), "it.word", "it.u", F.col("_cap").alias("cap_diff"),
+        F.when(F.col("i") == 0, F.col("_meta")).alias("meta"))
+    found = join_dimension(rows, vocab, "word", "left")
+    scored = (F.col("kind") == KIND_SCORE) & (F.coalesce("scored", F.lit(False)) | F.col("word").contains("n't"))
+    in_bank = (F.col("kind") == KIND_BANK) & F.coalesce("in_bank", F.lit(False))
+    return found.filter((F.col("kind") == KIND_DOC) | scored | in_bank)
+
+
+def _with_context(hits: DataFrame) -> DataFrame:
+    """Add, to every hit, its place from 0 and the hits up to three places before and two after."""
+    order = Window.partitionBy("_rid").orderBy("i")
+    own = F.struct(
+        F.col("i"), F.col("word").alias("w"), F.col("u"), F.col("valence").isNotNull().alias("lex"),
+        F.col("booster").alias("boost"),
+        (F.coalesce("negate", F.lit(False)) | F.col("word").contains("n't")).alias("neg"))
+    hits = hits.withColumn("_own", F.when(F.col("kind") == KIND_SCORE, own))
+    near = {**{f"_l{k}": F.lag("_own", k).over(order) for k in (1, 2, 3)},
+            **{f"_r{k}": F.lead("_own", k).over(order) for k in (1, 2)}}
+    but = F.min(F.when((F.col("kind") == KIND_SCORE) & (F.col("word") == "but"), F.col("i"))).over(
+        Window.partitionBy("_rid"))
+    hits = hits.withColumns({**near, "but_at": but})
+
+    def at(d: int) -> Column:
+        side = "_l" if d > 0 else "_r"
+        return F.coalesce(*[F.when(F.col(f"{side}{k}.i") == F.col("i") - d, F.col(f"{side}{k}"))
+                            for k in range(1, abs(d) + 1)])
+
+    for d, name in ((1, "c1"), (2, "c2"), (3, "c3"), (-1, "n1"), (-2, "n2")):
+        hits = hits.withColumn(name, at(d))
+    for d in (1, 2, 3):
+        c = f"c{d}"
+        hits = hits.withColumns({
+            f"w{d}": F.coalesce(f"{c}.w", F.lit("")), f"u{d}": F.coalesce(f"{c}.u", F.lit(False)),
+            f"lex{d}": F.coalesce(f"{c}.lex", F.lit(False)), f"boost{d}": F.col(f"{c}.boost"),
+            f"neg{d}": F.coalesce(f"{c}.neg", F.lit(False))})
+    return hits.withColumns({"wn": F.coalesce("n1.w", F.lit("")), "wnn": F.coalesce("n2.w", F.lit(""))})
+
+
+def _idiom_valence(v: Column, idioms: dict[str, float]) -> Column:
+    """Valence of a token inside an idiom: of a phrase that begins at the token, else of one that
+    ends at it or one place before it."""
+    literal = F.create_map(*[F.lit(x) for kv in idioms.items() for x in kv])
+    w0, w1, w2, w3, n1, n2 = (F.col(c) for c in ("word", "w1", "w2", "w3", "wn", "wnn"))
+    phrases = ((w0, n1, n2), (w0, n1), (w1, w0), (w2, w1, w0), (w2, w1), (w3, w2, w1), (w3, w2))
+    return F.coalesce(*[F.try_element_at(literal, F.concat_ws(" ", *p)) for p in phrases], v)
+
+
+def _valence(df: DataFrame, idioms: dict[str, float]) -> DataFrame:
+    """Valence of each scored token after caps, boosters, negation, idioms, ``least`` and ``but``."""
+    v, i = F.col("v"), F.col("i") - 1
     cap = F.col("cap_diff")
-    df = df.withColumn("v", F.col("valence"))
-    df = df.withColumn("v", F.when(F.col("u0") & cap,
-                                   F.when(v > 0, v + C.CAPS_INCREMENT).otherwise(v - C.CAPS_INCREMENT))
-                       .otherwise(v))
+    kind_of = (F.col("word") == "kind") & (F.col("wn") == "of")
+    is_scored = (F.col("kind") == KIND_SCORE) & F.col("valence").isNotNull() & F.col("booster").isNull() & ~kind_of
+    df = df.withColumn("v", F.when(is_scored, F.col("valence")))
+    df = df.withColumn("v", F.when(F.col("u") & cap, F.when(v > 0, v + C.CAPS_INCREMENT).otherwise(
+        v - C.CAPS_INCREMENT)).otherwise(v))
     for d in (1, 2, 3):
-        w, u = F.col(f"w{d}"), F.col(f"u{d}")
-        boost, neg, in_lex = F.col(f"boost{d}"), F.col(f"neg{d}"), F.col(f"lex{d}")
-        applies = (F.col("i") >= d) & ~in_lex
+        boost, neg = F.col(f"boost{d}"), F.col(f"neg{d}")
+        applies = (i >= d) & ~F.col(f"lex{d}")
         s = F.when(v < 0, -boost).otherwise(boost)
-        s = F.when(u & cap, F.when(v > 0, s + C.CAPS_INCREMENT).otherwise(s - C.CAPS_INCREMENT)).otherwise(s)
+        s = F.when(F.col(f"u{d}") & cap, F.when(v > 0, s + C.CAPS_INCREMENT).otherwise(s - C.CAPS_INCREMENT)).otherwise(s)
         s = F.coalesce(s * C.DISTANCE_DAMPING[d - 1], F.lit(0.0))
         df = df.withColumn("v", F.when(applies, v + s).otherwise(v))
-        if d == 1:
-            flip = neg
-        elif d == 2:
-            never_so = (F.col("w2") == "never") & F.col("w1").isin("so", "this")
-            without_doubt = (F.col("w2") == "without") & (F.col("w1") == "doubt")
-            df = df.withColumn("v", F.when(applies & never_so, v * C.NEVER_SO_SCALAR).otherwise(v))
-            flip = ~never_so & ~without_doubt & neg
-        else:
-            never_so = (F.col("w3") == "never") & (
-                F.col("w2").isin("so", "this") | F.col("w1").isin("so", "this"))
-            without_doubt = (F.col("w3") == "without") & (
-                (F.col("w2") == "doubt") | (F.col("w1") == "doubt"))
+        flip = neg
+        if d > 1:
+            inner = [F.col(f"w{k}") for k in range(1, d)]
+            never_so = (F.col(f"w{d}") == "never") & _any(w.isin("so", "this") for w in inner)
+            without_doubt = (F.col(f"w{d}") == "without") & _any(w == "doubt" for w in inner)
             df = df.withColumn("v", F.when(applies & never_so, v * C.NEVER_SO_SCALAR).otherwise(v))
             flip = ~never_so & ~without_doubt & neg
         df = df.withColumn("v", F.when(applies & flip, v * C.NEGATION_SCALAR).otherwise(v))
+        if d == 3 and idioms:
+            df = df.withColumn("v", F.when(applies & v.isNotNull(), _idiom_valence(v, idioms)).otherwise(v))
     least = (F.col("w1") == "least") & ~F.col("lex1")
-    least_flip = least & ((F.col("i") == 1) | ((F.col("i") > 1) & ~F.col("w2").isin("at", "very")))
+    least_flip = least & ((i == 1) | ((i > 1) & ~F.col("w2").isin("at", "very")))
     df = df.withColumn("v", F.when(least_flip, v * C.NEGATION_SCALAR).otherwise(v))
-    pos = F.col("i") + 1
-    but = F.col("but_pos")
-    factor = (F.when(but == 0, F.lit(1.0)).when(pos < but, F.lit(C.BUT_BEFORE))
-              .when(pos > but, F.lit(C.BUT_AFTER)).otherwise(F.lit(1.0)))
+    but = F.col("but_at")
+    factor = (F.when(F.col("i") < but, F.lit(C.BUT_BEFORE)).when(F.col("i") > but, F.lit(C.BUT_AFTER))
+              .otherwise(F.lit(1.0)))
     return df.withColumn("sv", v * factor)
 
 
-def _lookup(items: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Attach vocabulary facts to items: keep score items whose token has a valence (and is not
-    a booster or the ``kind`` of ``kind of``), bank items whose word is in the bank, and the
-    per-comment marker; then look up the three context tokens of each score item."""
-    v0 = vocab.select(F.col("word").alias("w0"), "valence", F.col("booster").alias("boost0"),
-                      F.col("in_bank").alias("bank0"))
-    out = items.join(v0, "w0", "left")
-    kind_of = (F.col("w0") == "kind") & F.coalesce(F.col("wn") == "of", F.lit(False))
-    keep = (
-        (F.col("kind") == KIND_DOC)
-        | ((F.col("kind") == KIND_SCORE) & F.col("valence").isNotNull() & F.col("boost0").isNull()
-           & ~kind_of)
-        | ((F.col("kind") == KIND_BANK) & F.coalesce(F.col("bank0"), F.lit(False)))
-    )
-    out = out.filter(keep)
-    for d in (1, 2, 3):
-        vd = vocab.select(F.col("word").alias(f"w{d}"),
-                          F.col("valence").isNotNull().alias(f"lex{d}"),
-                          F.col("booster").alias(f"boost{d}"), F.col("negate").alias(f"neg{d}"))
-        out = out.join(vd, f"w{d}", "left")
-        out = (out.withColumn(f"lex{d}", F.coalesce(f"lex{d}", F.lit(False)))
-               .withColumn(f"neg{d}", F.coalesce(F.col(f"neg{d}"), F.lit(False))
-                           | F.coalesce(F.col(f"w{d}").contains("n't"), F.lit(False))))
+def _any(conditions) -> Column:
+    out = F.lit(False)
+    for c in conditions:
+        out = out | c
     return out
 
 
@@ -250,59 +218,72 @@ def compound(sum_valence: Column, emphasis: Column) -> Column:
     return F.round(F.greatest(F.least(norm, F.lit(1.0)), F.lit(-1.0)), C.COMPOUND_DECIMALS)
 
 
-def _per_comment(comments: DataFrame, vocab: DataFrame, key: str, body: str,
-                 with_bank: bool) -> DataFrame:
-    items = _items(comments, key, body, with_bank)
-    scored = _valence(_lookup(items, vocab))
+def _per_comment(comments: DataFrame, vocab: DataFrame | Dimension, key: str, body: str, with_bank: bool,
+                 idioms: dict[str, float] | None = None, drop_single_chars: bool = False) -> DataFrame:
+    phrases = idioms or {}
+    hits = _with_context(_hits(comments, vocab, key, body, with_bank, drop_single_chars))
+    scored = _valence(hits, phrases)
     # The valence sum is rounded before its sign is tested: float addition order differs from
     # task to task, and an exact-zero sum must not turn into +/-1e-16 and gain the emphasis.
-    aggs = [
-        F.round(F.sum(F.when(F.col("kind") == KIND_SCORE, F.col("sv"))), SUM_DECIMALS).alias("_s"),
-        F.max("amp").alias("_amp"),
-    ]
-    if with_bank:
-        aggs.append(F.collect_list(F.when(F.col("kind") == KIND_BANK, F.col("w0"))).alias("matched"))
-    per_doc = scored.groupBy(key, "year_month").agg(*aggs)
-    cols = [key, "year_month", compound(F.col("_s"), F.col("_amp")).alias("compound")]
+    aggs = [F.round(F.sum("sv"), SUM_DECIMALS).alias("_s"), F.max("meta").alias("_meta")]
     if with_bank:
-        cols.append("matched")
-    return per_doc.select(*cols)
+        aggs.append(F.collect_list(F.when(F.col("kind") == KIND_BANK, F.col("word"))).alias("matched"))
+    per_row = scored.groupBy("_rid").agg(*aggs)
+    return per_row.select(F.col("_meta.key").alias(key), "_meta.year_month",
+                          compound(F.col("_s"), F.col("_meta.amp")).alias("compound"),
+                          *(["matched", F.col("_meta.n_tokens").alias("n_tokens")] if with_bank else []))
+
+
+def idiom_table(idioms: DataFrame | None) -> dict[str, float]:
+    """``phrase -> valence`` of an idiom list (columns ``phrase, valence``; lower case)."""
+    if idioms is None:
+        return {}
+    rows = idioms.select(F.lower("phrase"), F.col("valence").cast("double")).limit(MAX_IDIOMS + 1).collect()
+    if len(rows) > MAX_IDIOMS:
+        raise ValueError(f"more than {MAX_IDIOMS} idioms")
+    return {p: v for p, v in rows if p and v is not None}
+
+
+def _scoring_vocabulary(lexicon, boosters, negations, bank, phrases: dict[str, float]) -> Dimension:
+    words = tuple(dict.fromkeys([*RULE_WORDS, *(w for p in phrases for w in p.split())]))
+    return dimension(vocabulary(lexicon, boosters, negations, bank, words))
 
 
 def lexicon_sentiment(comments: DataFrame, lexicon: DataFrame, boosters: DataFrame | None = None,
-                      negations: DataFrame | None = None, key: str = "doc_id",
-                      body: str = "body") -> DataFrame:
-    """``(doc_id, year_month, compound)`` for every comment; no lexicon word gives 0.0."""
-    vocab = broadcast_if_small(vocabulary(lexicon, boosters, negations))
-    return _per_comment(comments, vocab, key, body, with_bank=False)
+                      negations: DataFrame | None = None, key: str = "doc_id", body: str = "body",
+                      idioms: DataFrame | None = None, drop_single_chars: bool = False) -> DataFrame:
+    """``(doc_id, year_month, compound)``, one row per comment row; no lexicon word gives 0.0."""
+    phrases = idiom_table(idioms)
+    vocab = _scoring_vocabulary(lexicon, boosters, negations, None, phrases)
+    return _per_comment(comments, vocab, key, body, False, phrases, drop_single_chars)
 
 
 def sample_fraction_key(key: Column, seed: int) -> Column:
-    """A repeatable uniform number in [0, 1) per row: the first 8 hex digits of
+    """A repeatable uniform number in [0, 1) per key: the first 8 hex digits of
     ``md5(key || '|' || seed)`` over 16^8. Re-running a task gives the same sample."""
     h = F.md5(F.concat_ws("|", key.cast("string"), F.lit(str(seed))))
     return F.conv(F.substring(h, 1, 8), 16, 10).cast("long") / float(16 ** 8)
 
 
-def sample_to_target(comments: DataFrame, target: int = C.SENTIMENT_SAMPLE_TARGET, seed: int = 0,
-                     key: str = "doc_id") -> DataFrame:
+def sample_to_target(comments: DataFrame, target: int, seed: int = 0, key: str = "doc_id") -> DataFrame:
     """Down-sample each month to about ``target`` comments, without replacement.
 
     Month sizes come from one ``groupBy(year_month).count()`` (one row per month, so the
     broadcast is bounded by the calendar); each row is kept when its hash draw is below
     ``target / month size``. Months at or under the target are kept whole; an empty month simply
-    has no rows, so nothing divides by zero.
+    has no rows, so nothing divides by zero. Rows without a key draw by their other columns.
     """
     sizes = comments.groupBy("year_month").agg(F.count(F.lit(1)).alias("_n"))
     frac = F.lit(float(target)) / F.col("_n")
+    draw = F.coalesce(F.col(key).cast("string"), F.xxhash64(*[F.col(c) for c in comments.columns]).cast("string"))
     return (comments.join(broadcast_bounded(sizes), "year_month")
-            .filter((frac >= 1.0) | (sample_fraction_key(F.col(key), seed) < frac))
+            .filter((frac >= 1.0) | (sample_fraction_key(draw, seed) < frac))
             .drop("_n"))
 
 
 def monthly_word_sentiment(
     comments: DataFrame,
-    bank: DataFrame,
+    bank: DataFrame | Dimension,
     lexicon: DataFrame | None = None,
     boosters: DataFrame | None = None,
     negations: DataFrame | None = None,
@@ -312,12 +293,15 @@ def monthly_word_sentiment(
     key: str = "doc_id",
     body: str = "body",
     scorer: Callable[[Column], Column] | None = None,
+    idioms: DataFrame | None = None,
+    drop_single_chars: bool = False,
 ) -> DataFrame:
     """``(year_month, word, avg_sentiment, stddev_sentiment)`` over the comments that use a bank
     word. A word used k times in a comment adds that comment's score k times. ``stddev`` is the
     sample deviation (NULL for a single observation).
 
-    ``target`` samples each month first (see :func:`sample_to_target`). ``scorer`` replaces the
+    Every comment counts unless ``target`` is given, which samples each month first (see
+    :func:`sample_to_target`). ``scorer`` replaces the
     lexicon with any ``Column -> Column`` scorer of the body (for example a user ``pandas_udf``);
     the score is then computed in-row and no per-comment shuffle is needed.
     """
@@ -326,15 +310,39 @@ def monthly_word_sentiment(
     if scorer is not None:
         scored = comments.select("year_month", scorer(F.col(body)).alias("compound"),
                                  F.explode(tokens(body)).alias("word"))
-        rows = scored.join(broadcast_if_small(bank.select("word")), "word", "left_semi")
+        rows = join_dimension(scored, bank, "word", "left_semi")
     else:
         if lexicon is None:
             raise ValueError("a lexicon or a scorer is required")
-        vocab = broadcast_if_small(vocabulary(lexicon, boosters, negations, bank))
-        per_doc = _per_comment(comments, vocab, key, body, with_bank=True)
+        phrases = idiom_table(idioms)
+        vocab = _scoring_vocabulary(lexicon, boosters, negations, bank, phrases)
+        per_doc = _per_comment(comments, vocab, key, body, True, phrases, drop_single_chars)
         rows = per_doc.filter(F.size("matched") > 0).select(
             "year_month", "compound", F.explode("matched").alias("word"))
     return rows.groupBy("year_month", "word").agg(
         F.avg("compound").alias("avg_sentiment"),
         F.stddev_samp("compound").alias("stddev_sentiment"),
     )
+
+
+def monthly_word_facts(comments: DataFrame, bank: DataFrame | Dimension, lexicon: DataFrame,
+                       boosters: DataFrame | None = None, negations: DataFrame | None = None, *,
+                       key: str = "doc_id", body: str = "body", idioms: DataFrame | None = None,
+                       drop_single_chars: bool = False) -> DataFrame:
+    """``(year_month, word, count, frequency, avg_sentiment, stddev_sentiment)`` of the bank words
+    in one tokenising pass: the counts, frequencies and sentiment that ``monthly_ngrams_of`` and
+    ``monthly_word_sentiment`` give. Every comment adds a row with a NULL word that carries its
+    number of tokens, so month totals (every token counts) come out of the same aggregate; they
+    are joined back by broadcast (one row per month)."""
+    phrases = idiom_table(idioms)
+    vocab = _scoring_vocabulary(lexicon, boosters, negations, bank, phrases)
+    per_row = _per_comment(comments, vocab, key, body, True, phrases, drop_single_chars)
+    rows = per_row.select("year_month", "compound", "n_tokens", F.explode(
+        F.concat("matched", F.array(F.lit(None).cast("string")))).alias("word"))
+    agg = rows.groupBy("year_month", "word").agg(
+        F.count(F.lit(1)).alias("count"), F.sum("n_tokens").alias("_tokens"),
+        F.avg("compound").alias("avg_sentiment"), F.stddev_samp("compound").alias("stddev_sentiment"))
+    totals = broadcast_bounded(agg.filter("word is null").select("year_month", F.col("_tokens").alias("_total")))
+    return agg.filter("word is not null").join(totals, "year_month").select(
+        "year_month", "word", "count", F.try_divide(F.col("count"), F.col("_total")).alias("frequency"),
+        "avg_sentiment", "stddev_sentiment")

@@ -1,6 +1,7 @@
 """Registered queries over the driver tables.
 
-Each query takes ``(spark, sf_dir)`` and returns a lazy DataFrame. Inputs are derived from the
+Each query takes ``(spark, sf_dir)`` and returns a DataFrame; queries on the fact table first
+materialize it (and the roll-up) as the jobs would. Inputs are derived from the
 driver tables by the rules in :mod:`lexitrend.sources.testdata`, so every query's work grows
 with the tables. Doubles that come out of float sums are rounded to 10 decimals here (and in
 the oracle SQL) so that summation order cannot change the compared value; library functions
@@ -21,12 +22,16 @@ from ..operators import fact as FT
 from ..operators import frequency as FQ
 from ..operators import sentiment as S
 from ..operators import trends as TR
+from ..operators.broadcast import Dimension, dimension
 from ..sources import comments as SC
 from ..sources import lists as L
 from ..sources import testdata as TD
 from ..session import ensure_checkpoint_dir
 
 ROUND = 10
+# Frequencies shrink as a corpus grows: compared to significant digits, spikes (differences of
+# frequencies, so their last digits are noise) to fewer.
+FREQUENCY_DIGITS, SPIKE_DIGITS = 9, 6
 SAMPLE_TARGET = 5          # comments per month kept by the sampling query
 SAMPLE_SEED = 42
 RANGE_START, RANGE_END = "1996-03-01", "2000-05-01"
@@ -36,6 +41,8 @@ TOP_WORDS_K = 10
 
 
 def _r(c: str) -> F.Column:
+    if "frequency" in c:
+        return TR.to_digits(F.col(c), F.abs(F.col(c)), SPIKE_DIGITS if "spike" in c else FREQUENCY_DIGITS).alias(c)
     return F.round(F.col(c), ROUND).alias(c)
 
 
@@ -43,14 +50,16 @@ class Inputs:
     """Inputs for one ``sf_dir``, built once per query.
 
     The stages the batch jobs write as tables (monthly n-grams, monthly sentiment, the fact
-    table, the yearly roll-up and the six yearly tables) are checkpointed to the session's
-    checkpoint directory when first used: later steps read the materialized rows instead of
-    re-planning the whole chain, exactly as the reads read written tables in production.
+    table and the yearly roll-up) are checkpointed to the session's checkpoint directory when
+    first used: later steps read the materialized rows instead of re-planning the whole chain,
+    exactly as the reads read written tables in production. ``stages`` keeps the plan of each
+    such stage before its checkpoint, for plan reports.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self._memo: dict[str, object] = {}
+        self.stages: dict[str, DataFrame] = {}
         ensure_checkpoint_dir(spark)
 
     def _once(self, name: str, build: Callable[[], object]):
@@ -58,8 +67,8 @@ class Inputs:
             self._memo[name] = build()
         return self._memo[name]
 
-    @staticmethod
-    def _materialize(df: DataFrame) -> DataFrame:
+    def _materialize(self, name: str, df: DataFrame) -> DataFrame:
+        self.stages[name] = df
         return df.checkpoint(eager=True)
 
     def comments(self) -> DataFrame:
@@ -68,9 +77,9 @@ class Inputs:
     def stopwords(self) -> DataFrame:
         return TD.stopwords(self.spark)
 
-    def bank(self) -> DataFrame:
-        return self._once("bank", lambda: B.word_bank(TD.bank_source(self.spark, self.sf_dir),
-                                                      self.stopwords()))
+    def bank(self) -> Dimension:
+        return self._once("bank", lambda: dimension(B.word_bank(
+            TD.bank_source(self.spark, self.sf_dir), self.stopwords())))
 
     def definitions(self) -> DataFrame:
         return self._once("definitions", lambda: B.definitions(TD.dictionary(self.spark, self.sf_dir)))
@@ -84,29 +93,18 @@ class Inputs:
             TD.negations(self.spark)))
 
     def words(self) -> DataFrame:
-        # Only bank words can survive the join with sentiment, so the counts are restricted to
-        # them (same counts and frequencies as the full monthly table).
-        return self._once("words", lambda: self._materialize(
-            FT.words_fact(FQ.monthly_ngrams_of(self.comments(), self.bank()), self.sentiment(),
-                          self.stopwords())))
+        # Only bank words can survive the join of counts and sentiment (and the bank holds no
+        # stopword), so one pass over the comments gives the facts.
+        return self._once("words", lambda: self._materialize("words", S.monthly_word_facts(
+            self.comments(), self.bank(), TD.lexicon(self.spark), TD.boosters(self.spark),
+            TD.negations(self.spark)).select(*FT.FACT_COLUMNS)))
 
     def rollup(self) -> DataFrame:
-        return self._once("rollup", lambda: self._materialize(TR.yearly_rollup(self.words())))
+        return self._once("rollup", lambda: self._materialize("rollup", TR.yearly_rollup(self.words())))
 
     def trends(self) -> dict[str, DataFrame]:
-        def build():
-            r = self.rollup()
-            m = TD.FIXTURE_YEARLY_MIN_COUNT
-            tables = {
-                "top_frequency_spikes": TR.top_frequency_spikes(r),
-                "bottom_frequency_spikes": TR.bottom_frequency_spikes(r),
-                "positive_sentiment_spikes": TR.positive_sentiment_spikes(r, m),
-                "negative_sentiment_spikes": TR.negative_sentiment_spikes(r, m),
-                "top_sentiment": TR.top_sentiment(r, m),
-                "bottom_sentiment": TR.bottom_sentiment(r, m),
-            }
-            return {k: self._materialize(v) for k, v in tables.items()}
-        return self._once("trends", build)
+        """The six yearly tables, lazily over the roll-up: a year filter reaches every rank."""
+        return TR.yearly_trends(self.rollup(), TD.FIXTURE_YEARLY_MIN_COUNT)
 
     def bad_words(self) -> DataFrame:
         return L.bad_words(TD.bad_words_source(self.spark))
@@ -115,11 +113,20 @@ class Inputs:
 def _q(fn: Callable[[Inputs], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(Inputs(spark, sf_dir))
+    run.of = fn
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
     return run
 
 
+def plans_of(spark: SparkSession, sf_dir: str, name: str) -> dict[str, str]:
+    """The physical plans of a query: those of the stages it materializes, and its own."""
+    inputs = Inputs(spark, sf_dir)
+    out = QUERIES[name].of(inputs)
+    frames = {**inputs.stages, name: out}
+    return {k: df._jdf.queryExecution().executedPlan().toString() for k, df in frames.items()}
+
+
 # --- scans --------------------------------------------------------------------------------
 
 def comments_scan(i: Inputs) -> DataFrame:
@@ -186,7 +193,7 @@ def trigram_counts(i: Inputs) -> DataFrame:
 # --- bank ---------------------------------------------------------------------------------
 
 def word_bank(i: Inputs) -> DataFrame:
-    return i.bank()
+    return i.bank().df
 
 
 def definitions(i: Inputs) -> DataFrame:
@@ -247,8 +254,7 @@ def distinct_words(i: Inputs) -> DataFrame:
 
 
 def densify_months(i: Inputs) -> DataFrame:
-    lo, hi = FT.calendar_bounds(i.comments())
-    return _fact_out(FT.densify(i.words(), lo, hi))
+    return _fact_out(FT.densify(i.words()))
 
 
 # --- yearly -------------------------------------------------------------------------------
@@ -310,8 +316,7 @@ def bottom_sentiment(i: Inputs) -> DataFrame:
 # --- reads --------------------------------------------------------------------------------
 
 def _series(i: Inputs) -> DataFrame:
-    lo, hi = FT.calendar_bounds(i.comments())
-    return X.word_explorer(i.words(), i.definitions(), TD.FIXTURE_LOOKUP, lo, hi)
+    return X.word_explorer(i.words(), i.definitions(), TD.FIXTURE_LOOKUP)
 
 
 def word_explorer(i: Inputs) -> DataFrame:
@@ -344,8 +349,10 @@ def yearly_words(i: Inputs) -> DataFrame:
 
 
 def trend_top10(i: Inputs) -> DataFrame:
-    yw = _yearly_out(X.yearly_words(i.trends(), TD.FIXTURE_YEAR)).checkpoint(eager=True)
-    return X.trend_top10(yw)
+    top = X.trend_top10(i.trends(), TD.FIXTURE_YEAR)
+    spike = F.col("chart").contains("frequency")
+    return top.withColumn("score", F.when(spike, TR.to_digits(F.col("score"), F.abs("score"), SPIKE_DIGITS))
+                          .otherwise(F.round("score", ROUND)))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

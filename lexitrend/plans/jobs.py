@@ -7,7 +7,7 @@ of some months replaces exactly those months.
     convert_archive     JSON archive -> comment Parquet (year=/month=)
     word_freqs          comment Parquet -> {n}_gram_counts (year=/month=)
     sentiment           comment Parquet + dictionary + stopwords + lexicon -> sentiment
-    load_words          n-gram counts + sentiment -> words fact table (insert-if-absent)
+    load_words          n-gram counts + sentiment -> words fact table (months replaced)
     load_definitions    dictionary -> word_definitions
     zero_fill           words -> words plus zero rows for calendar months a word lacks
     yearly_tables       words -> six yearly tables
@@ -25,6 +25,7 @@ from ..operators import fact as FT
 from ..operators import frequency as FQ
 from ..operators import sentiment as S
 from ..operators import trends as TR
+from ..operators.explore import ordered
 from ..sources import comments as SC
 from ..sources import lists as L
 from ..sources import sinks as SK
@@ -59,63 +60,64 @@ def read_boosters(spark: SparkSession, path: str) -> DataFrame:
 
 def sentiment(spark: SparkSession, comments_root: str, dictionary_csv: str, stopwords_path: str,
               lexicon: DataFrame, boosters: DataFrame | None, negations: DataFrame | None,
-              out: str, start: str | None = C.ARCHIVE_FIRST_MONTH,
-              end: str | None = C.ARCHIVE_LAST_MONTH,
-              target: int | None = C.SENTIMENT_SAMPLE_TARGET, seed: int = 0) -> None:
-    """Monthly sentiment of bank words over sampled comments."""
+              out: str, start: str | None = None, end: str | None = None,
+              target: int | None = None, seed: int = 0, idioms: DataFrame | None = None) -> None:
+    """Monthly sentiment of bank words over every comment of ``[start, end]`` (all months by
+    default), or over a sample of about ``target`` comments a month when a target is given."""
     ensure_checkpoint_dir(spark)
     comments = SC.read_comment_parquet(spark, comments_root, start, end)
-    bank = B.word_bank(L.read_dictionary(spark, dictionary_csv).select("word"),
-                       spark.read.text(stopwords_path).select(F.col("value").alias("word")))
+    bank = B.word_bank(L.read_dictionary(spark, dictionary_csv).select("word"), read_stopwords(spark, stopwords_path))
     result = S.monthly_word_sentiment(comments, bank, lexicon, boosters, negations,
-                                      target=target, seed=seed)
+                                      target=target, seed=seed, idioms=idioms)
     SK.write_monthly(result, out)
 
 
-def load_words(spark: SparkSession, ngram_path: str, sentiment_path: str, stopwords_path: str,
-               words_out: str) -> DataFrame:
-    """Join counts and sentiment into the fact table and append the keys not yet present.
+def read_stopwords(spark: SparkSession, path: str) -> DataFrame:
+    return L.read_word_list(spark, path)
+
 
-    Returns the duplicate-key check of the table after the append (one row, expected 0)."""
+def load_words(spark: SparkSession, ngram_path: str, sentiment_path: str, stopwords_path: str,
+               words_out: str, start: str | None = None, end: str | None = None) -> None:
+    """Join counts and sentiment of ``[start, end]`` into the fact table (``year=/month=``, sorted
+    by word), replacing those months. Only their partitions are read. Raises when a
+    ``(word, year_month)`` key occurs more than once; the table is then left as it was."""
     ensure_checkpoint_dir(spark)
-    counts = SK.read_monthly(spark, ngram_path)
-    sent = SK.read_monthly(spark, sentiment_path)
-    stop = spark.read.text(stopwords_path).select(F.col("value").alias("word"))
-    new = FT.words_fact(counts, sent, stop)
-    try:
-        existing = spark.read.schema(schemas.WORDS).parquet(words_out)
-    except Exception:  # noqa: BLE001 - first load: the table does not exist yet
-        existing = spark.createDataFrame([], schemas.WORDS)
-    SK.append_new(new, existing, schemas.WORDS_KEY, words_out)
-    return FT.key_duplicates(spark.read.parquet(words_out))
+    counts = SK.read_monthly(spark, ngram_path, start, end, schemas.NGRAM_COUNTS)
+    sent = SK.read_monthly(spark, sentiment_path, start, end, schemas.WORD_SENTIMENT)
+    new = FT.words_fact(counts, sent, read_stopwords(spark, stopwords_path)).checkpoint(eager=True)
+    double = FT.key_duplicates(new).first()[0]
+    if double:
+        raise ValueError(f"{double} (word, year_month) keys occur more than once; nothing was written")
+    SK.write_monthly(new, words_out)
 
 
 def load_definitions(spark: SparkSession, dictionary_csv: str, out: str) -> None:
-    SK.overwrite(B.definitions(L.read_dictionary(spark, dictionary_csv)), out)
+    SK.overwrite(B.definitions(L.read_dictionary(spark, dictionary_csv, skip_long_lines=True)), out)
 
 
-def zero_fill(spark: SparkSession, words_path: str, out: str,
-              start: str = C.EXPLORER_CALENDAR_START, end: str = C.EXPLORER_CALENDAR_END) -> None:
-    """Write the fact table plus zero rows for every calendar month a word lacks."""
-    SK.overwrite(FT.densify(spark.read.parquet(words_path), start, end), out)
+def zero_fill(spark: SparkSession, words_path: str, out: str, start: str | None = None,
+              end: str | None = None) -> None:
+    """Write the fact table plus zero rows for every calendar month a word lacks; the calendar is
+    the table's own unless bounds are given. ``out`` must be another table: a table cannot be
+    replaced while it is read."""
+    if SK.same_path(spark, words_path, out):
+        raise ValueError("zero_fill cannot write to the table it reads")
+    SK.write_monthly(FT.densify(SK.read_monthly(spark, words_path), start, end), out)
 
 
 def yearly_tables(spark: SparkSession, words_path: str, out_root: str,
                   min_count: int = C.YEARLY_MIN_COUNT, k: int = C.TOP_K) -> None:
     """The six yearly tables. The roll-up is checkpointed once and feeds all six."""
     ensure_checkpoint_dir(spark)
-    rollup = TR.yearly_rollup(spark.read.parquet(words_path)).checkpoint(eager=True)
-    tables = {
-        "top_frequency_spikes": TR.top_frequency_spikes(rollup, k),
-        "bottom_frequency_spikes": TR.bottom_frequency_spikes(rollup, k),
-        "positive_sentiment_spikes": TR.positive_sentiment_spikes(rollup, min_count, k),
-        "negative_sentiment_spikes": TR.negative_sentiment_spikes(rollup, min_count, k),
-        "top_sentiment": TR.top_sentiment(rollup, min_count, k),
-        "bottom_sentiment": TR.bottom_sentiment(rollup, min_count, k),
-    }
-    for name, df in tables.items():
+    rollup = TR.yearly_rollup(SK.read_monthly(spark, words_path)).checkpoint(eager=True)
+    for name, df in TR.yearly_trends(rollup, min_count, k).items():
         SK.overwrite(df, f"{out_root.rstrip('/')}/{name}")
 
 
 def read_yearly_tables(spark: SparkSession, out_root: str) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(f"{out_root.rstrip('/')}/{name}") for name in TR.TABLES}
+
+
+def read_yearly_table(spark: SparkSession, out_root: str, name: str) -> DataFrame:
+    """One yearly table in the order it is shown: by year, rank and word."""
+    return ordered(spark.read.parquet(f"{out_root.rstrip('/')}/{name}"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from ..constants import (
     BAD_WORD_EXTRAS, BUT_AFTER, BUT_BEFORE, CAPS_INCREMENT, DISTANCE_DAMPING,
     EXCLAMATION_MAX, EXCLAMATION_WEIGHT, NEGATION_SCALAR, NEVER_SO_SCALAR, NORMALIZE_ALPHA,
-    QUESTION_MAX_WEIGHT, QUESTION_WEIGHT,
+    QUESTION_MAX_WEIGHT, QUESTION_WEIGHT, RANK_DIGITS, SENTIMENT_DECIMALS,
 )
 from ..sources import testdata as TD
 from . import catalog as Q
@@ -182,10 +182,10 @@ cte("rollup", ("words",), """
            avg(avg_sentiment) AS avg_sentiment
     FROM words GROUP BY 1, 2""")
 cte("fspike", ("rollup",), """
-    SELECT word, year, yearly_count, avg_frequency,
-      avg_frequency - lag(avg_frequency) OVER (PARTITION BY word ORDER BY year)
-      + avg_frequency - lead(avg_frequency) OVER (PARTITION BY word ORDER BY year) AS frequency_spike
-    FROM rollup""")
+    SELECT word, year, yearly_count, avg_frequency, x - p + x - n AS frequency_spike,
+           CASE WHEN x - p + x - n IS NOT NULL THEN greatest(abs(x), abs(p), abs(n)) END AS size
+    FROM (SELECT *, avg_frequency AS x, lag(avg_frequency) OVER w AS p, lead(avg_frequency) OVER w AS n
+          FROM rollup WINDOW w AS (PARTITION BY word ORDER BY year))""")
 MINC = TD.FIXTURE_YEARLY_MIN_COUNT
 cte("sspike", ("rollup",), f"""
     SELECT word, year, yearly_count, avg_sentiment,
@@ -194,11 +194,18 @@ cte("sspike", ("rollup",), f"""
     FROM rollup WHERE yearly_count > {MINC}""")
 
 
+def digits(x: str, size: str, n: int) -> str:
+    """``x`` to ``n`` significant digits of ``size``."""
+    scale = f"pow(10.0, {n - 1.0} - floor(log10(nullif({size}, 0))))"
+    return f"CASE WHEN {size} = 0 THEN 0.0 ELSE round(({x}) * {scale}) / {scale} END"
+
+
 def _ranked(src: str, metric: str, desc: bool, cols: str, where: str = "") -> str:
     order = "DESC" if desc else "ASC"
+    key = digits(metric, "size", RANK_DIGITS) if src == "fspike" else f"round({metric}, {SENTIMENT_DECIMALS})"
     return f"""
     SELECT {cols}, rank FROM (
-      SELECT *, CAST(RANK() OVER (PARTITION BY year ORDER BY round({metric}, 12) {order}) AS BIGINT) AS rank
+      SELECT *, CAST(RANK() OVER (PARTITION BY year ORDER BY {key} {order}) AS BIGINT) AS rank
       FROM {src} WHERE {metric} IS NOT NULL {where})
     WHERE rank <= 100"""
 
@@ -212,21 +219,26 @@ cte("t_pos_s", ("sspike",), _ranked("sspike", "sentiment_spike_year", True, SCOL
 cte("t_neg_s", ("sspike",), _ranked("sspike", "sentiment_spike_year", False, SCOLS))
 cte("t_top_a", ("rollup",), _ranked("rollup", "avg_sentiment", True, ACOLS, f"AND yearly_count > {MINC}"))
 cte("t_bot_a", ("rollup",), _ranked("rollup", "avg_sentiment", False, ACOLS, f"AND yearly_count > {MINC}"))
-cte("yearly", ("t_top_f", "t_bot_f", "t_pos_s", "t_neg_s", "t_top_a", "t_bot_a"), f"""
-    SELECT n.year, n.word AS neg_word, n.sentiment_spike_year AS negative_sentiment_spike,
-      p.word AS pos_word, p.sentiment_spike_year AS positive_sentiment_spike,
-      tw.word AS top_spike, tw.frequency_spike AS top_frequency_spike,
-      tsy.word AS top_sentiment_word, tsy.avg_sentiment AS top_sentiment,
-      bsy.word AS bottom_sentiment_word, bsy.avg_sentiment AS bottom_sentiment,
-      bwy.word AS bottom_spike, bwy.frequency_spike AS bottom_frequency_spike, n.rank AS rank
-    FROM t_neg_s n
-    JOIN t_pos_s p ON p.year = n.year AND p.rank = n.rank
-    JOIN t_top_f tw ON tw.year = n.year AND tw.rank = n.rank
-    JOIN t_top_a tsy ON tsy.year = n.year AND tsy.rank = n.rank
-    JOIN t_bot_a bsy ON bsy.year = n.year AND bsy.rank = n.rank
-    JOIN t_bot_f bwy ON bwy.year = n.year AND bwy.rank = n.rank
-    WHERE EXTRACT(YEAR FROM n.year) = {TD.FIXTURE_YEAR}""")
-cte("bounds", ("comments",), "SELECT min(year_month) AS lo, max(year_month) AS hi FROM comments")
+_TABLES = {  # word column, score column, ranked table, its metric
+    "neg_word": ("negative_sentiment_spike", "t_neg_s", "sentiment_spike_year"),
+    "pos_word": ("positive_sentiment_spike", "t_pos_s", "sentiment_spike_year"),
+    "top_spike": ("top_frequency_spike", "t_top_f", "frequency_spike"),
+    "top_sentiment_word": ("top_sentiment", "t_top_a", "avg_sentiment"),
+    "bottom_sentiment_word": ("bottom_sentiment", "t_bot_a", "avg_sentiment"),
+    "bottom_spike": ("bottom_frequency_spike", "t_bot_f", "frequency_spike"),
+}
+cte("charts", tuple(t for _, t, _ in _TABLES.values()), " UNION ALL ".join(
+    f"SELECT '{score}' AS chart, year, rank, word, {metric} AS score FROM {t}" for score, t, metric in _TABLES.values()))
+# Per year and rank one list of entries for each chart; ranks that any chart lacks go, and the
+# lists of the others are spread out against each other.
+cte("yearly", ("charts",), "SELECT r.year, "
+    + ", ".join(f"{w}.e.word AS {w}, {w}.e.score AS {s}" for w, (s, *_) in _TABLES.items())
+    + ", r.rank FROM (SELECT year, rank, "
+    + ", ".join(f"list({{'word': word, 'score': score}}) FILTER (chart = '{s}') AS l_{w}" for w, (s, *_) in _TABLES.items())
+    + f" FROM charts WHERE date_part('year', year) = {TD.FIXTURE_YEAR} GROUP BY year, rank"
+    + " HAVING count(DISTINCT chart) = 6) r, "
+    + ", ".join(f"unnest(r.l_{w}) AS {w}(e)" for w in _TABLES))
+cte("bounds", ("words",), "SELECT min(year_month) AS lo, max(year_month) AS hi FROM words")
 cte("cal", ("bounds",), """
     SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS year_month FROM bounds""")
 _wanted = ", ".join("('" + w + "')" for w in
@@ -255,6 +267,8 @@ def concise(x: str) -> str:
 
 
 def rnd(c: str) -> str:
+    if "frequency" in c:
+        return f"{digits(c, f'abs({c})', Q.SPIKE_DIGITS if 'spike' in c else Q.FREQUENCY_DIGITS)} AS {c}"
     return f"round({c}, {R}) AS {c}"
 
 
@@ -280,22 +294,6 @@ FACT_OUT = f"word, year_month, count, frequency, {rnd('avg_sentiment')}, {rnd('s
 YEARLY_OUT = (f"year, neg_word, {rnd('negative_sentiment_spike')}, pos_word, {rnd('positive_sentiment_spike')}, "
               f"top_spike, {rnd('top_frequency_spike')}, top_sentiment_word, {rnd('top_sentiment')}, "
               f"bottom_sentiment_word, {rnd('bottom_sentiment')}, bottom_spike, {rnd('bottom_frequency_spike')}, rank")
-_charts = []
-for _chart, _w, _s, _desc in (
-    ("top_frequency_spike", "top_spike", "top_frequency_spike", True),
-    ("bottom_frequency_spike", "bottom_spike", "bottom_frequency_spike", False),
-    ("positive_sentiment_spike", "pos_word", "positive_sentiment_spike", True),
-    ("top_sentiment", "top_sentiment_word", "top_sentiment", True),
-    ("negative_sentiment_spike", "neg_word", "negative_sentiment_spike", False),
-    ("bottom_sentiment", "bottom_sentiment_word", "bottom_sentiment", False),
-):
-    _charts.append(f"""(SELECT '{_chart}' AS chart, {_w} AS word, {_s} AS score FROM yw
-        ORDER BY {_s} {'DESC' if _desc else 'ASC'}, {_w} ASC LIMIT 10)""")
-
-
-cte("yw", ("yearly",), f"SELECT {YEARLY_OUT} FROM yearly")
-
-
 def _sql() -> dict[str, str]:
     return {
         "comments_scan": with_ctes("SELECT doc_id, subreddit, body, year_month FROM comments", "comments"),
@@ -386,8 +384,11 @@ def _sql() -> dict[str, str]:
         "words_not_found": with_ctes(
             "SELECT word FROM wanted WHERE word NOT IN (SELECT word FROM found)", "wanted", "found"),
         "yearly_words": with_ctes(f"SELECT {YEARLY_OUT} FROM yearly", "yearly"),
-        "trend_top10": with_ctes(
-            "SELECT chart, word, score FROM (" + " UNION ALL ".join(_charts) + ")", "yw"),
+        "trend_top10": with_ctes(f"""
+            SELECT chart, position, word, CASE WHEN chart LIKE '%frequency%' THEN
+              {digits('score', 'abs(score)', Q.SPIKE_DIGITS)} ELSE round(score, {R}) END AS score
+            FROM (SELECT *, row_number() OVER (PARTITION BY chart ORDER BY rank, word) AS position
+                  FROM charts WHERE date_part('year', year) = {TD.FIXTURE_YEAR}) WHERE position <= 10""", "charts"),
     }
 
 

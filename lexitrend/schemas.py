@@ -65,13 +65,6 @@ WORDS = T.StructType(
 )
 WORDS_KEY = ("word", "year_month")
 
-WORD_DEFINITIONS = T.StructType(
-    [
-        T.StructField("word", T.StringType()),
-        T.StructField("definition", T.StringType()),
-    ]
-)
-
 LEXICON = T.StructType(
     [
         T.StructField("word", T.StringType()),

@@ -18,23 +18,33 @@ from .. import schemas
 from ..functions import month_from_parts, zero_padded_month
 
 YEAR_FROM_PATH = r"/(\d{4})/[^/]+$"
+CORRUPT = "_corrupt"
 MONTH_FROM_PATH = r"(\d{2})\.[^./]+$"
 
 
-def read_archive(spark: SparkSession, root: str, glob: str = "*/*", *,
-                 drop_malformed: bool = True) -> DataFrame:
-    """Read the JSON archive with a fixed schema and tag rows with ``year`` and ``month``.
+def _archive_lines(spark: SparkSession, root: str, glob: str) -> DataFrame:
+    """Every line: all fields as text (so an odd value loses nothing else of its line), and
+    ``_corrupt`` for lines that are no JSON object."""
+    names = [f.name for f in schemas.RAW_COMMENT.fields] + ["id", CORRUPT]
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    return (spark.read.schema(schema).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT).json(f"{root.rstrip('/')}/{glob}"))
 
-    Malformed lines would otherwise come back as all-NULL rows; by default they are dropped.
-    ``doc_id`` is the comment's ``id``, or a per-row id that is stable across task retries.
+
+def read_archive(spark: SparkSession, root: str, glob: str = "*/*") -> DataFrame:
+    """Read the JSON archive and tag rows with ``year`` and ``month``.
+
+    A line is dropped only if it is no JSON object at all (:func:`archive_report` counts those);
+    a number field that is no whole number is NULL. ``doc_id`` is the comment's ``id``, or a
+    per-row id that is stable across task retries.
     """
-    schema = T.StructType(schemas.RAW_COMMENT.fields + [T.StructField("id", T.StringType())])
-    df = (
-        spark.read.schema(schema)
-        .option("mode", "DROPMALFORMED" if drop_malformed else "PERMISSIVE")
-        .json(f"{root.rstrip('/')}/{glob}")
-    )
+    # Spark parses a line only as far as it is asked to; the body is asked for along with the mark.
+    lost = F.col(CORRUPT).isNotNull() & F.col("body").isNull()
+    df = _archive_lines(spark, root, glob).filter(~lost)
     path = F.col("_metadata.file_path")
+    text = {f.name for f in schemas.RAW_COMMENT.fields if isinstance(f.dataType, T.StringType)}
+    df = df.withColumns({f.name: F.col(f.name).try_cast(f.dataType) for f in schemas.RAW_COMMENT.fields
+                         if f.name not in text})
     return df.select(
         F.coalesce(F.col("id"), F.concat(F.lit("row-"), F.monotonically_increasing_id().cast("string")))
         .alias("doc_id"),
@@ -44,6 +54,13 @@ def read_archive(spark: SparkSession, root: str, glob: str = "*/*", *,
     )
 
 
+def archive_report(spark: SparkSession, root: str, glob: str = "*/*") -> DataFrame:
+    """``(file, lines, dropped)``: how many lines each archive file has and how many are no JSON."""
+    return (_archive_lines(spark, root, glob).select(F.col("_metadata.file_path").alias("file"), CORRUPT, "body")
+            .groupBy("file").agg(F.count(F.lit(1)).alias("lines"), F.count(CORRUPT).alias("dropped"),
+                                 F.count("body").alias("with_body")))
+
+
 def archive_months(spark: SparkSession, root: str, glob: str = "*/*") -> DataFrame:
     """Discover ``(year, month, file)`` of every archive file without reading row data."""
     df = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/{glob}").select("path")
@@ -66,7 +83,7 @@ def write_comment_parquet(comments: DataFrame, out: str) -> None:
         comments.select("doc_id", "body", "subreddit", "score", "ups", "downs",
                         F.col("year").cast("int").alias("year"),
                         zero_padded_month("month").alias("month"))
-        .sortWithinPartitions("year", "month", "doc_id")
+        .sortWithinPartitions("year", "month")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")

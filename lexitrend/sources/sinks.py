@@ -2,21 +2,41 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions import zero_padded_month
+from ..functions import month_from_parts, zero_padded_month
+from ..operators.fact import append_new_words
 from ..session import ensure_checkpoint_dir
 
 
-def write_monthly(df: DataFrame, out: str, month_col: str = "year_month",
-                  sort_by: Sequence[str] = ("word",)) -> None:
-    """Write a monthly result under ``year=/month=`` folders (snappy), replacing only the months
-    present in ``df``. Rows are sorted by ``word`` inside each file so Parquet min/max statistics
-    let point lookups skip row groups; there is no global sort and no repartition by month (a
-    month's whole vocabulary would then pass through one task)."""
+def _path(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a folder at ``path``; storage and permission errors are raised."""
+    hpath, fs = _path(spark, path)
+    return fs.exists(hpath)
+
+
+def same_path(spark: SparkSession, a: str, b: str) -> bool:
+    (pa, fa), (pb, fb) = _path(spark, a), _path(spark, b)
+    return fa.makeQualified(pa).toString() == fb.makeQualified(pb).toString()
+
+
+def write_monthly(df: DataFrame, out: str, month_col: str = "year_month", sort_by: Sequence[str] = ("word",),
+                  months: Sequence[dt.date] | None = None) -> None:
+    """Write a monthly result under ``year=/month=`` folders (snappy), replacing the months
+    present in ``df``; with ``months``, those that ``df`` has no rows for are emptied too. Rows
+    are sorted by ``word`` inside each file so Parquet min/max statistics let point lookups skip
+    row groups; there is no global sort and no repartition by month (a month's whole vocabulary
+    would then pass through one task)."""
     m = F.col(month_col)
     (
         df.withColumn("year", F.year(m)).withColumn("month", zero_padded_month(F.month(m)))
@@ -28,34 +48,46 @@ def write_monthly(df: DataFrame, out: str, month_col: str = "year_month",
         .partitionBy("year", "month")
         .parquet(out)
     )
+    if months:
+        spark = df.sparkSession
+        left = {r[0] for r in df.select(month_col).distinct().collect()}  # one row per month at most
+        for month in set(months) - left:
+            hpath, fs = _path(spark, f"{out.rstrip('/')}/year={month.year}/month={month.month:02d}")
+            fs.delete(hpath, True)
 
 
-def read_monthly(spark, path: str) -> DataFrame:
-    """Read a result written by :func:`write_monthly` back with its ``year_month`` column."""
-    df = spark.read.parquet(path)
-    return df.withColumn("year_month", F.make_date(F.col("year").cast("int"),
-                                                   F.col("month").cast("int"), F.lit(1))) \
-        .drop("year", "month")
+def read_monthly(spark: SparkSession, path: str, start: str | None = None, end: str | None = None,
+                 schema: T.StructType | None = None) -> DataFrame:
+    """Read a result written by :func:`write_monthly` back with its ``year_month`` column; the
+    optional month bounds touch partition columns only, so Spark reads just those folders. With
+    the ``schema`` of the result, a table whose months were all emptied reads as no rows."""
+    reader = spark.read
+    if schema is not None:
+        data = [f for f in schema.fields if f.name != "year_month"]
+        reader = reader.schema(T.StructType([*data, T.StructField("year", T.IntegerType()),
+                                             T.StructField("month", T.IntegerType())]))
+    df = reader.parquet(path)
+    ym = month_from_parts("year", "month")
+    if start is not None:
+        df = df.filter(ym >= F.to_date(F.lit(str(start))))
+    if end is not None:
+        df = df.filter(ym <= F.to_date(F.lit(str(end))))
+    return df.withColumn("year_month", ym).drop("year", "month")
 
 
 def overwrite(df: DataFrame, out: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace a table (used for ``word_definitions`` and the six yearly tables)."""
-    writer = df.write.mode("overwrite").option("compression", "snappy")
+    """Replace a whole table (used for ``word_definitions`` and the six yearly tables)."""
+    writer = df.write.mode("overwrite").option("compression", "snappy").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(out)
 
 
-def insert_if_absent(new: DataFrame, existing: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Rows of ``new`` whose key is not yet in ``existing`` (row-level insert-if-absent)."""
-    return new.join(existing.select(*key).distinct(), list(key), "left_anti")
-
-
 def append_new(new: DataFrame, existing: DataFrame, key: Sequence[str], out: str) -> None:
     """Append only rows with a new key to the Parquet table at ``out``.
 
     The key set is cut from ``out``'s lineage with a checkpoint before the write, so the job
     never reads and writes the same files in one plan."""
     ensure_checkpoint_dir(new.sparkSession)
-    rows = insert_if_absent(new, existing, key).checkpoint(eager=True)
+    rows = append_new_words(new, existing, key).checkpoint(eager=True)
     rows.write.mode("append").option("compression", "snappy").parquet(out)

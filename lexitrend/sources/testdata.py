@@ -45,12 +45,11 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``comments(doc_id, subreddit, body, year_month)``: documents joined to orders on key.
 
     Both sides grow with the data (orders is 15x documents), so this is a shuffle join on the
-    key, never a broadcast. The hash join builds on the narrow orders side and leaves the text
-    rows unsorted; the comments come out hash-partitioned on ``doc_id`` across the shuffle
+    key, never a broadcast; the comments come out partitioned on ``doc_id`` across the shuffle
     partitions, which is what spreads the per-comment tokenising over all cores.
     """
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate").hint("shuffle_hash")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     return docs.join(orders, docs["doc_id"] == orders["o_orderkey"], "inner").select(
         F.col("doc_id"),
         F.col("source").alias("subreddit"),

@@ -4,9 +4,8 @@ New comment files landing in the ``year=/month=`` Parquet layout are picked up b
 (``trigger(availableNow=True)`` processes what is there and stops; a processing-time trigger
 keeps watching). Each micro-batch only names the months it touched; those months are then
 recomputed from the *whole* month partitions (partition-pruned reads), because frequencies are
-shares of a month total and need the full month. Results replace exactly those months (dynamic
-partition overwrite) and new ``(word, year_month)`` keys are appended to the fact table
-(insert-if-absent).
+shares of a month total and need the full month. Counts, sentiment and fact rows all replace
+exactly those months, so late files of a month already loaded change its facts as well.
 
 Every step is idempotent, so a micro-batch that is retried after an executor or driver loss
 writes the same result again; the stream's own progress lives in ``checkpoint_location`` (a
@@ -21,7 +20,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from .. import constants as C
 from .. import schemas
 from ..functions import month_from_parts
 from ..operators import fact as FT
@@ -38,7 +36,7 @@ class MonthlyInputs:
     boosters: DataFrame | None = None
     negations: DataFrame | None = None
     stopwords: DataFrame | None = None
-    target: int | None = C.SENTIMENT_SAMPLE_TARGET
+    target: int | None = None
     seed: int = 0
     ngram_orders: tuple[int, ...] = (1,)
 
@@ -51,20 +49,14 @@ def refresh_months(spark: SparkSession, comments_root: str, out_root: str, month
     root = out_root.rstrip("/")
     comments = SC.read_comment_parquet(spark, comments_root).filter(F.col("year_month").isin(months))
     for n in inputs.ngram_orders:
-        SK.write_monthly(FQ.monthly_ngrams(comments, n), f"{root}/{n}_gram_counts")
+        SK.write_monthly(FQ.monthly_ngrams(comments, n), f"{root}/{n}_gram_counts", months=months)
     sent = S.monthly_word_sentiment(comments, inputs.bank, inputs.lexicon, inputs.boosters,
                                     inputs.negations, target=inputs.target, seed=inputs.seed)
-    SK.write_monthly(sent, f"{root}/sentiment")
-    counts = SK.read_monthly(spark, f"{root}/1_gram_counts").filter(F.col("year_month").isin(months))
-    sent_m = SK.read_monthly(spark, f"{root}/sentiment").filter(F.col("year_month").isin(months))
-    new = FT.words_fact(counts, sent_m, inputs.stopwords)
-    words_path = f"{root}/words"
-    try:
-        existing = spark.read.schema(schemas.WORDS).parquet(words_path)
-        existing.schema  # noqa: B018 - resolve now: a missing table raises here
-    except Exception:  # noqa: BLE001 - first batch: the table does not exist yet
-        existing = spark.createDataFrame([], schemas.WORDS)
-    SK.append_new(new, existing, schemas.WORDS_KEY, words_path)
+    SK.write_monthly(sent, f"{root}/sentiment", months=months)
+    counts = SK.read_monthly(spark, f"{root}/1_gram_counts", schema=schemas.NGRAM_COUNTS)
+    sent_m = SK.read_monthly(spark, f"{root}/sentiment", schema=schemas.WORD_SENTIMENT)
+    counts, sent_m = (df.filter(F.col("year_month").isin(months)) for df in (counts, sent_m))
+    SK.write_monthly(FT.words_fact(counts, sent_m, inputs.stopwords), f"{root}/words", months=months)
 
 
 def start(spark: SparkSession, comments_root: str, out_root: str, checkpoint_location: str,

@@ -129,6 +129,48 @@ def test_word_explorer_fills_zero_months(words, spark):
     assert missing == ["b", "zz"]
 
 
+def test_small_frequencies_are_ranked_apart(spark):
+    """Spikes of the order 1e-14 in steps of 2e-14: 100 words, ranks 1 to 100."""
+    rows = [(f"w{i:03}", d(y), 10, 1e-12 + (i * 1e-14 if y == 2011 else 0.0), 0.0, 0.0)
+            for i in range(300) for y in (2010, 2011, 2012)]
+    top = TR.top_frequency_spikes(TR.yearly_rollup(spark.createDataFrame(rows, WORDS))).collect()
+    assert sorted((r["rank"], r["word"]) for r in top) == [(k, f"w{300 - k:03}") for k in range(1, 101)]
+
+
+def test_trend_top10_shows_tied_words_each_once(spark):
+    rows = [(f"w{i}", d(y), 50, 0.1 if y != 2011 else 0.2, 0.1 if y != 2011 else 0.3, 0.0)
+            for i in range(4) for y in (2010, 2011, 2012)]
+    trends = TR.yearly_trends(TR.yearly_rollup(spark.createDataFrame(rows, WORDS)), min_count=10)
+    got = X.trend_top10(trends, 2011).collect()
+    assert len(got) == 6 * 4
+    for chart in {r["chart"] for r in got}:
+        own = sorted((r["position"], r["word"]) for r in got if r["chart"] == chart)
+        assert own == [(1, "w0"), (2, "w1"), (3, "w2"), (4, "w3")]
+
+
+def test_large_dimensions_join_by_salted_shuffle(spark):
+    from lexitrend.operators import broadcast as BR
+    from lexitrend.operators import frequency as FQ
+
+    comments = spark.createDataFrame([(1, "a b b c"), (2, None), (None, "b d"), (1, "")], "doc_id long, body string") \
+        .withColumn("year_month", F.to_date(F.lit("2010-01-01")))
+    bank = spark.createDataFrame([("b",), ("c",), (None,)], "word string")
+
+    def results():
+        return [sorted(map(str, df.collect())) for df in (
+            B.matched_tokens(comments, bank), FQ.monthly_ngrams_of(comments, bank),
+            B.remove_stopwords(FQ.word_counts(comments), bank),
+            BR.join_dimension(comments, spark.createDataFrame([("b d", 7)], "body string, x int"), "body", "left"))]
+
+    small = results()
+    spark.conf.set(BR.MAX_BYTES_CONF, "0")
+    try:
+        assert "BroadcastExchange" not in B.matched_tokens(comments, bank)._jdf.queryExecution().executedPlan().toString()
+        assert results() == small
+    finally:
+        spark.conf.unset(BR.MAX_BYTES_CONF)
+
+
 def test_yearly_words_year_choice():
     from lexitrend import constants as C
 

@@ -24,8 +24,29 @@ def test_rank_filter_becomes_group_limit(spark):
 @pytest.mark.parametrize("name", ["word_frequencies", "word_sentiment", "lexicon_sentiment",
                                   "densify_months", "yearly_words"])
 def test_no_python_in_plan(spark, name):
-    p = _plan(E.queries()[name](spark, SF))
-    assert "PythonUDF" not in p and "ArrowEvalPython" not in p and "BatchEvalPython" not in p
+    from lexitrend.plans.catalog import plans_of
+
+    for p in plans_of(spark, SF, name).values():
+        assert "PythonUDF" not in p and "ArrowEvalPython" not in p and "BatchEvalPython" not in p
+
+
+def test_facts_read_and_tokenise_the_comments_once(spark):
+    """The checkpointed stage is looked at too: one scan of the texts, one vocabulary broadcast."""
+    from lexitrend.plans.catalog import plans_of
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")    # leaves the hinted broadcasts
+    try:
+        stage = plans_of(spark, SF, "words_fact")["words"].split("== Initial Plan ==")[-1]
+        # The facts and the month totals come out of one aggregate (one exchange, used twice).
+        assert stage.count("BroadcastExchange") in (2, 3) and "Scan parquet" in stage
+        assert _plan(E.queries()["lexicon_sentiment"](spark, SF)).count("BroadcastExchange") == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_year_filter_reaches_the_ranks(spark):
+    p = E.queries()["yearly_words"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert p.count("year(year") >= 6
 
 
 def test_frequency_totals_not_collected(spark):

@@ -148,6 +148,71 @@ def test_rules_have_effect(scored):
     assert scored[9] > 0                # a lone "kind" is
 
 
+def _comments(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, body string").withColumn(
+        "year_month", F.to_date(F.lit("2010-01-01")))
+
+
+def test_repeated_and_null_ids_are_scored_row_by_row(spark):
+    rows = [(1, "good"), (1, "bad bad"), (None, "great yay"), (None, "sad"), (None, "sad")]
+    lex = spark.createDataFrame(list(LEX.items()), "word string, valence double")
+    got = S.lexicon_sentiment(_comments(spark, rows), lex).collect()
+    assert sorted(r["compound"] for r in got) == pytest.approx(sorted(brute(b) for _, b in rows))
+    assert sorted(str(r["doc_id"]) for r in got) == ["1", "1", "None", "None", "None"]
+    word = S.monthly_word_sentiment(_comments(spark, rows), spark.createDataFrame([("sad",)], "word string"), lex).first()
+    assert word["avg_sentiment"] == pytest.approx(brute("sad"))
+
+
+def test_random_texts_match_sequential_rules(spark):
+    import random
+
+    rng = random.Random(3)
+    pool = [*LEX, *BOOST, *NEG, "but", "so", "this", "least", "at", "without", "doubt", "of", "don't", "x", "y", "GOOD", "BAD!", "Very"]
+    texts = [" ".join(rng.choice(pool) for _ in range(rng.randrange(1, 14))) for _ in range(400)]
+    lex = spark.createDataFrame(list(LEX.items()), "word string, valence double")
+    boo = spark.createDataFrame(list(BOOST.items()), "word string, scalar double")
+    neg = spark.createDataFrame([(w,) for w in NEG], "word string")
+    got = {r["doc_id"]: r["compound"] for r in S.lexicon_sentiment(
+        _comments(spark, list(enumerate(texts))), lex, boo, neg).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == pytest.approx(brute(t), abs=1e-9), t
+
+
+def test_idioms(spark):
+    lex = spark.createDataFrame([("bomb", -2.0), ("good", 1.9)], "word string, valence double")
+    idioms = spark.createDataFrame([("the bomb", 3.0), ("good grief now", -1.0)], "phrase string, valence double")
+    texts = ["this show is the bomb", "it was a bomb", "well well well good grief now", "well well well good grief"]
+
+    def c(v):
+        return round(v / math.sqrt(v * v + C.NORMALIZE_ALPHA), 4)
+
+    got = {r["doc_id"]: r["compound"] for r in S.lexicon_sentiment(
+        _comments(spark, list(enumerate(texts))), lex, idioms=idioms).collect()}
+    assert [got[i] for i in range(4)] == pytest.approx([c(3.0), c(-2.0), c(-1.0), c(1.9)])
+
+
+def test_single_characters_can_be_left_out_of_distances(spark):
+    lex = spark.createDataFrame([("good", 1.9)], "word string, valence double")
+    neg = spark.createDataFrame([("not",)], "word string")
+    texts = [(1, "not a b c good")]
+    far = S.lexicon_sentiment(_comments(spark, texts), lex, negations=neg).first()["compound"]
+    near = S.lexicon_sentiment(_comments(spark, texts), lex, negations=neg, drop_single_chars=True).first()["compound"]
+    assert far > 0 > near
+
+
+def test_one_pass_facts_equal_the_joined_operators(spark):
+    from lexitrend.operators import fact as FT
+    from lexitrend.operators import frequency as FQ
+
+    rows = [(1, "good yay yay"), (None, "bad yay solo"), (3, ""), (4, None), (4, "x y z")]
+    lex = spark.createDataFrame(list(LEX.items()), "word string, valence double")
+    bank = spark.createDataFrame([("yay",), ("solo",), ("never-seen",)], "word string")
+    c = _comments(spark, rows)
+    want = FT.words_fact(FQ.monthly_ngrams_of(c, bank), S.monthly_word_sentiment(c, bank, lex)).collect()
+    got = S.monthly_word_facts(c, bank, lex).select(*FT.FACT_COLUMNS).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, want), key=str) and len(got) == 2
+
+
 def test_word_sentiment_counts_repeats(spark):
     """A bank word used three times adds its comment's score three times (K6)."""
     comments = spark.createDataFrame(
@@ -180,3 +245,6 @@ def test_sample_is_repeatable_and_bounded(spark):
     assert ids_a == sorted(r[0] for r in b.select("doc_id").collect())
     assert 50 < len(ids_a) < 160
     assert S.sample_to_target(df, 10_000).count() == df.count()
+    none = spark.createDataFrame([(None, f"t{i}") for i in range(400)], "doc_id long, body string").withColumn(
+        "year_month", F.to_date(F.lit("2010-01-01")))
+    assert 60 < S.sample_to_target(none, 100).count() < 150     # rows without a key draw one by one

@@ -85,6 +85,27 @@ def test_word_lists(spark, tmp_path):
     assert bad.count() == 3 + 6
 
 
+def test_odd_number_fields_lose_no_comment(spark, tmp_path):
+    os.makedirs(tmp_path / "raw/2010")
+    lines = ['{"body": "one", "score": 1}', '{"body": "two", "score": "7"}', '{"body": "three", "score": 2.5}',
+             '{"body": "four", "score": null, "ups": {"x": 1}}', "not json"]
+    with bz2.open(tmp_path / "raw/2010/RC_2010-01.bz2", "wt") as f:
+        f.write("\n".join(lines) + "\n")
+    got = {r["body"]: r["score"] for r in SC.read_archive(spark, str(tmp_path / "raw")).collect()}
+    assert set(got) == {"one", "two", "three", "four"} and got["one"] == 1 and got["two"] == 7
+    report = SC.archive_report(spark, str(tmp_path / "raw")).first()
+    assert (report["lines"], report["dropped"]) == (5, 1)
+
+
+def test_dictionary_lines_of_wrong_length(spark, tmp_path):
+    p = tmp_path / "dict.csv"
+    p.write_text("word,definition,up_votes,author\nok,fine,1,a\nshort,two\nlong,x,2,b,c,d\n")
+    every = {r["word"]: r["definition"] for r in L.read_dictionary(spark, str(p)).collect()}
+    assert every == {"ok": "fine", "short": "two", "long": "x"}
+    some = [r["word"] for r in L.read_dictionary(spark, str(p), skip_long_lines=True).collect()]
+    assert sorted(some) == ["ok", "short"]
+
+
 def test_dictionary_csv(spark, tmp_path):
     p = tmp_path / "dict.csv"
     p.write_text('word,definition,up_votes,author\nlol,"laugh, out\nloud",10,x\nyo,hey,3,y\nbad,row,notanumber,z\n')

@@ -1,5 +1,7 @@
 """Summarize the physical plan of each registered query: shuffles, broadcasts, join kinds,
-group limits, generators and the columns each scan reads. Writes Markdown to stdout.
+group limits, generators and the columns each scan reads. Stages that a query materializes
+first (the fact table, the roll-up) have a row of their own, planned as they run before their
+checkpoint. Writes Markdown to stdout.
 
 Usage: python tools/plan_report.py [sf_dir]
 """
@@ -24,18 +26,20 @@ def summarize(plan: str) -> dict[str, int]:
 def main() -> None:
     from lexitrend.session import local_session
 
-    import __spark_entry__ as E
+    from lexitrend.plans.catalog import QUERIES, plans_of
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = local_session(shuffle_partitions=16)
     print("| query | shuffles | broadcasts | SMJ | SHJ | BHJ | group limit | generate | scans read |")
     print("|---|---|---|---|---|---|---|---|---|")
-    for name, fn in E.queries().items():
-        df = fn(spark, sf)
-        plan = df._jdf.queryExecution().executedPlan().toString()
+    seen = set()
+    for name, plan in ((n, p) for q in QUERIES for n, p in plans_of(spark, sf, q).items()):
+        if name in seen:
+            continue
+        seen.add(name)
         s = summarize(plan)
-        reads = sorted(set(re.findall(r"ReadSchema: struct<([^>]*)>", df._jdf.queryExecution().explainString(
-            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")))))
+        reads = sorted(set(re.findall(r"ReadSchema: struct<([^>]*)>", plan)))
+        name = name if name in QUERIES else f"{name} (materialized stage)"
         print(f"| {name} | {s['Exchange hashpartitioning'] + s['Exchange SinglePartition']} | "
               f"{s['BroadcastExchange']} | {s['SortMergeJoin']} | {s['ShuffledHashJoin']} | "
               f"{s['BroadcastHashJoin']} | {s['WindowGroupLimit']} | {s['Generate']} | "
