@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_arrow, out_batch, slices, staged, texts_of
+from .common import map_arrow, out_batch, slices, staged
 
 SEQ_LEN = 4096
 CLASS = 8
@@ -184,22 +184,22 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 2, seq_len: int =
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from .tokens import encoder_of
+        from .tokens import SLICE_CHARS, encoder_of
 
-        encoder, end = encoder_of(tokenizer_path), np.array([end_id], "<u4").tobytes()
+        encoder = encoder_of(tokenizer_path)
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             schema = pa.schema([("doc_id", ids.type), ("start", pa.int64()), ("length", pa.int64()),
                                 ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64())])
-            for lo, hi in slices(texts):
+            for lo, hi in slices(texts, SLICE_CHARS):
+                tokens, size = encoder.encode_ended(texts.slice(lo, hi - lo), end_id)
+                raw, first = memoryview(tokens.tobytes()), (np.cumsum(size) - size).tolist()
                 at, start, length, crc, total = [], [], [], [], []
-                for k, raw in enumerate(encoder.encode(texts_of(texts, lo, hi))):
-                    raw = memoryview(raw + end)
-                    n = len(raw) // 4
-                    for a in range(0, n, seq_len):
-                        part = raw[4 * a: 4 * (a + seq_len)]
+                for k, (a, n) in enumerate(zip(first, size.tolist())):
+                    for begin in range(0, n, seq_len):
+                        part = raw[4 * (a + begin): 4 * (a + min(n, begin + seq_len))]
                         at.append(lo + k)
-                        start.append(a)
+                        start.append(begin)
                         length.append(len(part) // 4)
                         crc.append(zlib.crc32(part))
                         total.append(n)

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import map_arrow, out_batch, slices, staged, texts_of, work_dir
+from .common import map_arrow, out_batch, slices, staged, work_dir
 
 MAX_BITS = 20
 BLOCK_IDS = 1 << 19
@@ -136,29 +136,29 @@ def token_rows(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str =
     rows = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).cast("string").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from .tokens import encoder_of
+        from .tokens import SLICE_CHARS, encoder_of
 
-        encoder, end = encoder_of(tokenizer_path), np.array([end_id], "<u4").tobytes()
+        encoder = encoder_of(tokenizer_path)
         for batch in batches:
             docs_, texts = batch.column(0), batch.column(1)
             schema = pa.schema([("_doc", docs_.type), ("_n", pa.int64()), ("_crc", pa.int64()),
                                 ("_ids", pa.binary())])
-            for lo, hi in slices(texts):
-                ids = [i + end for i in encoder.encode(texts_of(texts, lo, hi))]
+            for lo, hi in slices(texts, SLICE_CHARS):
+                ids, size = encoder.encode_ended(texts.slice(lo, hi - lo), end_id)
+                wide = ids.max(initial=0) > 0xFFFF
+                mark, raw = (b"\4", memoryview(ids.tobytes())) if wide else (b"\2", memoryview(ids.astype("<u2").tobytes()))
+                width, whole = 4 if wide else 2, memoryview(ids.tobytes())
+                cut = np.concatenate(([0], np.cumsum(size))).tolist()
                 yield out_batch(schema, {
-                    "_doc": docs_.slice(lo, hi - lo), "_n": [len(i) // 4 for i in ids],
-                    "_crc": [zlib.crc32(i) for i in ids], "_ids": [pack(i) for i in ids]})
+                    "_doc": docs_.slice(lo, hi - lo), "_n": size,
+                    "_crc": [zlib.crc32(whole[4 * a: 4 * b]) for a, b in zip(cut, cut[1:])],
+                    "_ids": [mark + raw[width * a: width * b] for a, b in zip(cut, cut[1:])]})
 
     return map_arrow(rows, run, f"_doc {dict(rows.dtypes)['_doc']}, _n long, _crc long, _ids binary")
 
 
-def pack(ids: bytes) -> bytes:
-    """The ids in two bytes each with a leading 2, or in four with a leading 4."""
-    a = np.frombuffer(ids, "<u4")
-    return b"\4" + ids if a.max(initial=0) > 0xFFFF else b"\2" + a.astype("<u2").tobytes()
-
-
 def unpack(packed: bytes) -> np.ndarray:
+    """The ids of a stored document: a first byte 2 or 4 says how many bytes each takes."""
     return np.frombuffer(packed, "<u4" if packed[0] == 4 else "<u2", offset=1)
 
 

@@ -1,36 +1,47 @@
 """Token ids of whole texts with the tokenizers library.
 
-``Encoder.encode(texts)`` gives, for each text, the ids the library gives for that text. Both
-tokenizer files cut a text at a single space before anything else, so a text is encoded piece by
-piece (a space and what follows up to the next space) and the ids of frequent pieces are kept in
-a bounded table. Texts where a space meets other white space, where the cut would depend on both
-sides, go to the library whole.
+``Encoder.encode(texts)`` gives, for each text, the ids that the library gives for it. The
+tokenizer files cut a text at a single space or line break, and between letters and a sign such
+as a comma, before anything else; so it is enough to have the library encode the distinct pieces
+of a slice of texts (all plain words in one text, cut again where a word begins or ends) and to put
+the texts together from them. Arrow cuts the texts and finds the distinct pieces, numpy puts the
+ids together; there is no Python step per word. Texts where white space meets white space, where
+the cut would depend on both sides, go to the library whole.
 """
 
 from __future__ import annotations
 
 import functools
 import os
-import re
-from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Pieces whose ids one Python worker keeps; the table is started anew when it is full.
-MAX_PIECES = 1_200_000
-_MARK = "~"
+#: Characters of text that are encoded at once; the more, the more often a piece recurs.
+SLICE_CHARS = 8_000_000
+#: Tails (a sign and what follows it) that are kept from slice to slice.
+MAX_TAILS = 50_000
 #: Letters, then a tail from the first of these signs on: both files cut between the two.
-_STEM = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:*$%&#].*)", re.S)
+_STEM = "(?s)^(?P<stem>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[.,!?;:*$%&#].*)$"
+_BLANK = r"^(?:$|[\s\pZ\x{85}\x{1c}-\x{1f}])"
 
 
 @functools.lru_cache(maxsize=2)
 def encoder_of(path: str) -> Encoder:
-    """The encoder of a Python worker: its pieces stay known from task to task."""
+    """The encoder of a Python worker, kept from task to task."""
     return Encoder(path)
 
 
+def _gather(ids: np.ndarray, size: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Entries ``which`` of a list of entries (``size`` ids each, one after the other)."""
+    begin, each = (np.cumsum(size) - size)[which], size[which]
+    end = np.cumsum(each)
+    return ids[np.repeat(begin - (end - each), each) + np.arange(int(end[-1]) if len(end) else 0)], each
+
+
 class Encoder:
-    """Ids for texts, as little-endian unsigned 32-bit bytes."""
+    """Ids for columns of texts."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -38,81 +49,114 @@ class Encoder:
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        self.pieces: dict[str, bytes] = {}
-        self.tails: dict[str, bytes] = {}
-        mark = self._ids([" " + _MARK])[0]
-        self.mark = mark[0] if len(mark) == 1 else None
         # Ids that begin a word with its space, or that end a word: where a text of words is cut.
         names = {i: t for t, i in self.tok.get_vocab().items()}
         flags = [names.get(i, "") for i in range(max(names, default=0) + 1)]
         self.ends_word = np.array([t.endswith("</w>") for t in flags])
-        self.begins_word = np.array([t.startswith("\u0120") for t in flags])
+        self.begins = {" ": np.array([t.startswith("\u0120") for t in flags]), "\n": np.zeros(len(flags), bool)}
+        line = self._ids(["\n"])[0]
+        if len(line) == 1:
+            self.begins["\n"][line] = True
+        self.tails: dict[str, np.ndarray] = {}
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _bytes(self, texts: list[str]) -> list[bytes]:
-        return [np.array(ids, "<u4").tobytes() for ids in self._ids(texts)]
-
-    def _learn(self, wanted: set[str]) -> None:
-        """Ids of new pieces. A piece of letters and a tail is put together from its two parts."""
-        pieces, tails = self.pieces, self.tails
-        parts = [(w, m[1], m[2]) for w in wanted if (m := _STEM.fullmatch(w))]
-        new_tails = list({t for _, _, t in parts}.difference(tails))
-        tails.update(zip(new_tails, self._bytes(new_tails)))
-        wanted = wanted.difference(w for w, _, _ in parts).union(s for _, s, _ in parts).difference(pieces)
-        stems = [w for w in wanted if w.isalpha()]
-        if not self._learn_words(stems):
-            stems = []
-        self._learn_whole(list(wanted.difference(stems)))
-        pieces.update((w, pieces[s] + tails[t]) for w, s, t in parts)
-
-    def _learn_words(self, stems: list[str]) -> bool:
-        """Plain words: all in one text, cut where a word begins or ends."""
-        if not stems:
-            return False
-        ids = np.array(self._ids([" " + " ".join(stems)])[0], "<u4")
-        begin = np.flatnonzero(self.begins_word[ids])
-        if len(begin) != len(stems):
-            begin = np.r_[0, np.flatnonzero(self.ends_word[ids])[:-1] + 1]
-        if len(begin) != len(stems) or begin[0] != 0:
-            return False
-        flat, los = ids.tobytes(), (4 * begin).tolist()
-        self.pieces.update(zip(stems, (flat[lo:hi] for lo, hi in zip(los, los[1:] + [len(flat)]))))
-        return True
-
-    def _learn_whole(self, wanted: list[str]) -> None:
-        """All in one text with a mark between them, cut at the mark's id."""
-        plain = [w for w in wanted if _MARK not in w] if self.mark is not None else []
-        if plain:
-            ids = np.array(self._ids([f" {_MARK} ".join(["", *plain, ""])[:-1]])[0], "<u4")
-            cuts = np.flatnonzero(ids == self.mark)
-            if len(cuts) == len(plain) + 1 and cuts[0] == 0:
-                flat = ids.tobytes()
-                los, his = (4 * cuts[:-1] + 4).tolist(), (4 * cuts[1:]).tolist()
-                self.pieces.update(zip(plain, (flat[lo:hi] for lo, hi in zip(los, his))))
-            else:
-                plain = []
-        rest = [w for w in wanted if _MARK in w] if plain else wanted
-        self.pieces.update(zip(rest, self._bytes([" " + w for w in rest])))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text."""
-        if len(self.pieces) > MAX_PIECES:
-            self.pieces.clear()
+    def _arrays(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(ids, "<u4") for ids in self._ids(texts)]
+
+    def _words(self, gap: str, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain words that each follow ``gap``, and how many each has."""
+        n = len(words)
+        if n == 0:
+            return np.empty(0, "<u4"), np.empty(0, np.int64)
+        held = words.to_pylist()
+        ids = np.array(self._ids([gap + gap.join(held)])[0], "<u4")
+        begin = np.flatnonzero(self.begins[gap][ids])
+        if len(begin) != n:
+            begin = np.append(0, np.flatnonzero(self.ends_word[ids])[:-1] + 1)
+        if len(begin) == n and begin[0] == 0:
+            return ids, np.diff(np.append(begin, len(ids)))
+        each = self._arrays([gap + w for w in held])
+        return np.concatenate(each), np.fromiter(map(len, each), np.int64, n)
+
+    def _tail_ids(self, tails: list[str]) -> list[np.ndarray]:
+        new = [t for t in tails if t not in self.tails]
+        if len(self.tails) + len(new) > MAX_TAILS:
             self.tails.clear()
-        split = [t.split(" ") for t in texts]
-        wanted = set(chain.from_iterable(split)).difference(self.pieces)
-        unsafe = {w for w in wanted if not w or w[0].isspace()}
-        wanted -= unsafe
-        if wanted:
-            self._learn(wanted)
-        whole = {i for i, p in enumerate(split) if not unsafe.isdisjoint(p[1:])} if unsafe else set()
-        out = [b""] * len(texts)
-        rest = [i for i in range(len(texts)) if i not in whole]
-        get = self.pieces.__getitem__
-        for i, head in zip(rest, self._bytes([split[i][0] for i in rest])):
-            out[i] = head + b"".join(map(get, split[i][1:]))
-        for i, ids in zip(whole, self._bytes([texts[i] for i in whole])):
-            out[i] = ids
-        return out
+            new = tails
+        self.tails.update(zip(new, self._arrays(new)))
+        return [self.tails[t] for t in tails]
+
+    def _pieces(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct pieces that follow a space, or begin with a line break, and their sizes."""
+        line = pc.starts_with(words, "\n")
+        bare = pc.if_else(line, pc.utf8_slice_codeunits(words, 1), words)
+        parts = pc.extract_regex(bare, _STEM)
+        cut = parts.is_valid()
+        stem = pc.if_else(cut, parts.field("stem"), bare)
+        plain = pc.match_substring_regex(stem, r"^\pL+$")
+        ids, sizes = [], []
+        place, total = np.zeros(len(words), np.int64), 0
+
+        def put(rows: np.ndarray, index: np.ndarray, new_ids: np.ndarray, new_size: np.ndarray) -> None:
+            nonlocal total
+            place[rows] = total + index
+            total += len(new_size)
+            ids.append(new_ids)
+            sizes.append(new_size)
+
+        for gap, group in ((" ", pc.invert(line)), ("\n", line)):
+            chosen = pc.and_(plain, group)
+            distinct = stem.filter(chosen).dictionary_encode()
+            put(np.flatnonzero(chosen), np.asarray(distinct.indices, dtype=np.int64), *self._words(gap, distinct.dictionary))
+            chosen = pc.and_(pc.invert(plain), group)
+            distinct = stem.filter(chosen).dictionary_encode()
+            each = self._arrays([gap + w for w in distinct.dictionary.to_pylist()])
+            put(np.flatnonzero(chosen), np.asarray(distinct.indices, dtype=np.int64),
+                np.concatenate([np.empty(0, "<u4"), *each]), np.fromiter(map(len, each), np.int64, len(each)))
+        tails = parts.field("tail").filter(cut).dictionary_encode()
+        each = self._tail_ids(tails.dictionary.to_pylist())
+        tail_place = np.zeros(len(words), np.int64)     # entry 0 below is empty
+        tail_place[np.flatnonzero(cut)] = 1 + np.asarray(tails.indices, dtype=np.int64)
+        size = np.concatenate([*sizes, [0], np.fromiter(map(len, each), np.int64, len(each))]).astype(np.int64)
+        both = np.stack((place, total + tail_place), axis=1).reshape(-1)
+        out, each_size = _gather(np.concatenate([*ids, *each]), size, both)
+        return out, each_size.reshape(-1, 2).sum(1)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and how many each text has (null: none)."""
+        n = len(texts)
+        if n == 0:
+            return np.empty(0, "<u4"), np.empty(0, np.int64)
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        pieces = split.flatten().dictionary_encode()
+        first = np.asarray(split.offsets)[:-1].astype(np.int64) - split.offsets[0].as_py()
+        words, which = pieces.dictionary, np.array(pieces.indices, dtype=np.int64)
+        heads = words.take(pa.array(which[first])).to_pylist()
+        unsafe = np.asarray(pc.match_substring_regex(pc.if_else(
+            pc.starts_with(words, "\n"), pc.utf8_slice_codeunits(words, 1), words), _BLANK))
+        owner = np.repeat(np.arange(n), np.diff(np.append(first, len(which))))
+        doubtful = unsafe[which]
+        doubtful[first] = False
+        whole = np.unique(owner[doubtful])
+        ids, size = self._pieces(words)
+        # Behind the pieces' entries: an empty one, the first pieces (no space before), whole texts.
+        extra = [np.empty(0, "<u4"), *self._arrays(heads)]
+        if len(whole):
+            which[np.isin(owner, whole)] = len(words)
+            kept = np.setdiff1d(np.arange(n), whole)
+            which[first[kept]] = len(words) + 1 + kept
+            which[first[whole]] = len(words) + len(extra) + np.arange(len(whole))
+            extra += self._arrays(texts.take(pa.array(whole)).to_pylist())
+        else:
+            which[first] = len(words) + 1 + np.arange(n)
+        size = np.concatenate((size, np.fromiter(map(len, extra), np.int64, len(extra))))
+        out, each = _gather(np.concatenate((ids, *extra)), size, which)
+        return out, np.add.reduceat(each, first)
+
+    def encode_ended(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Like ``encode``, with ``end_id`` behind each text's ids."""
+        ids, size = self.encode(texts)
+        return np.insert(ids, np.cumsum(size), end_id).astype("<u4", copy=False), size + 1
