@@ -12,7 +12,8 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
@@ -45,6 +46,19 @@ def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def look_up(rows: DataFrame, groups: DataFrame, keys: dict[str, str], spread: Column, salts: int = 16) -> DataFrame:
+    """``rows`` left-joined with ``groups`` (one row per key; ``keys`` maps the rows' columns to the
+    groups'). Each group is repeated per salt and ``spread`` deals a key's rows over the salts, so
+    the rows of one very large group do not meet in one task. Give only groups of two rows or
+    more: single rows then find nothing, and the repeated table stays small."""
+    right = groups.withColumn("_salt_g", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    left = rows.withColumn("_salt_r", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    on = F.col("_salt_r") == F.col("_salt_g")
+    for a, b in keys.items():
+        on = on & (F.col(a) == F.col(b))
+    return left.join(right, on, "left").drop("_salt_r", "_salt_g", *keys.values())
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, mix64, slices, staged, texts_of, word_hashes
+from .common import look_up, map_arrow, mix64, slices, staged, texts_of, word_hashes
 from .components import components
 
 WORDS = 5
@@ -331,8 +331,8 @@ def _classed(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> D
     # Equal sets: the least row stands for all of them.
     heads = table.groupBy("_k1", "_k2").agg(F.min("_row").alias("_head"), F.count(F.lit(1)).alias("_copies"))
     several = heads.filter("_copies > 1").select(F.col("_k1").alias("_h1"), F.col("_k2").alias("_h2"), "_head")
-    rows = staged(table.select("_row", "_doc", "_k1", "_k2").join(
-        several, (F.col("_k1") == F.col("_h1")) & (F.col("_k2") == F.col("_h2")), "left").select(
+    rows = staged(look_up(table.select("_row", "_doc", "_k1", "_k2"), several, {"_k1": "_h1", "_k2": "_h2"},
+                          F.col("_row")).select(
         "_row", "_doc", F.coalesce("_head", "_row").alias("_head")), "rows")
     copies = rows.filter("_row != _head").select("_row")
     bands = table.select("_row", F.explode("_bands").alias("_bucket")).join(copies, "_row", "left_anti")
@@ -352,7 +352,7 @@ def _classed(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> D
     classes = placed.groupBy("_class").agg(F.min(F.struct("_doc", "_row")).alias("_least"),
                                            F.count(F.lit(1)).alias("_size")).filter("_size > 1")
     single = F.struct("_doc", "_row")
-    return placed.join(classes.withColumnRenamed("_class", "_key"), F.col("_class") == F.col("_key"), "left").select(
+    return look_up(placed, classes.withColumnRenamed("_class", "_key"), {"_class": "_key"}, F.col("_row")).select(
         "_row", "_doc", F.coalesce("_least", single).alias("_least"), F.coalesce("_size", F.lit(1)).alias("_size"))
 
 

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import look_up, staged
 
 MIN_CHARS = 1024
 MAX_CHARS = 8192
@@ -65,16 +65,17 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256``.
 
     Two narrow shuffles by recipe: the group's largest id and size (summed per task first, so a
-    group of any size sends one row per task), and the rows that look their group up, which
-    adaptive execution splits where a group is very large.
+    group of any size sends one row per task), and the rows that look their group up, dealt over
+    salts so that a very large group is not one task's work.
     """
     r = staged(recipes(docs, id_col, text_col), "recipes")
     groups = r.groupBy("_recipe").agg(F.max("_doc").alias("keep_id"),
-                                      F.count(F.lit(1)).alias("group_size"))
-    return r.join(groups.withColumnRenamed("_recipe", "_key"),
-                  F.col("_recipe") == F.col("_key")).select(
-        F.col("_doc").alias(id_col), "keep_id", F.col("group_size").cast("long").alias("group_size"),
-        F.col("_doc").eqNullSafe(F.col("keep_id")).alias("kept"),
+                                      F.count(F.lit(1)).alias("_size")).filter("_size > 1")
+    found = look_up(r, groups.withColumnRenamed("_recipe", "_key"), {"_recipe": "_key"}, F.col("_doc"))
+    keep = F.when(F.col("_size").isNull(), F.col("_doc")).otherwise(F.col("keep_id"))
+    return found.select(
+        F.col("_doc").alias(id_col), keep.alias("keep_id"), F.coalesce("_size", F.lit(1)).cast("long").alias("group_size"),
+        F.col("_doc").eqNullSafe(keep).alias("kept"),
         F.col("_sha").alias("text_sha256"))
 
 
