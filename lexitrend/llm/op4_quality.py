@@ -209,7 +209,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     rows = sorted(map_arrow(sample, run, "id string, label int, x array<double>").collect(),
                   key=lambda r: r["id"])  # at most max_rows short vectors
-    x = np.array([r["x"] for r in rows]).reshape(len(rows), -1)
+    x = np.array([r["x"] for r in rows], float).reshape(len(rows), -1 if rows else 1)
     return fit(x, np.array([int(r["label"] == 1) for r in rows], np.int64))
 
 

@@ -26,6 +26,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import map_arrow, ship, slices, texts_of
 
@@ -94,8 +95,8 @@ class Matcher:
             self.automaton.make_automaton()
         self.empty = not places
 
-    def find(self, text: str) -> list[tuple[object, int, int]]:
-        """``(item key, distance, end in the normalised text)`` of the items within budget."""
+    def find(self, text: str) -> list[tuple[object, int, int, int]]:
+        """``(item key, distance, end in the normalised text, item characters)`` within budget."""
         if self.empty or not text:
             return []
         starts: dict[int, list[int]] = {}
@@ -117,7 +118,7 @@ class Matcher:
                     best = (d, a + end)
                 lo = hi
             if best:
-                found.append((key, *best))
+                found.append((key, *best, len(item)))
         return found
 
 
@@ -140,26 +141,22 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
     kinds = (dict(rows.dtypes)["doc_id"], dict(items.dtypes)[item_id_col])
     schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, distance int, match_end long, item_chars int"
 
+    item_type = to_arrow_type(items.schema[item_id_col].dataType)
+
     def searcher(block: list[tuple]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(block, error_rate)
-            sizes = {key: len(text) for key, text in block}
             for batch in batches:
                 ids, texts = batch.column(0), batch.column(1)
                 for lo, hi in slices(texts):
-                    at, item, dist, end = [], [], [], []
-                    for k, t in enumerate(texts_of(texts, lo, hi)):
-                        for key, d, e in matcher.find(normalise(t)):
-                            at.append(lo + k)
-                            item.append(key)
-                            dist.append(d)
-                            end.append(e)
-                    if at:
-                        out = pa.RecordBatch.from_arrays(
-                            [ids.take(pa.array(at, pa.int64())), pa.array(item), pa.array(dist, pa.int32()),
-                             pa.array(end, pa.int64()), pa.array([sizes[i] for i in item], pa.int32())],
+                    found = [(lo + k, *m) for k, t in enumerate(texts_of(texts, lo, hi))
+                             for m in matcher.find(normalise(t))]
+                    if found:
+                        at, item, dist, end, size = zip(*found)
+                        yield pa.RecordBatch.from_arrays(
+                            [ids.take(pa.array(at, pa.int64())), pa.array(item, item_type), pa.array(dist, pa.int32()),
+                             pa.array(end, pa.int64()), pa.array(size, pa.int32())],
                             names=["doc_id", "item_id", "distance", "match_end", "item_chars"])
-                        yield out
         return run
 
     result = None
