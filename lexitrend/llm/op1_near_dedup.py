@@ -209,9 +209,10 @@ def _dealt(rows: DataFrame, key: str, root: str, blocks: Column) -> DataFrame:
         F.col("_minor_blocks") + F.pmod(F.xxhash64("_row"), F.col("_bulk_blocks"))).cast("int")
     last = F.col("_minor_blocks") + F.col("_bulk_blocks") - 1
     others = F.when(minor, F.sequence(F.lit(0), last)).otherwise(F.sequence(F.lit(0), F.col("_minor_blocks") - 1))
-    return rows.join(bulk, F.col(key) == F.col("_key")).withColumn("_own", own).withColumn(
+    found = look_up(rows, bulk, {key: "_key"}, F.col("_row")).filter(F.col("_bulk").isNotNull())
+    return found.withColumn("_own", own).withColumn(
         "_other", F.explode(others)).withColumns({"_i": F.least("_own", "_other"), "_j": F.greatest("_own", "_other")}
-                                                 ).drop("_own", "_other", "_key", "_minor_blocks", "_bulk_blocks")
+                                                 ).drop("_own", "_other", "_minor_blocks", "_bulk_blocks")
 
 
 class _Union:
