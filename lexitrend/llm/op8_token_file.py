@@ -37,6 +37,8 @@ from .common import map_arrow, out_batch, slices, staged, work_dir
 MAX_BITS = 20
 BLOCK_IDS = 1 << 19
 CHECKPOINT = 512
+#: Ids that are coded at once; a multiple of ``CHECKPOINT``.
+RUN = 1 << 15
 #: Codebooks up to this many ids are sent to the tasks (a vocabulary, never data).
 MAX_VOCABULARY = 2_000_000
 
@@ -85,19 +87,26 @@ def canonical_codes(lengths: np.ndarray) -> np.ndarray:
 
 
 def encode_block(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[bytes, np.ndarray]:
-    """The bit string of ``ids`` and the bit offset of every ``CHECKPOINT``-th code."""
-    size = lengths.astype(np.uint64)[ids]
-    end = np.cumsum(size)
-    at = end - size
-    code, word, room = codes[ids], (at >> np.uint64(6)).astype(np.int64), np.uint64(64) - (at & np.uint64(63))
-    over = size > room
-    spill = np.where(over, size - room, 0).astype(np.uint64)
-    value = np.where(over, code >> spill, code << np.where(over, 0, room - size).astype(np.uint64))
-    first = np.flatnonzero(np.diff(word, prepend=-1))
-    words = np.zeros(int(end[-1] >> np.uint64(6)) + 2, np.uint64)
-    words[word[first]] = np.bitwise_or.reduceat(value, first)
-    words[word[over] + 1] |= code[over] << (np.uint64(64) - spill[over])
-    return words.astype(">u8").tobytes()[: (int(end[-1]) + 7) // 8], at[::CHECKPOINT].astype(np.int64)
+    """The bit string of ``ids`` and the bit offset of every ``CHECKPOINT``-th code. Ids are put
+    into 64-bit words a short run at a time, so that the run's arrays stay in the cache."""
+    bits = lengths.astype(np.int32)
+    words = np.zeros(int(bits[ids].sum(dtype=np.int64) >> 6) + 2, np.uint64)
+    marks, base = [], 0
+    for lo in range(0, len(ids), RUN):
+        part = ids[lo: lo + RUN]
+        size = bits[part]
+        end = np.cumsum(size, dtype=np.int64) + base
+        at = end - size
+        marks.append(at[::CHECKPOINT])
+        word, room, code = at >> 6, 64 - (at & 63) - size, codes[part]
+        value = code << np.maximum(room, 0).astype(np.uint64)
+        over = np.flatnonzero(room < 0)                    # codes that go on in the next word
+        value[over] = code[over] >> (-room[over]).astype(np.uint64)
+        first = np.append(0, np.flatnonzero(word[1:] != word[:-1]) + 1)
+        words[word[first]] |= np.bitwise_or.reduceat(value, first)
+        words[word[over] + 1] |= code[over] << (64 + room[over]).astype(np.uint64)
+        base = int(end[-1])
+    return words.astype(">u8").tobytes()[: (base + 7) // 8], np.concatenate(marks)
 
 
 def decode_table(lengths: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, int]:

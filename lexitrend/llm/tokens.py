@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Characters of text that are encoded at once; the more, the more often a piece recurs.
-SLICE_CHARS = 8_000_000
+SLICE_CHARS = 6_000_000
 #: Tails (a sign and what follows it) that are kept from slice to slice.
 MAX_TAILS = 50_000
 #: Letters, then a tail from the first of these signs on: both files cut between the two.
@@ -37,7 +37,11 @@ def _gather(ids: np.ndarray, size: np.ndarray, which: np.ndarray) -> tuple[np.nd
     """Entries ``which`` of a list of entries (``size`` ids each, one after the other)."""
     begin, each = (np.cumsum(size) - size)[which], size[which]
     end = np.cumsum(each)
-    return ids[np.repeat(begin - (end - each), each) + np.arange(int(end[-1]) if len(end) else 0)], each
+    total = int(end[-1]) if len(end) else 0
+    kind = np.int32 if max(total, len(ids)) < 1 << 31 else np.int64
+    at = np.repeat((begin - (end - each)).astype(kind), each)
+    at += np.arange(total, dtype=kind)
+    return ids[at], each
 
 
 class Encoder:
