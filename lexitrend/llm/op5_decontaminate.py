@@ -30,7 +30,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import map_arrow, ship, slices, texts_of
 
-ERROR_RATE = 0.05
+ERROR_RATE = 0.08
 #: Characters of items that one pass over the documents looks for; more items take more passes.
 BLOCK_CHARS = 1_000_000
 _GAP = re.compile(r"[\W_]+")
