@@ -19,7 +19,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Characters of text that are encoded at once; the more, the more often a piece recurs.
-SLICE_CHARS = 6_000_000
+SLICE_CHARS = 4_000_000
+#: Words in one call of the library, which takes some hundred bytes for each.
+WORDS_AT_ONCE = 20_000
 #: Tails (a sign and what follows it) that are kept from slice to slice.
 MAX_TAILS = 50_000
 #: Letters, then a tail from the first of these signs on: both files cut between the two.
@@ -71,17 +73,22 @@ class Encoder:
 
     def _words(self, gap: str, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of plain words that each follow ``gap``, and how many each has."""
+        ids, sizes = [np.empty(0, "<u4")], [np.empty(0, np.int64)]
+        for lo in range(0, len(words), WORDS_AT_ONCE):
+            new_ids, new_sizes = self._some_words(gap, words.slice(lo, WORDS_AT_ONCE).to_pylist())
+            ids.append(new_ids)
+            sizes.append(new_sizes)
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _some_words(self, gap: str, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         n = len(words)
-        if n == 0:
-            return np.empty(0, "<u4"), np.empty(0, np.int64)
-        held = words.to_pylist()
-        ids = np.array(self._ids([gap + gap.join(held)])[0], "<u4")
+        ids = np.array(self._ids([gap + gap.join(words)])[0], "<u4")
         begin = np.flatnonzero(self.begins[gap][ids])
         if len(begin) != n:
             begin = np.append(0, np.flatnonzero(self.ends_word[ids])[:-1] + 1)
         if len(begin) == n and begin[0] == 0:
             return ids, np.diff(np.append(begin, len(ids)))
-        each = self._arrays([gap + w for w in held])
+        each = self._arrays([gap + w for w in words])
         return np.concatenate(each), np.fromiter(map(len, each), np.int64, n)
 
     def _tail_ids(self, tails: list[str]) -> list[np.ndarray]:
