@@ -120,11 +120,13 @@ def _q(fn: Callable[[Inputs], DataFrame]) -> Callable[[SparkSession, str], DataF
 
 
 def plans_of(spark: SparkSession, sf_dir: str, name: str) -> dict[str, str]:
-    """The physical plans of a query: those of the stages it materializes, and its own."""
+    """The physical plans of a query as planned before adaptive execution: those of the stages it
+    materializes, and its own."""
     inputs = Inputs(spark, sf_dir)
     out = QUERIES[name].of(inputs)
     frames = {**inputs.stages, name: out}
-    return {k: df._jdf.queryExecution().executedPlan().toString() for k, df in frames.items()}
+    plans = {k: df._jdf.queryExecution().executedPlan().toString() for k, df in frames.items()}
+    return {k: p.split("== Initial Plan ==")[-1] for k, p in plans.items()}
 
 
 # --- scans --------------------------------------------------------------------------------
