@@ -9,7 +9,8 @@ failed base matches and the generators' matches that touch no base span. The exa
 per feature vector in Spark, so the trees are grown on the driver from a table whose size is
 bounded by the product of the bins, not by the data. A kind's score is calibrated by the examples' shares per score, and its threshold is
 the least one with the wanted precision. The trees are applied as one SQL expression; spans at
-or above their kind's threshold that overlap no base span and no span to their left are added.
+or above their kind's threshold are added if they are plausible (digits, Luhn), overlap no base
+span, no failed base match of their kind and no span to their left.
 
 Positions come from ``split`` and ``regexp_extract_all``: the lengths of the parts between
 matches and of the matches before one, summed by a window per row and pattern, so a text with
@@ -46,8 +47,9 @@ BASE = {
 }
 #: Further generators. All repetitions of groups are bounded or possessive.
 WIDE = {
-    "email": r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]++\x20?(?:\(at\)|\[at\]|@|\x20at\x20)\x20?[a-z0-9-]++"
-             r"(?:\x20?(?:\(dot\)|\[dot\]|\x20dot\x20|\.)\x20?[a-z0-9-]++)++",
+    "email": r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]++(?:\x20?(?:\(at\)|\[at\]|@)\x20?[a-z0-9-]++"
+             r"(?:(?:\x20?(?:\(dot\)|\[dot\])\x20?|\.)[a-z0-9-]++)++"
+             r"|\x20at\x20[a-z0-9-]++(?:\x20dot\x20[a-z0-9-]++)++)",
     "ip": r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){3,7}:?[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])",
     "card": r"(?<![0-9])[0-9](?:[\x20./_-]{0,2}[0-9]){12,18}(?![0-9])",
     "phone": r"(?<![0-9+])(?:00)?\(?[0-9][\x20().0-9/-]{7,18}[0-9](?![0-9])",
@@ -109,8 +111,12 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     valid = F.when(F.col("wide") == 1, F.lit(False)).when(F.col("kind") == 0, F.lit(True)).when(
         F.col("kind") == 1, F.forall(octets, lambda p: p.isNotNull() & (p <= 255))).when(
         F.col("kind") == 2, n.between(14, 19) & _luhn(F.substring(digits, 1, 19))).otherwise(n.between(10, 15))
-    return flat.withColumns({"start": start, "valid": valid}).select(
-        "_row", "_doc", "kind", "wide", "start", (F.col("start") + size).alias("end"), "valid",
+    # What a span in another notation must still satisfy, and base matches that speak against one.
+    plausible = F.when(F.col("kind") == 2, n.between(14, 19) & _luhn(F.substring(digits, 1, 19))).when(
+        F.col("kind") == 3, n.between(10, 15)).otherwise(F.lit(True))
+    return flat.withColumns({"start": start, "valid": valid, "plausible": plausible,
+                             "failed": (F.col("wide") == 0) & ~valid & (n >= 10)}).select(
+        "_row", "_doc", "kind", "wide", "start", (F.col("start") + size).alias("end"), "valid", "plausible", "failed",
         F.left("value", F.lit(64)).alias("value"), "left", "right")
 
 
@@ -234,7 +240,8 @@ def fit(found: DataFrame, precision: float = PRECISION) -> Model | None:
         share = np.cumsum(pos[own][order]) / np.cumsum((pos + neg)[own][order])
         good = np.flatnonzero(share >= precision)
         if len(good):
-            thresholds[kind] = float(score[own][order][good[-1]])
+            # The SQL expression carries eight decimals per tree.
+            thresholds[kind] = float(score[own][order][good[-1]]) - 1e-6
     return Model(bias, trees, thresholds)
 
 
@@ -246,23 +253,26 @@ def _named(spans: Column) -> Column:
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: ``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added``."""
-    by_start = Window.partitionBy("_row").orderBy("start", F.desc("_base"), "kind", "wide")
-    earlier = by_start.rowsBetween(Window.unboundedPreceding, -1)
-    later = by_start.rowsBetween(1, Window.unboundedFollowing)
+    order = ("start", F.desc("_base"), "kind", "wide")
+    earlier = Window.partitionBy("_row").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
 
-    def clear_of(spans: Column) -> Column:
-        return (F.coalesce(F.max(F.when(spans, F.col("end"))).over(earlier) <= F.col("start"), F.lit(True))
-                & F.coalesce(F.min(F.when(spans, F.col("start"))).over(later) >= F.col("end"), F.lit(True)))
+    def clear_of(spans: Column, *group: str) -> Column:
+        w = Window.partitionBy("_row", *group).orderBy(*order)
+        left = F.max(F.when(spans, F.col("end"))).over(w.rowsBetween(Window.unboundedPreceding, -1))
+        right = F.min(F.when(spans, F.col("start"))).over(w.rowsBetween(1, Window.unboundedFollowing))
+        return F.coalesce(left <= F.col("start"), F.lit(True)) & F.coalesce(right >= F.col("end"), F.lit(True))
 
     base = F.coalesce((F.col("wide") == 0) & F.col("valid"), F.lit(False))
     found = staged(candidates(docs, id_col, text_col).withColumn("_base", base)
-                   .withColumn("_free", clear_of(F.col("_base"))), "candidates")
+                   .withColumn("_free", clear_of(F.col("_base")))
+                   .withColumn("_open", clear_of(F.col("failed"), "kind")), "candidates")
     model = fit(found)
     wanted = F.lit(False)
     for kind, least in (model.thresholds if model else {}).items():
         wanted = wanted | ((F.col("kind") == kind) & (model.score() >= least))
-    # Only whole matches of the further generators are added; a failed base match is not tried again.
-    wanted = (F.col("wide") == 1) & F.col("_free") & (F.col("before") == 0) & (F.col("after") == 0) & wanted
+    # Only whole, plausible matches of the further generators are added, and none that touches a
+    # base match of its kind that failed its check: such a match is not tried again.
+    wanted = (F.col("wide") == 1) & F.col("_free") & F.col("_open") & F.col("plausible") & (F.col("before") == 0) & (F.col("after") == 0) & wanted
     marked = with_features(found).withColumn("_added", F.coalesce(wanted, F.lit(False)))
     left_end = F.max(F.when(F.col("_added"), F.col("end"))).over(earlier)
     kept = marked.withColumn("_kept", F.col("_base") | (

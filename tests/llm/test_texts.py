@@ -185,8 +185,15 @@ def test_trees_add_spans_in_other_notations(spark):
         n = "".join(rng.choice("0123456789") for _ in range(7))
         docs.append((i, f"please call +1 (20{i % 10}) {n[:3]}-{n[3:]} or mail u{i}@host{i % 7}.com ref x{n}{n}y and a code {n}.{n} of it"))
     docs.append((1000, "please call (202) 555-0137 now"))
+    docs.append((1001, "write to jane.doe (at) example.org or look at it. Then go."))
     got = {r["doc_id"]: r for r in pii.find(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert got[1000]["n_phone"] == 0 and got[1000]["spans"] == "phone:12:26" and got[1000]["n_added"] == 1
+    assert got[1001]["spans"] in ("email:9:34", "")    # e-mails have no failed look-alikes here to learn from
+
+
+def test_prose_gets_no_added_spans(spark):
+    got = pii.find(table(spark, "/root/testdata/sf0.1", "documents"))
+    assert got.filter("n_added > 0").count() == 0
 
 
 def test_pii_edges(spark):
