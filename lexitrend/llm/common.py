@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -78,9 +80,24 @@ def ship(spark: SparkSession) -> None:
 
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
               schema: str) -> DataFrame:
-    """``mapInArrow`` with this package on the workers."""
+    """``mapInArrow`` with this package on the workers; a task that is done gives its freed memory
+    back to the system, as its worker lives on beside the next stage's tasks."""
     ship(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fn(batches)
+        trim()
+
+    return df.mapInArrow(run, schema)
+
+
+def trim() -> None:
+    """Give freed memory back to the system (where the C library can)."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    give_back = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if give_back is not None:
+        give_back(0)
 
 
 def slices(column: pa.Array, limit: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
