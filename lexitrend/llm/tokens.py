@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Characters of text that are encoded at once; the more, the more often a piece recurs.
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 14_000_000
 #: Words in one call of the library, which takes some hundred bytes for each.
 WORDS_AT_ONCE = 20_000
 #: Tails (a sign and what follows it) that are kept from slice to slice.
