@@ -45,6 +45,8 @@ BASE = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
+#: A number up to 255, after any zeros: compared as text, since a part may have very many digits.
+OCTET = r"^0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])$"
 #: Further generators. All repetitions of groups are bounded or possessive.
 WIDE = {
     "email": r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]++(?:\x20?(?:\(at\)|\[at\]|@)\x20?[a-z0-9-]++"
@@ -107,9 +109,9 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     start = F.sum("gap").over(before) + F.sum(size).over(before) - size
     digits = F.regexp_replace("value", "[^0-9]", "")
     n = F.length(digits)
-    octets = F.transform(F.split("value", r"\."), lambda p: p.cast("decimal(38,0)"))
+    octets = F.split("value", r"\.")
     valid = F.when(F.col("wide") == 1, F.lit(False)).when(F.col("kind") == 0, F.lit(True)).when(
-        F.col("kind") == 1, F.forall(octets, lambda p: p.isNotNull() & (p <= 255))).when(
+        F.col("kind") == 1, F.forall(octets, lambda p: p.rlike(OCTET))).when(
         F.col("kind") == 2, n.between(14, 19) & _luhn(F.substring(digits, 1, 19))).otherwise(n.between(10, 15))
     # What a span in another notation must still satisfy, and base matches that speak against one.
     plausible = F.when(F.col("kind") == 2, n.between(14, 19) & _luhn(F.substring(digits, 1, 19))).when(
