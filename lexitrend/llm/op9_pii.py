@@ -5,7 +5,12 @@ High-recall generators propose further, overlapping spans: e-mails written with
 spaces, IPv6 addresses, card-like and phone-like runs of digits in other notations. Every
 candidate has small integer features of its format and of the text around it. Positive examples
 are the base spans rewritten in those other notations, in their own context; negative ones are
-failed base matches and the generators' matches that touch no base span. The examples are counted
+refuted matches: failed base matches, and the generators' matches that are not plausible, glued to
+letters or digits, or touch a failed base match. Free matches that nothing refutes may well be
+real, so they are no examples at all. A Luhn failure counts 1/9: for nine of them, one number passes
+by chance. Fixed examples of both sorts (``PRIOR``) come first, and a kind's examples of either sort
+from the data are scaled down to the weight of its fixed ones, so a kind behaves alike at
+every size. The examples are counted
 per feature vector in Spark, so the trees are grown on the driver from a table whose size is
 bounded by the product of the bins, not by the data. A kind's score is calibrated by the examples' shares per score, and its threshold is
 the least one with the wanted precision. The trees are applied as one SQL expression; spans at
@@ -22,7 +27,7 @@ Results that are fixed here:
 - a null text is an empty text: counts 0, ``spans`` empty, ``base_sha256`` that of no text;
 - every row gives one row, repeated and null ids too; further columns are ignored;
 - ``n_*`` count base spans, ``n_added`` the added ones; ``spans`` lists both;
-- with too few examples of either sort for a kind, nothing is added for it;
+- a kind without any example in the data is judged by the fixed examples alone;
 - an empty table gives an empty result.
 """
 
@@ -56,6 +61,9 @@ WIDE = {
     "card": r"(?<![0-9])[0-9](?:[\x20./_-]{0,2}[0-9]){12,18}(?![0-9])",
     "phone": r"(?<![0-9+])(?:00)?\(?[0-9][\x20().0-9/-]{7,18}[0-9](?![0-9])",
 }
+#: What an e-mail in another notation must end in, and what is prose rather than an address.
+TOP = r"(?i)[. )\]](?:[a-z]{2,24}|xn--[a-z0-9-]+)$"
+PROSE = r"(?i)\x20at\x20(?:an?|the|this|that|one|each|every|my|your|his|her|its|our|their)\x20dot\x20"
 CUES = {
     "email": r"(?i)mail|contact|write|e-?post|correo|courriel",
     "ip": r"(?i)\bip\b|host|server|addr",
@@ -66,8 +74,39 @@ FEATURES = ("kind", "wide", "digits", "letters", "marks", "groups", "longest", "
 
 TREES, DEPTH, RATE = 40, 3, 0.3
 PRECISION = 0.98
-#: Fewer examples of either sort than this, and a kind gets no added spans.
-MIN_EXAMPLES = 20
+#: Fixed examples: kind, whether it is personal data, text before, match, text after; and the weight of each.
+PRIOR: tuple[tuple[str, bool, str, str, str], ...] = (
+    ("email", True, "please write to ", "jane.doe (at) example.org", " or "),
+    ("email", True, "the list of ", "bob42 @ mail.example.com", ", an"),
+    ("email", True, "contact: ", "info [at] example [dot] com", ". Th"),
+    ("email", True, "as told to ", "anna at example dot com", " las"),
+    ("email", True, "mail ", "max.m(at)firma.de", ""),
+    ("email", True, "", "x_1 [at] host3 [dot] co [dot] uk", " on "),
+    ("email", False, "we met ", "x @ 5.30", " pm "),
+    ("email", False, "the price ", "3 @ 1.25", " eac"),
+    ("email", False, "qu\u00e9", "bob (at) example.org", "\u00e9 a"),
+    ("card", True, "paid with card ", "4111.1111.1111.1111", " on "),
+    ("card", True, "number ", "4111/1111/1111/1111", ". Th"),
+    ("card", True, "and ", "5500_0000_0000_0004", " or "),
+    ("card", True, "visa ", "4111-1111 1111-1111", ""),
+    ("card", True, "amex ", "3782.822463.10005", ", an"),
+    ("card", False, "value ", "12.345678901234", " of "),
+    ("card", False, "days ", "20240115/20240116", " and"),
+    ("card", False, "code ", "1234567.1234567", " of "),
+    ("card", False, "ref\u00e9", "4111.1111.1111.1111", "\u00e9 a"),
+    ("phone", True, "please call ", "(202) 555-0137", " now"),
+    ("phone", True, "reach us: ", "202-555-0137", ". Th"),
+    ("phone", True, "and ", "202.555.0137", " or "),
+    ("phone", True, "Tel. ", "0049 30 12345678", ""),
+    ("phone", True, "Telefon ", "030/12345678", ", un"),
+    ("phone", False, "code ", "1234567.1234567", " of "),
+    ("phone", False, "on ", "2024-01-15 10-30", " in "),
+    ("phone", False, "ISBN ", "978-3-16-148410-0", ". Th"),
+    ("phone", False, "order ", "1234567890", " of "),
+    ("phone", False, "at ", "1700000000000", " the"),
+    ("phone", False, "days ", "20240115-20240116", " and"),
+)
+PRIOR_WEIGHT = 20
 
 
 def _matches(text: Column, kind: str, pattern: str, wide: int) -> Column:
@@ -114,7 +153,7 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.col("kind") == 1, F.forall(octets, lambda p: p.rlike(OCTET))).when(
         F.col("kind") == 2, n.between(14, 19) & _luhn(F.substring(digits, 1, 19))).otherwise(n.between(10, 15))
     # What a span in another notation must still satisfy, and base matches that speak against one.
-    plausible = F.when(F.col("kind") == 2, n.between(14, 19) & _luhn(F.substring(digits, 1, 19))).when(
+    plausible = F.when(F.col("kind") == 0, F.col("value").rlike(TOP) & ~F.col("value").rlike(PROSE)).when(F.col("kind") == 2, n.between(14, 19) & _luhn(F.substring(digits, 1, 19))).when(
         F.col("kind") == 3, n.between(10, 15)).otherwise(F.lit(True))
     return flat.withColumns({"start": start, "valid": valid, "plausible": plausible,
                              "failed": (F.col("wide") == 0) & ~valid & (n >= 10)}).select(
@@ -216,34 +255,55 @@ class Model:
         return F.expr(" + ".join([f"{self.bias:.8f}D", *(f"({t.sql()})" for t in self.trees)]))
 
 
-def fit(found: DataFrame, precision: float = PRECISION) -> Model | None:
-    """The trees and thresholds of candidates with a ``_free`` column (touches no base span)."""
-    against = found.filter("start is not null and ((wide = 0 and not valid) or (wide = 1 and _free))")
-    examples = with_features(rewritten(found)).select(*FEATURES, F.lit(True).alias("good")).unionByName(
-        with_features(against).select(*FEATURES, F.lit(False).alias("good")))
-    table = examples.groupBy(*FEATURES).agg(
-        F.sum(F.col("good").cast("long")).alias("pos"), F.sum((~F.col("good")).cast("long")).alias("neg"))
-    rows = table.collect()  # bounded by the product of the features' bins
-    if not rows:
-        return None
+def examples(found: DataFrame) -> DataFrame:
+    """Counts per feature vector: ``pos, neg, luhn`` of the data (``luhn``: plausible but for Luhn's
+    check) and ``prior_pos, prior_neg`` of the fixed examples. ``found`` has the columns ``_free``
+    (touches no base span) and ``_open`` (touches no failed base match of its kind)."""
+    spark = found.sparkSession
+    own = ("kind", "wide", "value", "left", "right")
+    glued = F.col("left").rlike(r"[\p{L}\p{N}]$") | F.col("right").rlike(r"^[\p{L}\p{N}]")
+    digits = F.length(F.regexp_replace("value", "[^0-9]", ""))
+    luhn = (F.col("kind") == 2) & (F.col("wide") == 1) & ~F.col("plausible") & ~glued & F.col("_open") & digits.between(14, 19)
+    refuted = found.filter("start is not null").filter(F.when(F.col("wide") == 0, ~F.col("valid")).otherwise(
+        F.col("_free") & (~F.col("plausible") | glued | ~F.col("_open"))))
+    prior = spark.createDataFrame([(KINDS.index(k), 1, v, a, z, "prior_pos" if good else "prior_neg")
+                                   for k, good, a, v, z in PRIOR],
+                                  "kind int, wide int, value string, left string, right string, sort string")
+    # A rewritten span that would not be plausible is no example of what may be added.
+    rows = rewritten(found).filter((F.col("kind") != 3) | digits.between(10, 15)).select(*own, F.lit("pos").alias("sort")) \
+        .unionByName(refuted.select(*own, F.when(luhn, "luhn").otherwise("neg").alias("sort"))).unionByName(prior)
+    return with_features(rows).groupBy(*FEATURES).agg(
+        *[F.count(F.when(F.col("sort") == c, 1)).alias(c) for c in ("pos", "neg", "luhn", "prior_pos", "prior_neg")])
+
+
+def fit(found: DataFrame, precision: float = PRECISION) -> Model:
+    """The trees and thresholds of candidates, see ``examples``."""
+    rows = examples(found).collect()  # bounded by the product of the features' bins
     rows = sorted(rows, key=lambda r: tuple(r[f] for f in FEATURES))
     x = np.array([[float(r[f]) for f in FEATURES] for r in rows])
-    pos, neg = (np.array([r[c] for r in rows], float) for c in ("pos", "neg"))
-    if pos.sum() < MIN_EXAMPLES or neg.sum() < MIN_EXAMPLES:
-        return None
+    pos, neg, luhn, prior_pos, prior_neg = (
+        np.array([r[c] for r in rows], float) for c in ("pos", "neg", "luhn", "prior_pos", "prior_neg"))
+    neg = neg + luhn / 9
+    for kind in range(len(KINDS)):
+        own = x[:, 0] == kind
+        for seen, prior in ((pos, prior_pos), (neg, prior_neg)):
+            prior[own] *= PRIOR_WEIGHT
+            seen[own] *= min(1.0, prior[own].sum() / max(1.0, seen[own].sum()))
+    pos, neg = pos + prior_pos, neg + prior_neg
     bias, trees = boost(x, pos, neg)
     score = bias + sum(t.predict(x) for t in trees)
     thresholds = {}
     for kind in range(len(KINDS)):
-        own = x[:, 0] == kind
-        if pos[own].sum() < MIN_EXAMPLES or neg[own].sum() < MIN_EXAMPLES:
-            continue
+        # Only candidates of the further generators that are not glued are ever added.
+        own = (x[:, 0] == kind) & (x[:, 1] == 1) & (x[:, FEATURES.index("before")] == 0) & (x[:, FEATURES.index("after")] == 0)
         order = np.argsort(-score[own], kind="stable")
-        share = np.cumsum(pos[own][order]) / np.cumsum((pos + neg)[own][order])
-        good = np.flatnonzero(share >= precision)
+        ranked = score[own][order]
+        share = np.cumsum(pos[own][order]) / np.maximum(np.cumsum((pos + neg)[own][order]), 1e-9)
+        last = np.append(ranked[1:] < ranked[:-1] - 1e-5, True)[:len(ranked)]     # vectors of one score go together
+        good = np.flatnonzero((share >= precision) & last)
         if len(good):
             # The SQL expression carries eight decimals per tree.
-            thresholds[kind] = float(score[own][order][good[-1]]) - 1e-6
+            thresholds[kind] = float(ranked[good[-1]]) - 1e-6
     return Model(bias, trees, thresholds)
 
 
@@ -270,7 +330,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                    .withColumn("_open", clear_of(F.col("failed"), "kind")), "candidates")
     model = fit(found)
     wanted = F.lit(False)
-    for kind, least in (model.thresholds if model else {}).items():
+    for kind, least in model.thresholds.items():
         wanted = wanted | ((F.col("kind") == kind) & (model.score() >= least))
     # Only whole, plausible matches of the further generators are added, and none that touches a
     # base match of its kind that failed its check: such a match is not tried again.

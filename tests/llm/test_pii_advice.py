@@ -1,9 +1,10 @@
 import hashlib
+import random
 
 import pytest
 
 from lexitrend.llm import op9_pii as pii
-from tests.llm.test_texts import slow_spans
+from tests.llm.test_texts import luhn, slow_spans
 
 
 def found(spark, texts: list[str]) -> list:
@@ -16,3 +17,35 @@ def test_parts_of_very_many_digits(spark):
     for text, r in zip(texts, found(spark, texts)):
         assert r["base_sha256"] == hashlib.sha256(slow_spans(text).encode()).hexdigest(), text
         assert r["n_ip"] == slow_spans(text).count("ip:"), text
+
+
+OTHERS = ["please call (202) 555-01{:02d} now", "write to jane{} (at) example.org or look.", "paid with {} on it"]
+
+
+def dotted_card(rng) -> str:
+    while True:
+        d = "4" + "".join(rng.choice("0123456789") for _ in range(15))
+        if luhn(d):
+            return ".".join(d[i:i + 4] for i in range(0, 16, 4))
+
+
+@pytest.mark.parametrize("n", [0, 1, 30, 400])
+def test_many_spans_in_other_notations_are_all_found(spark, n):
+    """They are no look-alikes of themselves, and no number of base spans is needed."""
+    rng = random.Random(n)
+    base = [f"please call +1 (20{i % 10}) 555-0{i % 900 + 100} or mail u{i}@host{i % 7}.com, "
+            f"card {dotted_card(rng).replace('.', ' ')}." for i in range(n)]
+    m = max(5, n)
+    texts = base + [OTHERS[0].format(i % 100) for i in range(m)] + [OTHERS[1].format(i) for i in range(m)] \
+        + [OTHERS[2].format(dotted_card(rng)) for _ in range(m)] + ["we met x @ 5.30 pm", "he was at the dot matrix"]
+    got = [r["spans"] for r in found(spark, texts)][n:]
+    assert got[:m] == ["phone:12:26"] * m
+    assert got[m:2 * m] == [f"email:9:{30 + len(str(i))}" for i in range(m)]
+    assert got[2 * m:3 * m] == ["card:10:29"] * m
+    assert got[3 * m:] == ["", ""]
+
+
+def test_prior_decides_alike_at_every_size(spark):
+    for n in (1, 200):
+        got = found(spark, ["order 1234567890 of it", "code 1234567.1234567 of it", "on 2024-01-15 10-30 in"] * n)
+        assert {r["spans"] for r in got} == {""}
