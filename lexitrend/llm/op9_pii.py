@@ -2,7 +2,7 @@
 
 Base spans (e-mail, IPv4, card, phone) come from fixed patterns and checks and always stay.
 High-recall generators propose further, overlapping spans: e-mails written with ``(at)`` or
-spaces, IPv6 addresses, card-like and phone-like runs of digits in other notations. Every
+spaces, IPv6 addresses (``::`` forms too; an IPv4 tail is a base span of its own), card-like and phone-like runs of digits in other notations. Every
 candidate has small integer features of its format and of the text around it. Positive examples
 are the base spans rewritten in those other notations, in their own context; negative ones are
 refuted matches: failed base matches, and the generators' matches that are not plausible, glued to
@@ -57,10 +57,14 @@ WIDE = {
     "email": r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]++(?:\x20?(?:\(at\)|\[at\]|@)\x20?[a-z0-9-]++"
              r"(?:(?:\x20?(?:\(dot\)|\[dot\])\x20?|\.)[a-z0-9-]++)++"
              r"|\x20at\x20[a-z0-9-]++(?:\x20dot\x20[a-z0-9-]++)++)",
-    "ip": r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){3,7}:?[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])",
+    "ip": r"(?<![0-9A-Za-z]|[0-9A-Fa-f:]:)(?!:[^:])(?:[0-9A-Fa-f]{0,4}:){2,8}[0-9A-Fa-f]{0,4}(?<![^:]:)"
+          r"(?![0-9A-Za-z]|:[0-9A-Fa-f:])",
     "card": r"(?<![0-9])[0-9](?:[\x20./_-]{0,2}[0-9]){12,18}(?![0-9])",
     "phone": r"(?<![0-9+])(?:00)?\(?[0-9][\x20().0-9/-]{7,18}[0-9](?![0-9])",
 }
+#: An IPv6 address: eight groups, or (with at most seven, see ``candidates``) one ``::`` and some group.
+IPV6 = (r"^(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?=.*[0-9A-Fa-f])(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4})*)?"
+        r"::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4})*)?)$")
 #: What an e-mail in another notation must end in, and what is prose rather than an address.
 TOP = r"(?i)[. )\]](?:[a-z]{2,24}|xn--[a-z0-9-]+)$"
 PROSE = r"(?i)\x20at\x20(?:an?|the|this|that|one|each|every|my|your|his|her|its|our|their)\x20dot\x20"
@@ -107,6 +111,11 @@ PRIOR: tuple[tuple[str, bool, str, str, str], ...] = (
     ("phone", False, "days ", "20240115-20240116", " and"),
 )
 PRIOR_WEIGHT = 20
+IPV6_FORMS = ("2001:db8::1", "::1", "fe80::1", "fe80::1ff:fe23:4567:890a", "2001:db8:0:1::c0a8:101", "2001:db8::",
+              "2001:0db8:85a3:0000:0000:8a2e:0370:7334", "2a00:1450:4001:81b::200e")
+PRIOR += tuple(("ip", True, left, form, " on ") for form in IPV6_FORMS for left in ("host ", "the list of "))
+PRIOR += tuple(("ip", False, left, form, " on ") for left in ("host ", "the list of ") for form in (
+    "12:30:45", "00:1a:2b:3c:4d:5e", "01:02:03:04", "a::b", "be::ad", "dead::beef", "1:2:3:4:5:6:7"))
 
 
 def _matches(text: Column, kind: str, pattern: str, wide: int) -> Column:
@@ -154,7 +163,8 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.col("kind") == 2, n.between(14, 19) & _luhn(F.substring(digits, 1, 19))).otherwise(n.between(10, 15))
     # What a span in another notation must still satisfy, and base matches that speak against one.
     plausible = F.when(F.col("kind") == 0, F.col("value").rlike(TOP) & ~F.col("value").rlike(PROSE)).when(F.col("kind") == 2, n.between(14, 19) & _luhn(F.substring(digits, 1, 19))).when(
-        F.col("kind") == 3, n.between(10, 15)).otherwise(F.lit(True))
+        F.col("kind") == 3, n.between(10, 15)).when((F.col("kind") == 1) & (F.col("wide") == 1), F.col("value").rlike(IPV6) & (
+            ~F.col("value").contains("::") | (F.size(F.filter(F.split("value", ":"), lambda g: g != "")) <= 7))).otherwise(F.lit(True))
     return flat.withColumns({"start": start, "valid": valid, "plausible": plausible,
                              "failed": (F.col("wide") == 0) & ~valid & (n >= 10)}).select(
         "_row", "_doc", "kind", "wide", "start", (F.col("start") + size).alias("end"), "valid", "plausible", "failed",
@@ -184,7 +194,8 @@ def rewritten(found: DataFrame) -> DataFrame:
     """Base spans in the notations the further generators look for, as positive examples."""
     value, kind = F.col("value"), F.col("kind")
     digits = F.regexp_replace(value, "[^0-9]", "")
-    forms = F.when(kind == 0, F.array(F.regexp_replace(value, "@", " (at) "), F.regexp_replace(value, "@", " @ "),
+    # IPv4 spans give their places to valid IPv6 spellings.
+    forms = F.when(kind == 1, F.array(*map(F.lit, IPV6_FORMS))).when(kind == 0, F.array(F.regexp_replace(value, "@", " (at) "), F.regexp_replace(value, "@", " @ "),
                                       F.regexp_replace(F.regexp_replace(value, "@", " [at] "), r"\.", " [dot] "))).when(
         kind == 2, F.array(F.regexp_replace(digits, "([0-9]{4})(?=[0-9])", "$1."),
                            F.regexp_replace(digits, "([0-9]{4})(?=[0-9])", "$1/"))).when(

@@ -49,3 +49,19 @@ def test_prior_decides_alike_at_every_size(spark):
     for n in (1, 200):
         got = found(spark, ["order 1234567890 of it", "code 1234567.1234567 of it", "on 2024-01-15 10-30 in"] * n)
         assert {r["spans"] for r in got} == {""}
+
+
+@pytest.mark.parametrize("n", [0, 300])
+def test_ipv6_addresses_are_added(spark, n):
+    base = [f"the host 10.1.{i % 256}.{i % 100} is up" for i in range(n)]
+    good = ["2001:db8::1", "fe80::1", "::1", "2001:0db8:85a3:0000:0000:8a2e:0370:7334", "2001:DB8:0:0:8:800:200C:417A",
+            "2a02:810d:1:2::7", "2001:db8::"]
+    texts = [f"seen at {a}{end}" for a in good for end in (" today", ".", "/64", "%eth0", " or")]
+    texts += ["seen at fe80::1: ok"]
+    texts += ["inet6 addr:fe80::1 up"]
+    bad = ["at 12:30:45 now", "mac 00:1a:2b:3c:4d:5e x", "std::vector<int> a::b", "f :: Int -> Int", "1::2::3", "1:2:3:4:5:6:7:8:9",
+           "1:2:3:4:5:6:7 8", "12345::1", ":::", "1:2:3:4::5:6:7:8"]
+    got = [r["spans"] for r in found(spark, base + texts + bad)][n:]
+    want = [f"ip:8:{8 + len(a)}" for a in good for _ in range(5)] + ["ip:8:15", "ip:11:18"]
+    assert got[:len(texts)] == want
+    assert got[len(texts):] == [""] * len(bad)
