@@ -43,7 +43,7 @@ SENTENCES: tuple[tuple[str, str], ...] = (
     ("ArtisticRef", r"artistic licen[sc]e" + _V),
     ("BoostRef", r"boost software licen[sc]e" + _V),
     ("CCRef", r"(?:cc|creative commons)[ -]((?:by|attribution)(?:[ -](?:nc|noncommercial|nd|noderivatives|noderivs|sa"
-              r"|sharealike))*)" + _V),
+              r"|sharealike))*)(?:-(?=\d))?" + _V),
     ("CC0Ref", r"\bcc0\b|creative commons zero"),
     ("MITRef", r"\bmit(?:/x11)?(?: style)? licen[sc]e|licen[sc]ed? under (?:the )?mit\b|licen[sc]e: ?mit\b"),
     ("BSDRef", r"\b(?:(new|modified|simplified|revised|[0234][ -]clause) )?bsd(?: ([0234])[ -]clause)?(?: style)? licen[sc]e"),
@@ -108,8 +108,11 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
 )
 #: Other identifiers that may stand between two parts of a rule.
 GAP = 3
-WORDS = ("licen", "copyright", "redistribut", "permission", "public domain", "spdx", "gpl", "as is", "as-is",
-         "rights reserved", "free software", "cc0", "cc by", "confidential")
+#: Each match of a pattern above (and of ``_ABOUT``) holds one of these in the text as it stands. They
+#: are single words, as line breaks and marks between two words are still there.
+_WORDS = re.compile(r"licen|copyright|redistribut|permission|provided|liable|spdx|gpl|apache|later|cc0|creative"
+                    r"|cc[^a-z0-9]+(?:by|attribution)|domain|unencumbered|reserved|confidential|endorse|promote"
+                    r"|advertising|misrepresented")
 _PATTERNS = tuple((name, re.compile(p)) for name, p in SENTENCES)
 _MARKS = re.compile(r"(?m)^[\s]*(?:#+|//+|/\*+|\*+/?|--+|;+|%+|rem\b|dnl\b)?[ \t]*")
 _END = re.compile(r"(?<=[.!?])\s+(?=\S)|\n\s*\n")
@@ -150,9 +153,8 @@ def identifiers(text: str) -> tuple[list[tuple[str, str]], int]:
     found: list[tuple[str, str]] = []
     unknown = 0
     for sentence in _END.split(_MARKS.sub(" ", text.lower())):
-        if not any(w in sentence for w in WORDS):
-            if "later version" not in sentence and "liable" not in sentence and "endorse" not in sentence:
-                continue
+        if not _WORDS.search(sentence):
+            continue
         plain = normalise(sentence)
         here = sorted((m.start(), -m.end(), k, m) for k, (_, p) in enumerate(_PATTERNS) for m in p.finditer(plain))
         reach = -1
@@ -202,8 +204,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             for lo, hi in slices(texts):
                 names, sentences, unknown = [], [], []
                 for t in texts_of(texts, lo, hi):
-                    lowered = t.lower()
-                    found, n = identifiers(t) if any(w in lowered for w in WORDS) else ([], 0)
+                    found, n = identifiers(t) if _WORDS.search(t.lower()) else ([], 0)
                     names.append(",".join(licences(found)))
                     sentences.append(",".join(f"{a}:{v}" if v else a for a, v in found))
                     unknown.append(n)
