@@ -6,7 +6,8 @@ as a comma, before anything else; so it is enough to have the library encode the
 of a slice of texts (all plain words in one text, cut again where a word begins or ends) and to put
 the texts together from them. Arrow cuts the texts and finds the distinct pieces, numpy puts the
 ids together; there is no Python step per word. Texts where white space meets white space, where
-the cut would depend on both sides, go to the library whole.
+the cut would depend on both sides, go to the library whole, and so do texts that hold the literal of
+an added token such as ``<|endoftext|>``, which the library by default gives that token's id.
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ _BLANK = r"^(?:$|[\s\pZ\x{85}\x{1c}-\x{1f}])"
 
 @functools.lru_cache(maxsize=2)
 def encoder_of(path: str) -> Encoder:
-    """The encoder of a Python worker, kept from task to task."""
-    return Encoder(path)
+    """The encoder of a Python worker, kept from task to task; the library's defaults hold."""
+    return Encoder(path, split_added=False)
 
 
 def _gather(ids: np.ndarray, size: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -47,14 +48,17 @@ def _gather(ids: np.ndarray, size: np.ndarray, which: np.ndarray) -> tuple[np.nd
 
 
 class Encoder:
-    """Ids for columns of texts."""
+    """Ids for columns of texts. ``split_added`` has literals of special tokens encoded like other text
+    (the library's ``encode_special_tokens``); the operators leave it off, see ``encoder_of``."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, split_added: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.tok.encode_special_tokens = split_added
+        self.added = sorted({t.content for t in self.tok.get_added_tokens_decoder().values()
+                             if t.content and not (split_added and t.special)})
         # Ids that begin a word with its space, or that end a word: where a text of words is cut.
         names = {i: t for t, i in self.tok.get_vocab().items()}
         flags = [names.get(i, "") for i in range(max(names, default=0) + 1)]
@@ -151,7 +155,10 @@ class Encoder:
         owner = np.repeat(np.arange(n), np.diff(np.append(first, len(which))))
         doubtful = unsafe[which]
         doubtful[first] = False
-        whole = np.unique(owner[doubtful])
+        holds = np.zeros(n, bool)
+        for literal in self.added:
+            holds |= np.asarray(pc.match_substring(texts, literal))
+        whole = np.union1d(owner[doubtful], np.flatnonzero(holds))
         ids, size = self._pieces(words)
         # Behind the pieces' entries: an empty one, the first pieces (no space before), whole texts.
         extra = [np.empty(0, "<u4"), *self._arrays(heads)]
