@@ -16,6 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..session import ensure_checkpoint_dir
 
@@ -79,7 +80,7 @@ def ship(spark: SparkSession) -> None:
 
 
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-              schema: str) -> DataFrame:
+              schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with this package on the workers; a task that is done gives its freed memory
     back to the system, as its worker lives on beside the next stage's tasks."""
     ship(df.sparkSession)

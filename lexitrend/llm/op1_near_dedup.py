@@ -27,6 +27,7 @@ Results that are fixed here:
   ``doc_id``, whose row (one of them, if repeated) is kept; null ids are smaller than all;
 - a text of fewer than five words is one shingle of all its words; texts without any word (empty
   and null ones too, null counting as empty) are alike only if they are identical;
+- ``keep_one`` keeps exactly one row of each class, whatever the ids: repeated rows with one id or none too;
 - repeated rows are classed like any others; an empty table gives an empty result; further
   columns are ignored.
 """
@@ -40,6 +41,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
 
 from .common import look_up, map_arrow, mix64, slices, staged, texts_of, word_hashes
 from .components import components
@@ -124,10 +126,10 @@ def probability_jaccard(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarr
 
 # --- Spark jobs ------------------------------------------------------------------------------
 
-def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``_row, _doc, _k1, _k2, _bands, _sig, _text`` per row; ``_k1, _k2`` name the shingle set."""
+def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *further: Column) -> DataFrame:
+    """``_row, _doc, _k1, _k2, _bands, _sig, _text`` and ``further`` per row; ``_k1, _k2`` name the shingle set."""
     rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("_doc"),
-                       F.col(text_col).cast("string").alias("_text"))
+                       F.col(text_col).cast("string").alias("_text"), *further)
     m = BANDS * ROWS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,11 +160,14 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                     pa.array(keys[0].view(np.int64)), pa.array(keys[1].view(np.int64)),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(band[some].reshape(-1).view(np.int64))),
                     pa.array([r.tobytes() for r in small], pa.binary()),
-                    pa.array(held, pa.string())],
-                    names=["_row", "_doc", "_k1", "_k2", "_bands", "_sig", "_text"])
+                    pa.array(held, pa.string()), *[c.slice(lo, n) for c in batch.columns[3:]]],
+                    names=["_row", "_doc", "_k1", "_k2", "_bands", "_sig", "_text", *batch.schema.names[3:]])
 
-    return map_arrow(rows, run, f"_row long, _doc {dict(rows.dtypes)['_doc']}, _k1 long, _k2 long, "
-                                "_bands array<long>, _sig binary, _text string")
+    schema = StructType([*rows.select("_row", "_doc").schema.fields,
+                         *(StructField(c, LongType()) for c in ("_k1", "_k2")),
+                         StructField("_bands", ArrayType(LongType())), StructField("_sig", BinaryType()),
+                         StructField("_text", StringType()), *rows.schema.fields[3:]])
+    return map_arrow(rows, run, schema)
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -322,13 +327,13 @@ def _links_across(hits: DataFrame, roots: DataFrame, texts: DataFrame, threshold
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: ``doc_id, class_id, class_size, kept``."""
-    classed = _classed(docs, id_col, text_col, threshold)
+    classed = _classed(staged(signatures(docs, id_col, text_col), "signatures"), threshold)
     return classed.select(F.col("_doc").alias(id_col), F.col("_least._doc").alias("class_id"),
                           F.col("_size").alias("class_size"), (F.col("_row") == F.col("_least._row")).alias("kept"))
 
 
-def _classed(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> DataFrame:
-    table = staged(signatures(docs, id_col, text_col), "signatures")
+def _classed(table: DataFrame, threshold: float) -> DataFrame:
+    """``_row, _doc, _least, _size`` for each row of staged ``signatures``."""
     # Equal sets: the least row stands for all of them.
     heads = table.groupBy("_k1", "_k2").agg(F.min("_row").alias("_head"), F.count(F.lit(1)).alias("_copies"))
     several = heads.filter("_copies > 1").select(F.col("_k1").alias("_h1"), F.col("_k2").alias("_h2"), "_head")
@@ -359,7 +364,13 @@ def _classed(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> D
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` whose id is kept, with all their columns."""
-    kept = near_classes(docs, id_col, text_col, threshold).filter("kept").select(
-        F.col(id_col).alias("_keep")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["_keep"]), "left_semi")
+    """One row of ``docs`` of each class, with all its columns. The columns are staged with the signatures
+    under the row's id there, so a row is kept or not by itself; a string text is not written twice."""
+    plain = dict(docs.dtypes)[text_col] == "string"
+    others = [(c, f"_c{k}") for k, c in enumerate(docs.columns) if not (plain and c == text_col)]
+    table = staged(signatures(docs, id_col, text_col, F.col(text_col).isNull().alias("_none"),
+                              *[F.col(f"`{c}`").alias(inner) for c, inner in others]), "signatures")
+    kept = _classed(table, threshold).filter(F.col("_row") == F.col("_least._row")).select("_row")
+    inner = dict(others)
+    return table.join(kept, "_row", "left_semi").select(
+        *[F.col(inner[c]).alias(c) if c in inner else F.when(~F.col("_none"), F.col("_text")).alias(c) for c in docs.columns])

@@ -14,6 +14,8 @@ Results that are fixed here:
 - a null text equals an empty text; the recipe of an empty text is an empty list;
 - of equal texts the row with the largest ``doc_id`` stays; a null ``doc_id`` is smaller than all;
 - rows repeated with the same ``doc_id`` and text are each returned, the same way;
+- ``keep_rows`` (the pipeline's stage) keeps one row of each group, whatever its ``doc_id``: of rows with the
+  largest id the one that comes last in the input; ``keep_one`` keeps all rows of the kept ids;
 - an empty table gives an empty result; further columns are ignored by name (inner columns are
   renamed first, so names like ``recipe`` in the input do not clash).
 """
@@ -49,16 +51,16 @@ def _collisions(rows: DataFrame) -> DataFrame:
     return several
 
 
-def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, recipe, text_sha256)`` for every row; the chunk identifiers are verified."""
+def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *further: Column) -> DataFrame:
+    """``(doc_id, recipe, text_sha256)`` and ``further`` for every row; the chunk identifiers are verified."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("_doc"), chunks(text).alias("_chunks"),
-                       F.sha2(text, 256).alias("_sha"))
+                       F.sha2(text, 256).alias("_sha"), *further)
     clashing = staged(_collisions(rows), "collisions")
     recipe = F.transform("_chunks", lambda c: F.unhex(F.sha2(c, 256)))
     if not clashing.isEmpty():  # different texts under one identifier: use longer identifiers
         recipe = F.transform("_chunks", lambda c: F.unhex(F.concat(F.sha2(c, 256), F.sha2(F.reverse(c), 512))))
-    return rows.select("_doc", recipe.alias("_recipe"), "_sha")
+    return rows.select("_doc", recipe.alias("_recipe"), *rows.columns[2:])
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -86,6 +88,21 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.join(kept, docs[id_col].eqNullSafe(kept["_keep"]), "left_semi")
 
 
+def keep_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Exactly one row of each group of equal texts, with all its columns."""
+    number = "_number"
+    while number.lower() in map(str.lower, docs.columns):
+        number += "_"
+    # Staged, so that a row has the same number each time it is read.
+    rows = staged(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    r = staged(recipes(rows, id_col, text_col, F.col(number).alias("_at")).drop("_sha"), "recipes")
+    groups = r.groupBy(F.col("_recipe").alias("_key")).agg(
+        F.max(F.struct("_doc", "_at")).alias("_best"), F.count(F.lit(1)).alias("_size")).filter("_size > 1")
+    found = look_up(r, groups, {"_recipe": "_key"}, F.col("_at"))
+    kept = found.filter(F.col("_best").isNull() | (F.col("_at") == F.col("_best._at"))).select(F.col("_at").alias("_keep"))
+    return rows.join(kept, rows[number] == kept["_keep"], "left_semi").drop(number)
+
+
 ORACLE = """
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
