@@ -15,6 +15,8 @@ Results that are fixed here:
   trimmed, empty blocks are left out; ``br`` is white space inside its block;
 - malformed html is read leniently: unclosed elements end with their parent, stray end tags are
   ignored, an unclosed comment, script or style runs to the end;
+- formulas are inline text of their block; boilerplate words on ``body``, ``html`` and on
+  wrappers of the main article do not count;
 - blocks whose costs tie count as boilerplate; an empty table gives an empty result; other
   columns of the input are ignored.
 """
@@ -38,7 +40,7 @@ VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embe
 BLOCK = {
     "address", "article", "aside", "blockquote", "body", "button", "caption", "center", "dd", "details",
     "dialog", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3",
-    "h4", "h5", "h6", "head", "header", "hr", "html", "legend", "li", "main", "math", "menu", "nav",
+    "h4", "h5", "h6", "head", "header", "hr", "html", "legend", "li", "main", "menu", "nav",
     "noscript", "object", "ol", "option", "p", "pre", "section", "select", "summary", "svg", "table",
     "tbody", "td", "template", "tfoot", "th", "thead", "tr", "ul", "audio", "video", "canvas",
 }
@@ -47,7 +49,7 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
         "th": {"td", "th"}, "option": {"option"}, "body": {"head"}}
 SCOPE = {"ul", "ol", "dl", "table", "select", "menu"}
 #: Never text of the page.
-DROPPED = {"head", "noscript", "template", "svg", "math", "select", "option", "button", "object", "audio",
+DROPPED = {"head", "noscript", "template", "svg", "select", "option", "button", "object", "audio",
            "video", "canvas"}
 BOILER_TAGS = {"nav", "footer", "aside", "form", "menu", "dialog", "fieldset", "address"}
 BOILER_WORDS = {
@@ -83,22 +85,25 @@ _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Element:
-    __slots__ = ("tag", "parent", "depth", "weight", "in_content")
+    __slots__ = ("tag", "parent", "depth", "weight", "boiler", "article", "out")
 
     def __init__(self, tag: str, attrs: str, parent: Element | None):
         self.tag, self.parent = tag, parent
         self.depth = parent.depth + 1 if parent else 0
-        self.in_content = bool(parent and parent.in_content)
-        self.weight = parent.weight if parent else W_START
+        #: The outermost article or main around this, and whether something above leaves this out.
+        self.article = parent.article if parent else None
+        self.out = bool(parent and parent.out) or tag in DROPPED or tag in BOILER_TAGS
+        #: Its own part; ``weigh`` adds the boilerplate words and the parent's weight.
+        self.weight, self.boiler = 0.0, False
         if tag in DROPPED:
             self.weight += W_DROPPED
         elif tag in BOILER_TAGS:
             self.weight += W_BOILER_TAG
-        elif tag == "header" and not self.in_content:
+        elif tag == "header" and not self.article:
             self.weight += W_HEADER
-        elif tag in CONTENT_TAGS and not self.in_content:
+        elif tag in CONTENT_TAGS and not self.article:
             self.weight += W_CONTENT_TAG
-            self.in_content = True
+            self.article = self
         if attrs:
             self._cues(attrs)
 
@@ -109,13 +114,13 @@ class Element:
             if name == "hidden" or name == "aria-hidden" and value.lower() == "true" \
                     or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
                 self.weight += W_DROPPED
+                self.out = True
             elif name in ("class", "id", "role"):
                 words.update(w.lower() for w in _NAME.findall(value))
-        if words & BOILER_WORDS:
-            self.weight += W_BOILER_WORD
-        elif words & CONTENT_WORDS and self.tag not in ("body", "html"):
+        self.boiler = bool(words & BOILER_WORDS) and self.tag not in ("body", "html")
+        if words & CONTENT_WORDS and not self.boiler and self.tag not in ("body", "html"):
             self.weight += W_CONTENT_WORD
-        if "header" in words and not self.in_content:
+        if "header" in words and not self.article and self.tag not in ("body", "html"):
             self.weight += W_HEADER
 
 
@@ -125,15 +130,37 @@ class Block:
     def __init__(self, text: str, linked: int, parent: Element):
         self.text, self.parent = text, parent
         words = text.count(" ") + 1
-        self.net = (parent.weight + W_LINKS * min(1.0, linked / max(1, len(text)))
+        self.net = (W_LINKS * min(1.0, linked / max(1, len(text)))
                     + W_WORDS * min(1.0, words / WORDS_FULL)
                     + (W_SENTENCE if text[-1] in ".!?…。:;\"”»" else 0.0)
                     + (W_HEADING if parent.tag in ("h1", "h2", "h3", "h4", "h5", "h6") else 0.0))
 
 
+def weigh(elements: list[Element], blocks: list[Block]) -> None:
+    """Weights from the root on. Boilerplate words of a wrapper (an element around the page's main
+    elements, or else around its longest article that is not boilerplate itself) say nothing."""
+    size: dict[Element, int] = {}
+    for b in blocks:
+        top = b.parent.article
+        if top and not top.out and not top.boiler:
+            size[top] = size.get(top, 0) + len(b.text)
+    inner = [e for e in size if e.tag == "main"] or sorted(size, key=size.get)[-1:]
+    wrappers: set[Element] = set()
+    for e in inner:
+        while e.parent:
+            e = e.parent
+            wrappers.add(e)
+    elements[0].weight = W_START
+    for e in elements[1:]:      # parents come before their children
+        e.weight += e.parent.weight + (W_BOILER_WORD if e.boiler and e not in wrappers else 0.0)
+    for b in blocks:
+        b.net += b.parent.weight
+
+
 def blocks_of(page: str) -> list[Block]:
     """The text blocks of a page in order."""
     here = root = Element("#root", "", None)
+    elements = [root]
     out: list[Block] = []
     parts: list[str] = []
     linked, link_at = 0, None
@@ -190,11 +217,13 @@ def blocks_of(page: str) -> list[Block]:
                     above = above.parent
                 if above.tag in ENDS.get(name, ()):
                     here = above.parent
-            if not attrs.rstrip().endswith("/") or name not in ("svg", "math"):
+            if not attrs.rstrip().endswith("/") or name != "svg":
                 here = Element(name, attrs, here)
+                elements.append(here)
         if link_at is not None and here.depth < link_at:
             link_at = None
     flush()
+    weigh(elements, out)
     return out
 
 
