@@ -17,6 +17,9 @@ from . import (
     op8_token_file,
     op9_pii,
     op10_html_extract,
+    op11_spelling,
+    op12_language_id,
+    op13_lexical_search,
 )
 from .common import table
 
@@ -68,6 +71,18 @@ def op10_html_extract_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_spelling_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_language_id_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_language_id.predict(table(spark, sf_dir, "documents"))
+
+
+def op13_lexical_search_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_lexical_search.search_all(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_exact_dedup": op7_exact_dedup_q,
     "op1_near_dedup": op1_near_dedup_q,
@@ -79,8 +94,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_file": op8_token_file_q,
     "op9_pii": op9_pii_q,
     "op10_html_extract": op10_html_extract_q,
+    "op11_spelling": op11_spelling_q,
+    "op12_language_id": op12_language_id_q,
+    "op13_lexical_search": op13_lexical_search_q,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op7_exact_dedup": op7_exact_dedup.ORACLE,
+    "op13_lexical_search": op13_lexical_search.ORACLE,
 }
