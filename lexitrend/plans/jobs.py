@@ -1,8 +1,8 @@
 """Batch jobs: the monthly archive processed end to end, one Spark job per step.
 
 Each job reads its inputs, builds one lazy plan over *all* requested months and writes once;
-there are no per-month driver loops. Monthly outputs use dynamic partition overwrite, so a re-run
-of some months replaces exactly those months.
+there are no per-month driver loops. Monthly outputs are swapped in month by month, so a re-run of
+some months replaces exactly those months (and empties those of its bounds that have no rows now).
 
     convert_archive     JSON archive -> comment Parquet (year=/month=)
     word_freqs          comment Parquet -> {n}_gram_counts (year=/month=)
@@ -42,7 +42,7 @@ def word_freqs(spark: SparkSession, comments_root: str, out_root: str, ns=(1,),
     """``{n}_gram_counts`` for each n, for the months in ``[start, end]``."""
     comments = SC.read_comment_parquet(spark, comments_root, start, end)
     for n in ns:
-        SK.write_monthly(FQ.monthly_ngrams(comments, n), f"{out_root.rstrip('/')}/{n}_gram_counts")
+        SK.write_monthly(FQ.monthly_ngrams(comments, n), f"{out_root.rstrip('/')}/{n}_gram_counts", span=(start, end))
 
 
 def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
@@ -69,7 +69,7 @@ def sentiment(spark: SparkSession, comments_root: str, dictionary_csv: str, stop
     bank = B.word_bank(L.read_dictionary(spark, dictionary_csv).select("word"), read_stopwords(spark, stopwords_path))
     result = S.monthly_word_sentiment(comments, bank, lexicon, boosters, negations,
                                       target=target, seed=seed, idioms=idioms)
-    SK.write_monthly(result, out)
+    SK.write_monthly(result, out, span=(start, end))
 
 
 def read_stopwords(spark: SparkSession, path: str) -> DataFrame:
@@ -79,7 +79,8 @@ def read_stopwords(spark: SparkSession, path: str) -> DataFrame:
 def load_words(spark: SparkSession, ngram_path: str, sentiment_path: str, stopwords_path: str,
                words_out: str, start: str | None = None, end: str | None = None) -> None:
     """Join counts and sentiment of ``[start, end]`` into the fact table (``year=/month=``, sorted
-    by word), replacing those months. Only their partitions are read. Raises when a
+    by word), replacing those months; months within the bounds that have no facts now are emptied.
+    Only their partitions are read. Raises when a
     ``(word, year_month)`` key occurs more than once; the table is then left as it was."""
     ensure_checkpoint_dir(spark)
     counts = SK.read_monthly(spark, ngram_path, start, end, schemas.NGRAM_COUNTS)
@@ -88,7 +89,7 @@ def load_words(spark: SparkSession, ngram_path: str, sentiment_path: str, stopwo
     double = FT.key_duplicates(new).first()[0]
     if double:
         raise ValueError(f"{double} (word, year_month) keys occur more than once; nothing was written")
-    SK.write_monthly(new, words_out)
+    SK.write_monthly(new, words_out, span=(start, end))
 
 
 def load_definitions(spark: SparkSession, dictionary_csv: str, out: str) -> None:

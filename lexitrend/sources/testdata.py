@@ -44,13 +44,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``comments(doc_id, subreddit, body, year_month)``: documents joined to orders on key.
 
-    Both sides grow with the data (orders is 15x documents), so this is a shuffle join on the
-    key, never a broadcast; the comments come out partitioned on ``doc_id`` across the shuffle
-    partitions, which is what spreads the per-comment tokenising over all cores.
+    Both sides grow with the data (orders is 15x documents), so this is a sort-merge join on the
+    key (hinted, so neither side is broadcast and both may spill); the comments come out partitioned
+    on ``doc_id`` across the shuffle partitions, which is what spreads the per-comment tokenising
+    over all cores even where the documents are one Parquet row group.
     """
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    return docs.join(orders, docs["doc_id"] == orders["o_orderkey"], "inner").select(
+    return docs.join(orders.hint("merge"), docs["doc_id"] == orders["o_orderkey"], "inner").select(
         F.col("doc_id"),
         F.col("source").alias("subreddit"),
         F.col("text").alias("body"),
