@@ -281,7 +281,40 @@ def sample_to_target(comments: DataFrame, target: int, seed: int = 0, key: str =
             .drop("_n"))
 
 
-def monthly_word_sentiment(
+def score_units(score: Column) -> Column:
+    """A score as a whole number of ten-thousandths (scores have four decimals)."""
+    return F.round(score * 10 ** C.COMPOUND_DECIMALS).cast("long")
+
+
+def moments(units: Column) -> list[Column]:
+    """Aggregates ``n, s1, s2``: number, sum and sum of squares of whole-number scores. They are
+    integers, so they are the same in whatever order rows are added, and two of them merge by adding.
+    (64 bits hold 9e10 observations of a word in a month; beyond that Spark raises an error.)"""
+    return [F.count(units).alias("n"), F.sum(units).alias("s1"), F.sum(units * units).alias("s2")]
+
+
+def merged(rows: DataFrame, *keys: str) -> DataFrame:
+    """Moments of the union of disjoint sets of observations."""
+    return rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("n", "s1", "s2")])
+
+
+def average(n: str = "n", s1: str = "s1") -> Column:
+    return F.col(s1) / (F.col(n) * float(10 ** C.COMPOUND_DECIMALS))
+
+
+def deviation(n: str = "n", s1: str = "s1", s2: str = "s2") -> Column:
+    """Sample deviation (NULL for one observation), from an exact numerator ``n s2 - s1 s1``."""
+    a, b, c = (F.col(x).cast("decimal(19,0)") for x in (n, s1, s2))
+    return F.when(F.col(n) > 1, F.sqrt((a * c - b * b).cast("double") / (
+        F.col(n).cast("double") * (F.col(n) - 1).cast("double"))) / float(10 ** C.COMPOUND_DECIMALS))
+
+
+def from_moments(rows: DataFrame) -> DataFrame:
+    """``(year_month, word, avg_sentiment, stddev_sentiment)`` of moments by month and word."""
+    return rows.select("year_month", "word", average().alias("avg_sentiment"), deviation().alias("stddev_sentiment"))
+
+
+def monthly_word_moments(
     comments: DataFrame,
     bank: DataFrame | Dimension,
     lexicon: DataFrame | None = None,
@@ -296,14 +329,13 @@ def monthly_word_sentiment(
     idioms: DataFrame | None = None,
     drop_single_chars: bool = False,
 ) -> DataFrame:
-    """``(year_month, word, avg_sentiment, stddev_sentiment)`` over the comments that use a bank
-    word. A word used k times in a comment adds that comment's score k times. ``stddev`` is the
-    sample deviation (NULL for a single observation).
+    """``(year_month, word, n, s1, s2)``: the mergeable moments of the scores of the comments that
+    use a bank word. A word used k times in a comment adds that comment's score k times.
 
     Every comment counts unless ``target`` is given, which samples each month first (see
     :func:`sample_to_target`). ``scorer`` replaces the
     lexicon with any ``Column -> Column`` scorer of the body (for example a user ``pandas_udf``);
-    the score is then computed in-row and no per-comment shuffle is needed.
+    its scores are taken to four decimals, computed in-row, and no per-comment shuffle is needed.
     """
     if target is not None:
         comments = sample_to_target(comments, target, seed, key)
@@ -319,10 +351,14 @@ def monthly_word_sentiment(
         per_doc = _per_comment(comments, vocab, key, body, True, phrases, drop_single_chars)
         rows = per_doc.filter(F.size("matched") > 0).select(
             "year_month", "compound", F.explode("matched").alias("word"))
-    return rows.groupBy("year_month", "word").agg(
-        F.avg("compound").alias("avg_sentiment"),
-        F.stddev_samp("compound").alias("stddev_sentiment"),
-    )
+    return rows.groupBy("year_month", "word").agg(*moments(score_units(F.col("compound"))))
+
+
+def monthly_word_sentiment(comments: DataFrame, bank: DataFrame | Dimension, *args, **options) -> DataFrame:
+    """``(year_month, word, avg_sentiment, stddev_sentiment)`` over the comments that use a bank
+    word, from :func:`monthly_word_moments` (same arguments), so results are the same bit for bit
+    at any partitioning. ``stddev`` is the sample deviation (NULL for a single observation)."""
+    return from_moments(monthly_word_moments(comments, bank, *args, **options))
 
 
 def monthly_word_facts(comments: DataFrame, bank: DataFrame | Dimension, lexicon: DataFrame,
@@ -337,12 +373,10 @@ def monthly_word_facts(comments: DataFrame, bank: DataFrame | Dimension, lexicon
     phrases = idiom_table(idioms)
     vocab = _scoring_vocabulary(lexicon, boosters, negations, bank, phrases)
     per_row = _per_comment(comments, vocab, key, body, True, phrases, drop_single_chars)
-    rows = per_row.select("year_month", "compound", "n_tokens", F.explode(
+    rows = per_row.select("year_month", score_units(F.col("compound")).alias("_x"), "n_tokens", F.explode(
         F.concat("matched", F.array(F.lit(None).cast("string")))).alias("word"))
-    agg = rows.groupBy("year_month", "word").agg(
-        F.count(F.lit(1)).alias("count"), F.sum("n_tokens").alias("_tokens"),
-        F.avg("compound").alias("avg_sentiment"), F.stddev_samp("compound").alias("stddev_sentiment"))
+    agg = rows.groupBy("year_month", "word").agg(*moments(F.col("_x")), F.sum("n_tokens").alias("_tokens"))
     totals = broadcast_bounded(agg.filter("word is null").select("year_month", F.col("_tokens").alias("_total")))
     return agg.filter("word is not null").join(totals, "year_month").select(
-        "year_month", "word", "count", F.try_divide(F.col("count"), F.col("_total")).alias("frequency"),
-        "avg_sentiment", "stddev_sentiment")
+        "year_month", "word", F.col("n").alias("count"), F.try_divide(F.col("n"), F.col("_total")).alias("frequency"),
+        average().alias("avg_sentiment"), deviation().alias("stddev_sentiment"))

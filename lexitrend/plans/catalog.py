@@ -3,9 +3,9 @@
 Each query takes ``(spark, sf_dir)`` and returns a DataFrame; queries on the fact table first
 materialize it (and the roll-up) as the jobs would. Inputs are derived from the
 driver tables by the rules in :mod:`lexitrend.sources.testdata`, so every query's work grows
-with the tables. Doubles that come out of float sums are rounded to 10 decimals here (and in
-the oracle SQL) so that summation order cannot change the compared value; library functions
-return full precision.
+with the tables. Monthly sentiment comes out of whole-number moments and is compared as it is;
+averages of averages (the yearly roll-up) come out of float sums and are rounded to 10 decimals here
+and in the oracle SQL, so that summation order cannot change the compared value.
 """
 
 from __future__ import annotations
@@ -226,14 +226,13 @@ def sample_to_target(i: Inputs) -> DataFrame:
 
 
 def word_sentiment(i: Inputs) -> DataFrame:
-    return i.sentiment().select("year_month", "word", _r("avg_sentiment"), _r("stddev_sentiment"))
+    return i.sentiment().select("year_month", "word", "avg_sentiment", "stddev_sentiment")
 
 
 # --- fact ---------------------------------------------------------------------------------
 
 def _fact_out(df: DataFrame) -> DataFrame:
-    return df.select("word", "year_month", "count", "frequency", _r("avg_sentiment"),
-                     _r("stddev_sentiment"))
+    return df.select(*FT.FACT_COLUMNS)
 
 
 def words_fact(i: Inputs) -> DataFrame:

@@ -168,10 +168,14 @@ cte("s_score", ("s_doc", "s_val"), f"""
             CASE WHEN s > 0 THEN s + amp WHEN s < 0 THEN s - amp ELSE coalesce(s, 0.0) END AS x
           FROM s_doc d LEFT JOIN (SELECT doc_id, round(sum(sv), 10) AS s FROM s_val GROUP BY doc_id) USING (doc_id))""")
 cte("matched", ("toks", "bank"), "SELECT doc_id, year_month, word FROM toks WHERE word IN (SELECT word FROM bank)")
+# Scores as whole ten-thousandths: exact sums, one division and one root at the end.
 cte("sent", ("matched", "s_score"), """
-    SELECT m.year_month, m.word, avg(s.compound) AS avg_sentiment,
-           stddev_samp(s.compound) AS stddev_sentiment
-    FROM matched m JOIN s_score s USING (doc_id) GROUP BY m.year_month, m.word""")
+    SELECT year_month, word, CAST(s1 AS DOUBLE) / (n * 10000e0) AS avg_sentiment,
+           CASE WHEN n > 1 THEN sqrt(CAST(n * s2 - s1 * s1 AS DOUBLE) / (CAST(n AS DOUBLE) * CAST(n - 1 AS DOUBLE))) / 10000e0
+           END AS stddev_sentiment
+    FROM (SELECT m.year_month, m.word, count(*) AS n, sum(x) AS s1, sum(x * x) AS s2
+          FROM matched m JOIN (SELECT doc_id, CAST(round(compound * 10000) AS BIGINT) AS x FROM s_score) USING (doc_id)
+          GROUP BY m.year_month, m.word)""")
 cte("words", ("freq", "sent", "stop"), """
     SELECT f.word, f.year_month, f.count, f.frequency, s.avg_sentiment, s.stddev_sentiment
     FROM freq f JOIN sent s USING (year_month, word)
@@ -290,7 +294,7 @@ def with_ctes(final: str, *names: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({CTES[n][1]})" for n in order) + "\n" + final
 
 
-FACT_OUT = f"word, year_month, count, frequency, {rnd('avg_sentiment')}, {rnd('stddev_sentiment')}"
+FACT_OUT = "word, year_month, count, frequency, avg_sentiment, stddev_sentiment"
 YEARLY_OUT = (f"year, neg_word, {rnd('negative_sentiment_spike')}, pos_word, {rnd('positive_sentiment_spike')}, "
               f"top_spike, {rnd('top_frequency_spike')}, top_sentiment_word, {rnd('top_sentiment')}, "
               f"bottom_sentiment_word, {rnd('bottom_sentiment')}, bottom_spike, {rnd('bottom_frequency_spike')}, rank")
@@ -339,7 +343,7 @@ def _sql() -> dict[str, str]:
                   / {float(16 ** 8)} AS u
               FROM comments) WHERE frac >= 1.0 OR u < frac""", "comments"),
         "word_sentiment": with_ctes(
-            f"SELECT year_month, word, {rnd('avg_sentiment')}, {rnd('stddev_sentiment')} FROM sent", "sent"),
+            "SELECT year_month, word, avg_sentiment, stddev_sentiment FROM sent", "sent"),
         "words_fact": with_ctes(f"SELECT {FACT_OUT} FROM words", "words"),
         "words_key_check": with_ctes("""
             SELECT count(*) AS duplicate_keys FROM (

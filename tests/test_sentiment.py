@@ -248,3 +248,36 @@ def test_sample_is_repeatable_and_bounded(spark):
     none = spark.createDataFrame([(None, f"t{i}") for i in range(400)], "doc_id long, body string").withColumn(
         "year_month", F.to_date(F.lit("2010-01-01")))
     assert 60 < S.sample_to_target(none, 100).count() < 150     # rows without a key draw one by one
+
+
+def test_moments_do_not_depend_on_partitioning(spark):
+    """Bit for bit the same averages and deviations at 1, 7 and 64 partitions, and merged in parts."""
+    from lexitrend.sources import testdata as TD
+
+    sf = "/root/testdata/sf0.001"
+    comments = TD.comments(spark, sf).cache()
+    bank = TD.bank_source(spark, sf)
+    args = (bank, TD.lexicon(spark), TD.boosters(spark), TD.negations(spark))
+    got = []
+    for n in (1, 7, 64):
+        rows = S.monthly_word_sentiment(comments.repartition(n), *args).collect()
+        got.append({(r["year_month"], r["word"]): (r["avg_sentiment"], r["stddev_sentiment"]) for r in rows})
+    assert got[0] and got[0] == got[1] == got[2]
+    halves = [S.monthly_word_moments(comments.filter(F.col("doc_id") % 2 == k), *args) for k in (0, 1)]
+    both = S.from_moments(S.merged(halves[0].unionByName(halves[1]), "year_month", "word")).collect()
+    assert {(r["year_month"], r["word"]): (r["avg_sentiment"], r["stddev_sentiment"]) for r in both} == got[0]
+    comments.unpersist()
+
+
+def test_deviation_against_the_formula(spark):
+    import statistics
+
+    scores = [0.1234, -0.9999, 0.5, 0.5, 0.0, 0.3333]
+    df = spark.createDataFrame([(x,) for x in scores], "x double").agg(*S.moments(S.score_units(F.col("x"))))
+    r = df.select(S.average().alias("a"), S.deviation().alias("d")).first()
+    assert r["a"] == pytest.approx(statistics.mean(scores), abs=1e-15)
+    assert r["d"] == pytest.approx(statistics.stdev(scores), abs=1e-15)
+    same = spark.range(1000).select(F.lit(0.1).alias("x")).agg(*S.moments(S.score_units(F.col("x"))))
+    assert same.select(S.deviation().alias("d")).first()["d"] == 0.0
+    one = spark.range(1).select(F.lit(0.1).alias("x")).agg(*S.moments(S.score_units(F.col("x"))))
+    assert one.select(S.deviation().alias("d")).first()["d"] is None
