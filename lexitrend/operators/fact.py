@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import month_sequence
@@ -63,18 +63,64 @@ def month_grid(words: DataFrame, start=None, end=None) -> tuple[dt.date, dt.date
     return start, end
 
 
-def missing_months(words: DataFrame, start, end) -> DataFrame:
-    """``(word, year_month)`` for every calendar month a word has no row for.
+def month_number(month: dt.date) -> int:
+    return month.year * 12 + month.month - 1
 
-    Each word's present months are gathered with ``collect_set``: at most one entry per
-    distinct month, so a group is bounded by the calendar however many rows the word has (and
-    the set is built partially per task). The gap list is then ``array_except`` in-row.
-    """
+
+def month_of(number: int) -> dt.date:
+    return dt.date(number // 12, number % 12 + 1, 1)
+
+
+def months_between(first: dt.date, last: dt.date) -> list[dt.date]:
+    return [month_of(n) for n in range(month_number(first), month_number(last) + 1)]
+
+
+def _number(month: Column) -> Column:
+    return F.year(month) * 12 + F.month(month) - 1
+
+
+def month_bitmaps(words: DataFrame, base: int, slots: int) -> DataFrame:
+    """``(word, bits)``: one bit per month a word has rows for, counted from month number ``base``,
+    in ``slots`` whole numbers of 64 bits. A word's bits are partial per task and merge by OR; rows
+    outside the bits give a word without setting any."""
+    at = _number(F.col("year_month")) - F.lit(base)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(at, F.lit(64)).cast("int"))
+    none = F.lit(0).cast("long")
+    return words.groupBy("word").agg(F.array(*[
+        F.bit_or(F.when(F.floor(at / 64) == k, bit).otherwise(none)) for k in range(slots)]).alias("bits"))
+
+
+def merge_bitmaps(bitmaps: DataFrame, slots: int, *flags: str) -> DataFrame:
+    """One row per word: the OR of its bits (missing slots count as 0) and the largest of each flag."""
+    return bitmaps.groupBy("word").agg(F.array(*[
+        F.coalesce(F.bit_or(F.get("bits", F.lit(k))), F.lit(0).cast("long")) for k in range(slots)]).alias("bits"),
+        *[F.max(c).alias(c) for c in flags])
+
+
+def gaps(bitmaps: DataFrame, base: int, months: Sequence[dt.date]) -> DataFrame:
+    """``(word, year_month)`` of the given months that a word's bits lack."""
+    if not months:
+        return bitmaps.select("word", F.lit(None).cast("date").alias("year_month")).limit(0)
+    wanted = F.array(*[F.struct(F.lit(m).alias("m"), F.lit((month_number(m) - base) // 64).alias("slot"),
+                                F.lit((month_number(m) - base) % 64).alias("bit")) for m in months])
+    lacks = F.filter(wanted, lambda x: F.call_function("getbit", F.get("bits", x["slot"]), x["bit"]) == 0)
+    return bitmaps.select("word", F.explode(lacks).alias("_x")).select("word", F.col("_x.m").alias("year_month"))
+
+
+def slots_of(first: dt.date, last: dt.date) -> int:
+    return (month_number(last) - month_number(first)) // 64 + 1
+
+
+def missing_months(words: DataFrame, start, end) -> DataFrame:
+    """``(word, year_month)`` for every calendar month a word has no row for, from month bitmaps: a
+    word is one row of a few whole numbers in the shuffle, however many rows it has."""
     if start is None or end is None:  # an empty table has no calendar and no gaps
         return words.select("word", "year_month").limit(0)
-    months = month_sequence(F.to_date(F.lit(str(start))), F.to_date(F.lit(str(end))))
-    present = words.groupBy("word").agg(F.collect_set("year_month").alias("_have"))
-    return present.select("word", F.explode(F.array_except(months, F.col("_have"))).alias("year_month"))
+    first, last = (dt.date.fromisoformat(str(x)).replace(day=1) for x in (start, end))
+    if first > last:
+        return words.select("word", "year_month").limit(0)
+    base = month_number(first)
+    return gaps(month_bitmaps(words, base, slots_of(first, last)), base, months_between(first, last))
 
 
 def zero_rows(missing: DataFrame) -> DataFrame:

@@ -9,12 +9,15 @@ some months replaces exactly those months (and empties those of its bounds that
     sentiment           comment Parquet + dictionary + stopwords + lexicon -> sentiment
     load_words          n-gram counts + sentiment -> words fact table (months replaced)
     load_definitions    dictionary -> word_definitions
-    zero_fill           words -> words plus zero rows for calendar months a word lacks
+    zero_fill           words -> words plus zero rows for calendar months a word lacks (changes only)
     yearly_tables       words -> six yearly tables
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,16 +28,33 @@ from ..operators import fact as FT
 from ..operators import frequency as FQ
 from ..operators import sentiment as S
 from ..operators import trends as TR
-from ..operators.explore import ordered
+from ..operators import explore as X
 from ..sources import comments as SC
 from ..sources import lists as L
 from ..sources import sinks as SK
+from ..sources.swap import Folder, recover
 from ..session import ensure_checkpoint_dir
 
 
-def convert_archive(spark: SparkSession, raw_root: str, out: str, glob: str = "*/*") -> None:
-    """Read every month of the JSON archive and write it as comment Parquet."""
-    SC.write_comment_parquet(SC.read_archive(spark, raw_root, glob), out)
+ARCHIVE_STATE = "_archive.json"
+
+
+def convert_archive(spark: SparkSession, raw_root: str, out: str, glob: str = "*/*") -> list[str]:
+    """Write the JSON archive as comment Parquet; returns the files that were read.
+
+    Path, length and time of change of every converted file are kept with ``out`` (one entry per
+    archive file), and a later run reads only files that are new or changed, with the other files of
+    their months, as a month is replaced whole. A file that has left the archive leaves its month."""
+    table = Folder(spark, out)
+    listed = {path: [size, changed] for path, size, changed in Folder(spark, raw_root).glob(f"{raw_root.rstrip('/')}/{glob}")}
+    state = f"{table.path}/{ARCHIVE_STATE}"
+    known = json.loads(table.read(state)) if table.exists(state) else {}
+    months = {SC.month_of_path(p) for p, what in listed.items() if known.get(p) != what}
+    files = [p for p in listed if SC.month_of_path(p) in months]
+    if files:
+        SC.write_comment_parquet(SC.read_archive(spark, raw_root, glob, files), out)
+        table.write(state, json.dumps({**known, **{p: listed[p] for p in files}}))
+    return files
 
 
 def word_freqs(spark: SparkSession, comments_root: str, out_root: str, ns=(1,),
@@ -96,14 +116,88 @@ def load_definitions(spark: SparkSession, dictionary_csv: str, out: str) -> None
     SK.overwrite(B.definitions(L.read_dictionary(spark, dictionary_csv, skip_long_lines=True)), out)
 
 
+FILL_STATE, FILL_BITMAPS = "_fill.json", "_bitmaps"
+
+
 def zero_fill(spark: SparkSession, words_path: str, out: str, start: str | None = None,
-              end: str | None = None) -> None:
+              end: str | None = None) -> list[dt.date]:
     """Write the fact table plus zero rows for every calendar month a word lacks; the calendar is
     the table's own unless bounds are given. ``out`` must be another table: a table cannot be
-    replaced while it is read."""
+    replaced while it is read. Returns the months that were written or added to.
+
+    One bitmap of present months per word is kept with ``out``, and which files each month was made
+    from. A later run reads only the months whose files changed: it replaces those (and calendar
+    months that are new), and adds to other months the zero rows of words never seen before. Nothing
+    is written if nothing changed. When a word has lost its last row, or the calendar begins earlier
+    or became shorter, the table is made anew. Bitmaps and months are swapped in together."""
     if SK.same_path(spark, words_path, out):
         raise ValueError("zero_fill cannot write to the table it reads")
-    SK.write_monthly(FT.densify(SK.read_monthly(spark, words_path), start, end), out)
+    ensure_checkpoint_dir(spark)
+    source, table = Folder(spark, words_path), Folder(spark, out)
+    recover(table)
+    words = SK.read_monthly(spark, words_path, schema=schemas.WORDS)
+    made_from = {m: [[n, size] for n, size, _ in source.files(f"{source.path}/{f}")] for m, f in source.months().items()}
+    made_from = {m: f for m, f in made_from.items() if f}
+    bounds = [dt.date.fromisoformat(str(x)).replace(day=1) if x else None for x in (start, end)]
+    first, last = bounds[0] or min(made_from, default=None), bounds[1] or max(made_from, default=None)
+    calendar = FT.months_between(first, last) if first and last else []
+    every = sorted({*calendar, *made_from})
+    if not every:
+        return SK.write_monthly(words.select(*FT.FACT_COLUMNS), out, span=(None, None))
+    state = {"first": str(first), "last": str(last), "base": FT.month_number(every[0]),
+             "made_from": {str(m): f for m, f in made_from.items()}}
+    slots = FT.slots_of(every[0], every[-1])
+    old = json.loads(table.read(f"{table.path}/{FILL_STATE}")) if table.exists(f"{table.path}/{FILL_STATE}") else None
+    if old is not None and old["base"] <= state["base"] and old["first"] == state["first"] and old["last"] <= state["last"]:
+        state["base"] = old["base"]
+        slots = FT.slots_of(FT.month_of(old["base"]), every[-1])
+        written = _fill_changes(spark, words, out, table, old, state, calendar, slots)
+        if written is not None:
+            return written
+    bitmaps = FT.month_bitmaps(words, state["base"], slots).checkpoint(eager=True)
+    full = words.select(*FT.FACT_COLUMNS).unionByName(FT.zero_rows(FT.gaps(bitmaps, state["base"], calendar)))
+    return SK.write_monthly(full, out, span=(None, None), side={FILL_STATE: json.dumps(state), FILL_BITMAPS: bitmaps})
+
+
+def _fill_changes(spark: SparkSession, words: DataFrame, out: str, table: Folder, old: dict, state: dict,
+                  calendar: list[dt.date], slots: int) -> list[dt.date] | None:
+    """The changes since the last fill; None if the table must be made anew."""
+    known, now = old["made_from"], state["made_from"]
+    changed = {dt.date.fromisoformat(m) for m in {*known, *now} if known.get(m) != now.get(m)}
+    before = FT.months_between(*(dt.date.fromisoformat(old[k]) for k in ("first", "last")))
+    rewrite = sorted(changed | set(calendar) - set(before))
+    if not rewrite:
+        return []
+    facts = words.filter(F.col("year_month").isin(sorted(changed)) if changed else F.lit(False))
+    mask = [0] * slots
+    for n in (FT.month_number(m) - state["base"] for m in changed):
+        mask[n // 64] |= 1 << n % 64
+    keep = [F.lit(~x if x < 1 << 63 else ~(x - (1 << 64))).cast("long") for x in mask]
+    had = spark.read.schema("word string, bits array<long>").parquet(f"{table.path}/{FILL_BITMAPS}").select(
+        "word", F.array(*[F.coalesce(F.get("bits", F.lit(k)), F.lit(0).cast("long")).bitwiseAND(keep[k])
+                          for k in range(slots)]).alias("bits"), F.lit(1).alias("seen"))
+    fresh = FT.month_bitmaps(facts, state["base"], slots).withColumn("seen", F.lit(0))
+    bitmaps = FT.merge_bitmaps(had.unionByName(fresh), slots, "seen").checkpoint(eager=True)
+    if not bitmaps.filter(F.forall("bits", lambda b: b == 0)).isEmpty():
+        return None
+    rest = [m for m in calendar if m not in set(rewrite)]
+    zero = FT.gaps(bitmaps, state["base"], [m for m in rewrite if m in set(calendar)]).unionByName(
+        FT.gaps(bitmaps.filter("seen = 0"), state["base"], rest))
+    rows = facts.select(*FT.FACT_COLUMNS).unionByName(FT.zero_rows(zero))
+    return SK.write_monthly(rows, out, months=rewrite, append=rest, side={
+        FILL_STATE: json.dumps(state), FILL_BITMAPS: bitmaps.select("word", "bits")})
+
+
+def lookup(spark: SparkSession, words_path: str, definitions_path: str, word_list: str, start: str | None = None,
+           end: str | None = None) -> DataFrame:
+    """The word explorer over written tables: of the fact table only files whose range of words can
+    hold a requested one are opened; the calendar comes from the table's folders."""
+    months = Folder(spark, words_path).months()
+    if not months:
+        return spark.createDataFrame([], schemas.WORDS)
+    facts = SK.read_words(spark, words_path, X.parse_words(word_list), schemas.WORDS, start, end)
+    return X.word_explorer(facts, spark.read.parquet(definitions_path), word_list,
+                           start or min(months), end or max(months))
 
 
 def yearly_tables(spark: SparkSession, words_path: str, out_root: str,
@@ -121,4 +215,4 @@ def read_yearly_tables(spark: SparkSession, out_root: str) -> dict[str, DataFram
 
 def read_yearly_table(spark: SparkSession, out_root: str, name: str) -> DataFrame:
     """One yearly table in the order it is shown: by year, rank and word."""
-    return ordered(spark.read.parquet(f"{out_root.rstrip('/')}/{name}"))
+    return X.ordered(spark.read.parquet(f"{out_root.rstrip('/')}/{name}"))

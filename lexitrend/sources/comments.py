@@ -10,6 +10,9 @@ only the wanted folders are listed and read.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,17 +25,22 @@ CORRUPT = "_corrupt"
 MONTH_FROM_PATH = r"(\d{2})\.[^./]+$"
 
 
-def _archive_lines(spark: SparkSession, root: str, glob: str) -> DataFrame:
+def month_of_path(path: str) -> tuple[str, str]:
+    """Year and month of an archive file, as in :func:`read_archive`."""
+    return tuple((re.search(p, path) or ("", ""))[1] for p in (YEAR_FROM_PATH, MONTH_FROM_PATH))
+
+
+def _archive_lines(spark: SparkSession, root: str, glob: str, files: Sequence[str] | None = None) -> DataFrame:
     """Every line: all fields as text (so an odd value loses nothing else of its line), and
     ``_corrupt`` for lines that are no JSON object."""
     names = [f.name for f in schemas.RAW_COMMENT.fields] + ["id", CORRUPT]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     return (spark.read.schema(schema).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT).json(f"{root.rstrip('/')}/{glob}"))
+            .option("columnNameOfCorruptRecord", CORRUPT).json(list(files) if files is not None else f"{root.rstrip('/')}/{glob}"))
 
 
-def read_archive(spark: SparkSession, root: str, glob: str = "*/*") -> DataFrame:
-    """Read the JSON archive and tag rows with ``year`` and ``month``.
+def read_archive(spark: SparkSession, root: str, glob: str = "*/*", files: Sequence[str] | None = None) -> DataFrame:
+    """Read the JSON archive (or the given files of it) and tag rows with ``year`` and ``month``.
 
     A line is dropped only if it is no JSON object at all (:func:`archive_report` counts those);
     a number field that is no whole number is NULL. ``doc_id`` is the comment's ``id``, or a
@@ -40,7 +48,7 @@ def read_archive(spark: SparkSession, root: str, glob: str = "*/*") -> DataFrame
     """
     # Spark parses a line only as far as it is asked to; the body is asked for along with the mark.
     lost = F.col(CORRUPT).isNotNull() & F.col("body").isNull()
-    df = _archive_lines(spark, root, glob).filter(~lost)
+    df = _archive_lines(spark, root, glob, files).filter(~lost)
     path = F.col("_metadata.file_path")
     text = {f.name for f in schemas.RAW_COMMENT.fields if isinstance(f.dataType, T.StringType)}
     df = df.withColumns({f.name: F.col(f.name).try_cast(f.dataType) for f in schemas.RAW_COMMENT.fields
@@ -55,9 +63,11 @@ def read_archive(spark: SparkSession, root: str, glob: str = "*/*") -> DataFrame
 
 
 def archive_report(spark: SparkSession, root: str, glob: str = "*/*") -> DataFrame:
-    """``(file, lines, dropped)``: how many lines each archive file has and how many are no JSON."""
+    """``(file, lines, dropped, with_body)``: how many lines each archive file has, how many
+    :func:`read_archive` drops (no JSON, and no body to be found in them), and how many have a body."""
+    lost = F.col(CORRUPT).isNotNull() & F.col("body").isNull()
     return (_archive_lines(spark, root, glob).select(F.col("_metadata.file_path").alias("file"), CORRUPT, "body")
-            .groupBy("file").agg(F.count(F.lit(1)).alias("lines"), F.count(CORRUPT).alias("dropped"),
+            .groupBy("file").agg(F.count(F.lit(1)).alias("lines"), F.count_if(lost).alias("dropped"),
                                  F.count("body").alias("with_body")))
 
 

@@ -42,13 +42,16 @@ def _clustered(rows: DataFrame, size: int, sort_by: Sequence[str]) -> DataFrame:
 
 def write_monthly(df: DataFrame, out: str, month_col: str = "year_month", sort_by: Sequence[str] = ("word",),
                   months: Sequence[dt.date] | None = None, span: tuple[str | None, str | None] | None = None,
-                  append: Sequence[dt.date] = (), token: str | None = None) -> list[dt.date]:
+                  append: Sequence[dt.date] = (), token: str | None = None,
+                  side: dict[str, DataFrame | str] | None = None) -> list[dt.date]:
     """Write a monthly result under ``year=/month=`` folders (snappy), replacing the months present
     in ``df``; returns them.
 
     Months that the write covers but ``df`` has no rows for are emptied: the listed ``months``, or
     every month of the table within ``span`` (first and last month, either may be None). Months in
     ``append`` are added to instead. A write whose ``token`` the table has seen does nothing.
+    ``side`` frames (Parquet) and texts (small files) go beside the months under their names, which
+    begin with ``_``, in the same swap.
 
     ``df`` is computed once, into a folder beside the table; that is measured, range-clustered on
     month and ``sort_by`` into files of about ``lexitrend.files.bytes``, and swapped in month by
@@ -71,12 +74,17 @@ def write_monthly(df: DataFrame, out: str, month_col: str = "year_month", sort_b
     written = table.months(f"{place}/new")
     if written:
         _write_ranges(spark, table, place, sort_by[0], written)
+    for name, what in (side or {}).items():
+        if isinstance(what, str):
+            table.write(f"{place}/side/{name}", what)
+        else:
+            what.write.option("compression", "snappy").parquet(f"{place}/side/{name}")
     present = [x for x in written if x not in set(append)]
     covered = set(months or ())
     if span is not None:
         lo, hi = (dt.date.fromisoformat(str(x)) if x is not None else None for x in span)
         covered |= {x for x in table.months() if (lo is None or x >= lo) and (hi is None or x <= hi)}
-    swap.commit(table, place, present, covered - set(written), [x for x in written if x in set(append)], token)
+    swap.commit(table, place, present, covered - set(written), [x for x in written if x in set(append)], token, side or ())
     return sorted(written)
 
 

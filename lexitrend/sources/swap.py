@@ -91,6 +91,11 @@ class Folder:
         finally:
             source.close()
 
+    def glob(self, pattern: str) -> list[tuple[str, int, int]]:
+        """``(path, bytes, time of change)`` of the files a pattern names."""
+        found = self._fs.globStatus(self._p(pattern))
+        return sorted((s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in found or [] if s.isFile())
+
     def months(self, path: str | None = None) -> dict[dt.date, str]:
         """The month folders below ``path`` (the table by default), by month."""
         top = path or self.path
@@ -115,11 +120,11 @@ def begin(table: Folder) -> str:
 
 
 def commit(table: Folder, swap: str, replace: Iterable[dt.date], empty: Iterable[dt.date] = (),
-           append: Iterable[dt.date] = (), token: str | None = None) -> None:
+           append: Iterable[dt.date] = (), token: str | None = None, side: Iterable[str] = ()) -> None:
     """Make the write in ``swap`` count, then bring its months into the table."""
     plan = {k: sorted(month_folder(m) for m in v) for k, v in (
         ("replace", replace), ("empty", empty), ("append", append))}
-    table.write(f"{swap}/{PLAN}", json.dumps({**plan, "token": token}))
+    table.write(f"{swap}/{PLAN}", json.dumps({**plan, "token": token, "side": sorted(side)}))
     roll_forward(table, swap)
 
 
@@ -140,6 +145,11 @@ def roll_forward(table: Folder, swap: str) -> None:
         for sub in ("", "/_ranges"):
             for name, *_ in table.files(new + sub):
                 table.rename(f"{new}{sub}/{name}", f"{table.path}/{folder}{sub}/{name}")
+    for name in plan["side"]:
+        if table.exists(f"{swap}/side/{name}"):
+            if table.exists(f"{table.path}/{name}"):
+                table.rename(f"{table.path}/{name}", f"{swap}/old/{name}")
+            table.rename(f"{swap}/side/{name}", f"{table.path}/{name}")
     if plan["token"]:
         table.write(f"{table.path}/_applied/{plan['token']}", "")
     table.delete(swap)
