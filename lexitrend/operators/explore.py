@@ -96,22 +96,45 @@ def ordered(table: DataFrame) -> DataFrame:
     return table.orderBy("year", "rank", "word")
 
 
-def yearly_words(trends: dict[str, DataFrame], year: int,
-                 allowed_years: Iterable[int] | None = None) -> DataFrame:
-    """The six yearly tables side by side, joined on ``(year, rank)`` with inner joins, for one
-    year. Tied ranks multiply rows and a rank missing from any table drops the row. The year
-    filter is applied to every input before the joins.
+def yearly_lists(trends: dict[str, DataFrame], year: int, allowed_years: Iterable[int] | None = None) -> DataFrame:
+    """The six yearly tables of one year by rank: ``(year, rank)`` and for each word column of
+    :data:`YEARLY_READ` a list of ``(word, score)`` in word order (empty where the table has no such
+    rank). The year filter reaches every table; they are stacked and grouped once.
 
     ``allowed_years`` restricts the years a caller may ask for (the original read offered
     ``constants.YEARLY_READ_YEARS``); ``None`` allows any year."""
     if allowed_years is not None and year not in set(allowed_years):
         raise ValueError(f"year {year} is not one of {sorted(set(allowed_years))}")
-    out = None
-    for word_col, (table, metric, score_col) in YEARLY_READ.items():
+    stacked = None
+    for word_col, (table, metric, _) in YEARLY_READ.items():
         t = trends[table].filter(F.year("year") == year).select(
-            "year", "rank", F.col("word").alias(word_col), F.col(metric).alias(score_col))
-        out = t if out is None else out.join(t, ["year", "rank"])
-    return out.select("year", *[c for w, (_, _, s) in YEARLY_READ.items() for c in (w, s)], "rank")
+            "year", "rank", F.lit(word_col).alias("_chart"), F.struct("word", F.col(metric).alias("score")).alias("_e"))
+        stacked = t if stacked is None else stacked.unionByName(t)
+    return stacked.groupBy("year", "rank").agg(*[
+        F.array_sort(F.collect_list(F.when(F.col("_chart") == w, F.col("_e")))).alias(w) for w in YEARLY_READ])
+
+
+def yearly_by_position(trends: dict[str, DataFrame], year: int,
+                       allowed_years: Iterable[int] | None = None) -> DataFrame:
+    """The six yearly tables side by side with tied words below each other: a rank has as many rows
+    (``position`` 1, 2, ...) as its longest tie, and a shorter list leaves NULL."""
+    lists = yearly_lists(trends, year, allowed_years)
+    rows = lists.select("year", "rank", F.posexplode(F.arrays_zip(*YEARLY_READ)).alias("_at", "_z"))
+    return rows.select("year", "rank", (F.col("_at") + 1).cast("long").alias("position"), *[
+        c for w, (_, _, s) in YEARLY_READ.items() for c in (
+            F.col(f"_z.{w}.word").alias(w), F.col(f"_z.{w}.score").alias(s))])
+
+
+def yearly_words(trends: dict[str, DataFrame], year: int,
+                 allowed_years: Iterable[int] | None = None) -> DataFrame:
+    """The six yearly tables side by side by ``(year, rank)`` for one year, as the original read gave
+    them: tied ranks multiply rows and a rank missing from any table drops the row. (Use
+    :func:`yearly_by_position` for rows that do not multiply.)"""
+    rows = yearly_lists(trends, year, allowed_years)
+    for w in YEARLY_READ:                               # an empty list drops the rank
+        rows = rows.withColumn(w, F.explode(w))
+    return rows.select("year", *[c for w, (_, _, s) in YEARLY_READ.items() for c in (
+        F.col(f"{w}.word").alias(w), F.col(f"{w}.score").alias(s))], "rank")
 
 
 def censor_words(df: DataFrame, bad: DataFrame, columns: Iterable[str] = C.YEARLY_WORD_COLUMNS) -> DataFrame:

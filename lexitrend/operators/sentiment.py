@@ -38,8 +38,6 @@ _PUNCT = r"^\p{Punct}+|\p{Punct}+$"
 SUM_DECIMALS = 10
 # Words the rules name; they are hits whether or not the lists hold them.
 RULE_WORDS = ("but", "never", "so", "this", "least", "at", "very", "without", "doubt", "kind", "of")
-# Idiom phrases are put into the plan as a literal; a longer list is an error.
-MAX_IDIOMS = 1000
 
 
 def sentiment_tokens(body: Column, drop_single_chars: bool = False) -> Column:
@@ -73,9 +71,9 @@ def punctuation_emphasis(body: Column) -> Column:
 
 def vocabulary(lexicon: DataFrame, boosters: DataFrame | None = None,
                negations: DataFrame | None = None, bank: DataFrame | Dimension | None = None,
-               rule_words: tuple[str, ...] = RULE_WORDS) -> DataFrame:
+               rule_words: tuple[str, ...] = RULE_WORDS, phrases: DataFrame | None = None) -> DataFrame:
     """One lookup table keyed by lower-case ``word``: ``valence`` (lexicon), ``booster`` (scalar),
-    ``negate``, ``scored`` (any role in scoring) and ``in_bank`` flags. Duplicate lexicon or
+    ``negate``, ``scored`` (any role in scoring; words of ``phrases`` have one) and ``in_bank`` flags. Duplicate lexicon or
     booster entries keep the largest value. Words are put together by one aggregate."""
     spark = lexicon.sparkSession
 
@@ -86,6 +84,8 @@ def vocabulary(lexicon: DataFrame, boosters: DataFrame | None = None,
 
     rows = role(lexicon.withColumn("word", F.lower("word")), valence="valence")
     rows = rows.unionByName(role(spark.createDataFrame([(w,) for w in rule_words], "word string")))
+    if phrases is not None:
+        rows = rows.unionByName(role(phrases.select(F.explode(F.split("phrase", " ")).alias("word"))))
     if boosters is not None:
         rows = rows.unionByName(role(boosters.withColumn("word", F.lower("word")), booster="scalar"))
     if negations is not None:
@@ -123,7 +123,9 @@ def _hits(comments: DataFrame, vocab: DataFrame | Dimension, key: str, body: str
         F.concat(F.array(F.lit(False)), F.col("_up")).alias("u"))).alias("i", "it")).select(
         "_rid", "it.kind", F.col("i").alias("i"), "it.word", "it.u", F.col("_cap").alias("cap_diff"),
         F.when(F.col("i") == 0, F.col("_meta")).alias("meta"))
-    found = join_dimension(rows, vocab, "word", "left")
+    # Other rows matter only when the vocabulary holds their word.
+    found = join_dimension(rows, vocab, "word", "left", wanted=(F.col("kind") == KIND_DOC) | (
+        (F.col("kind") == KIND_SCORE) & F.col("word").contains("n't")))
     scored = (F.col("kind") == KIND_SCORE) & (F.coalesce("scored", F.lit(False)) | F.col("word").contains("n't"))
     in_bank = (F.col("kind") == KIND_BANK) & F.coalesce("in_bank", F.lit(False))
     return found.filter((F.col("kind") == KIND_DOC) | scored | in_bank)
@@ -159,16 +161,23 @@ def _with_context(hits: DataFrame) -> DataFrame:
     return hits.withColumns({"wn": F.coalesce("n1.w", F.lit("")), "wnn": F.coalesce("n2.w", F.lit(""))})
 
 
-def _idiom_valence(v: Column, idioms: dict[str, float]) -> Column:
-    """Valence of a token inside an idiom: of a phrase that begins at the token, else of one that
-    ends at it or one place before it."""
-    literal = F.create_map(*[F.lit(x) for kv in idioms.items() for x in kv])
+def _idiom_valence(df: DataFrame, idioms: Dimension, applies: Column) -> DataFrame:
+    """``df`` with the valence ``v`` of a token inside an idiom replaced: by that of a phrase that
+    begins at the token, else of one that ends at it or one place before it. Each of the seven places a
+    phrase can lie is one look-up of its words in the phrase table, by a measured broadcast or a
+    salted join; nothing of the table is in the plan, so its length does not matter."""
     w0, w1, w2, w3, n1, n2 = (F.col(c) for c in ("word", "w1", "w2", "w3", "wn", "wnn"))
     phrases = ((w0, n1, n2), (w0, n1), (w1, w0), (w2, w1, w0), (w2, w1), (w3, w2, w1), (w3, w2))
-    return F.coalesce(*[F.try_element_at(literal, F.concat_ws(" ", *p)) for p in phrases], v)
+    columns = df.columns
+    found = [f"_idiom{k}" for k in range(len(phrases))]
+    for name, words in zip(found, phrases):
+        phrase = F.when(applies & F.col("v").isNotNull(), F.concat_ws(" ", *words))
+        df = join_dimension(df.withColumn("phrase", phrase), Dimension(
+            idioms.df.withColumnRenamed("idiom_valence", name), idioms.size), "phrase", "left").drop("phrase")
+    return df.withColumn("v", F.coalesce(*found, "v")).select(*columns)
 
 
-def _valence(df: DataFrame, idioms: dict[str, float]) -> DataFrame:
+def _valence(df: DataFrame, idioms: Dimension | None) -> DataFrame:
     """Valence of each scored token after caps, boosters, negation, idioms, ``least`` and ``but``."""
     v, i = F.col("v"), F.col("i") - 1
     cap = F.col("cap_diff")
@@ -192,8 +201,8 @@ def _valence(df: DataFrame, idioms: dict[str, float]) -> DataFrame:
             df = df.withColumn("v", F.when(applies & never_so, v * C.NEVER_SO_SCALAR).otherwise(v))
             flip = ~never_so & ~without_doubt & neg
         df = df.withColumn("v", F.when(applies & flip, v * C.NEGATION_SCALAR).otherwise(v))
-        if d == 3 and idioms:
-            df = df.withColumn("v", F.when(applies & v.isNotNull(), _idiom_valence(v, idioms)).otherwise(v))
+        if d == 3 and idioms is not None:
+            df = _idiom_valence(df, idioms, applies)
     least = (F.col("w1") == "least") & ~F.col("lex1")
     least_flip = least & ((i == 1) | ((i > 1) & ~F.col("w2").isin("at", "very")))
     df = df.withColumn("v", F.when(least_flip, v * C.NEGATION_SCALAR).otherwise(v))
@@ -219,10 +228,9 @@ def compound(sum_valence: Column, emphasis: Column) -> Column:
 
 
 def _per_comment(comments: DataFrame, vocab: DataFrame | Dimension, key: str, body: str, with_bank: bool,
-                 idioms: dict[str, float] | None = None, drop_single_chars: bool = False) -> DataFrame:
-    phrases = idioms or {}
+                 idioms: Dimension | None = None, drop_single_chars: bool = False) -> DataFrame:
     hits = _with_context(_hits(comments, vocab, key, body, with_bank, drop_single_chars))
-    scored = _valence(hits, phrases)
+    scored = _valence(hits, idioms)
     # The valence sum is rounded before its sign is tested: float addition order differs from
     # task to task, and an exact-zero sum must not turn into +/-1e-16 and gain the emphasis.
     aggs = [F.round(F.sum("sv"), SUM_DECIMALS).alias("_s"), F.max("meta").alias("_meta")]
@@ -234,19 +242,19 @@ def _per_comment(comments: DataFrame, vocab: DataFrame | Dimension, key: str, bo
                           *(["matched", F.col("_meta.n_tokens").alias("n_tokens")] if with_bank else []))
 
 
-def idiom_table(idioms: DataFrame | None) -> dict[str, float]:
-    """``phrase -> valence`` of an idiom list (columns ``phrase, valence``; lower case)."""
+def idiom_table(idioms: DataFrame | None) -> Dimension | None:
+    """``(phrase, idiom_valence)`` of an idiom list (columns ``phrase, valence``; lower case, the
+    largest valence of a phrase given twice), materialized and measured; None without idioms."""
     if idioms is None:
-        return {}
-    rows = idioms.select(F.lower("phrase"), F.col("valence").cast("double")).limit(MAX_IDIOMS + 1).collect()
-    if len(rows) > MAX_IDIOMS:
-        raise ValueError(f"more than {MAX_IDIOMS} idioms")
-    return {p: v for p, v in rows if p and v is not None}
+        return None
+    rows = idioms.select(F.lower("phrase").alias("phrase"), F.col("valence").cast("double").alias("v")).filter(
+        "phrase != '' and v is not null")
+    found = dimension(rows.groupBy("phrase").agg(F.max("v").alias("idiom_valence")))
+    return None if found.df.isEmpty() else found
 
 
-def _scoring_vocabulary(lexicon, boosters, negations, bank, phrases: dict[str, float]) -> Dimension:
-    words = tuple(dict.fromkeys([*RULE_WORDS, *(w for p in phrases for w in p.split())]))
-    return dimension(vocabulary(lexicon, boosters, negations, bank, words))
+def _scoring_vocabulary(lexicon, boosters, negations, bank, phrases: Dimension | None) -> Dimension:
+    return dimension(vocabulary(lexicon, boosters, negations, bank, phrases=None if phrases is None else phrases.df))
 
 
 def lexicon_sentiment(comments: DataFrame, lexicon: DataFrame, boosters: DataFrame | None = None,

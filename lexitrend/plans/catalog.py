@@ -10,11 +10,13 @@ and in the oracle SQL, so that summation order cannot change the compared value.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..functions import concise_definition, parse_word_list, tokens
 from ..operators import bank as B
 from ..operators import explore as X
@@ -25,6 +27,7 @@ from ..operators import trends as TR
 from ..operators.broadcast import Dimension, dimension
 from ..sources import comments as SC
 from ..sources import lists as L
+from ..sources import sinks as SK
 from ..sources import testdata as TD
 from ..session import ensure_checkpoint_dir
 
@@ -333,22 +336,33 @@ def word_summary_display(i: Inputs) -> DataFrame:
     return X.word_summary_display(X.word_summary(_series(i), i.definitions()))
 
 
+def fact_lookup(i: Inputs) -> DataFrame:
+    """The facts of the looked-up words out of a written, range-clustered fact table."""
+    path = f"{ensure_checkpoint_dir(i.spark)}/facts-{uuid.uuid4().hex}"
+    SK.write_monthly(i.words(), path)
+    return SK.read_words(i.spark, path, X.parse_words(TD.FIXTURE_LOOKUP), schemas.WORDS)
+
+
 def words_not_found(i: Inputs) -> DataFrame:
     return X.words_not_found(i.words(), i.definitions(), TD.FIXTURE_LOOKUP)
 
 
-def _yearly_out(df: DataFrame) -> DataFrame:
+def _yearly_out(df: DataFrame, *more: str) -> DataFrame:
     return df.select(
         "year", "neg_word", _r("negative_sentiment_spike"), "pos_word", _r("positive_sentiment_spike"),
         "top_spike", _r("top_frequency_spike"), "top_sentiment_word", _r("top_sentiment"),
         "bottom_sentiment_word", _r("bottom_sentiment"), "bottom_spike", _r("bottom_frequency_spike"),
-        "rank")
+        "rank", *more)
 
 
 def yearly_words(i: Inputs) -> DataFrame:
     return _yearly_out(X.yearly_words(i.trends(), TD.FIXTURE_YEAR))
 
 
+def yearly_by_position(i: Inputs) -> DataFrame:
+    return _yearly_out(X.yearly_by_position(i.trends(), TD.FIXTURE_YEAR), "position")
+
+
 def trend_top10(i: Inputs) -> DataFrame:
     top = X.trend_top10(i.trends(), TD.FIXTURE_YEAR)
     spike = F.col("chart").contains("frequency")
@@ -397,5 +411,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "word_summary_display": _q(word_summary_display),
     "words_not_found": _q(words_not_found),
     "yearly_words": _q(yearly_words),
+    "yearly_by_position": _q(yearly_by_position),
     "trend_top10": _q(trend_top10),
+    "fact_lookup": _q(fact_lookup),
 }

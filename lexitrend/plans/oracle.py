@@ -242,6 +242,12 @@ cte("yearly", ("charts",), "SELECT r.year, "
     + f" FROM charts WHERE date_part('year', year) = {TD.FIXTURE_YEAR} GROUP BY year, rank"
     + " HAVING count(DISTINCT chart) = 6) r, "
     + ", ".join(f"unnest(r.l_{w}) AS {w}(e)" for w in _TABLES))
+# The same lists zipped: the k-th of each chart's tied words, by word.
+cte("positions", ("charts",), "SELECT year, rank, position, "
+    + ", ".join(f"max(word) FILTER (chart = '{s}') AS {w}, max(score) FILTER (chart = '{s}') AS {s}"
+                for w, (s, *_) in _TABLES.items())
+    + " FROM (SELECT *, row_number() OVER (PARTITION BY chart, year, rank ORDER BY word) AS position FROM charts"
+    + f" WHERE date_part('year', year) = {TD.FIXTURE_YEAR}) GROUP BY year, rank, position")
 cte("bounds", ("words",), "SELECT min(year_month) AS lo, max(year_month) AS hi FROM words")
 cte("cal", ("bounds",), """
     SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS year_month FROM bounds""")
@@ -388,6 +394,10 @@ def _sql() -> dict[str, str]:
         "words_not_found": with_ctes(
             "SELECT word FROM wanted WHERE word NOT IN (SELECT word FROM found)", "wanted", "found"),
         "yearly_words": with_ctes(f"SELECT {YEARLY_OUT} FROM yearly", "yearly"),
+        "yearly_by_position": with_ctes(f"SELECT {YEARLY_OUT}, position FROM positions", "positions"),
+        "fact_lookup": with_ctes(
+            "SELECT w.word, w.year_month, w.count, w.frequency, w.avg_sentiment, w.stddev_sentiment "
+            "FROM words w WHERE w.word IN (SELECT word FROM wanted)", "words", "wanted"),
         "trend_top10": with_ctes(f"""
             SELECT chart, position, word, CASE WHEN chart LIKE '%frequency%' THEN
               {digits('score', 'abs(score)', Q.SPIKE_DIGITS)} ELSE round(score, {R}) END AS score

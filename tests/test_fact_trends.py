@@ -165,10 +165,52 @@ def test_large_dimensions_join_by_salted_shuffle(spark):
     small = results()
     spark.conf.set(BR.MAX_BYTES_CONF, "0")
     try:
+        assert results() == small                       # behind a Bloom filter
+        spark.conf.set(BR.BLOOM_BYTES_CONF, "0")        # and without one: nothing is broadcast
         assert "BroadcastExchange" not in B.matched_tokens(comments, bank)._jdf.queryExecution().executedPlan().toString()
         assert results() == small
     finally:
         spark.conf.unset(BR.MAX_BYTES_CONF)
+        spark.conf.unset(BR.BLOOM_BYTES_CONF)
+
+
+def test_bloom_filter_drops_sure_misses_only(spark):
+    from lexitrend.operators import broadcast as BR
+
+    keys = spark.range(20_000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("word"))
+    rows = spark.range(200_000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("word")).unionByName(
+        spark.createDataFrame([(None,)], "word string"))
+    dim = BR.dimension(keys)
+    left = BR.without_sure_misses(rows, dim, "word", 1 << 20)
+    assert left.join(keys, "word", "left_semi").count() == 20_000            # no hit is lost
+    assert left.count() <= 1.1 * 20_000                                      # what a join has to move
+    assert BR.without_sure_misses(rows, dim, "word", 0) is rows              # a filter past its limit is not made
+    spark.conf.set(BR.MAX_BYTES_CONF, "0")
+    try:
+        joined = BR.join_dimension(rows, dim, "word", "left_semi")
+        assert joined.count() == 20_000
+        some = BR.join_dimension(rows, BR.dimension(keys.withColumn("x", F.lit(1))), "word", "left",
+                                 wanted=F.col("word") == "k199999")
+        assert some.filter("x = 1").count() == 20_000 and some.filter("word = 'k199999'").count() == 1
+    finally:
+        spark.conf.unset(BR.MAX_BYTES_CONF)
+
+
+def test_tied_words_stand_below_each_other(spark):
+    """Four tied words in each of the six tables: four rows by position, the product in the flat form."""
+    y = d(2012)
+    trends = {}
+    for k, (name, metric, _) in enumerate(X.YEARLY_READ.values()):
+        rows = [(f"{name}{j}", y, 0.5, 1) for j in range(4)] + ([("late", y, 0.1, 5)] if k == 0 else [])
+        trends[name] = spark.createDataFrame(rows, f"word string, year date, {metric} double, rank long")
+    by = X.yearly_by_position(trends, 2012).collect()
+    assert sorted((r["rank"], r["position"]) for r in by) == [(1, 1), (1, 2), (1, 3), (1, 4), (5, 1)]
+    first = next(r for r in by if r["rank"] == 1 and r["position"] == 3)
+    assert first["top_spike"] == "top_frequency_spikes2" and first["neg_word"] == "negative_sentiment_spikes2"
+    last = next(r for r in by if r["rank"] == 5)
+    assert last["neg_word"] == "late" and last["top_spike"] is None
+    assert X.yearly_words(trends, 2012).count() == 4 ** 6
+    assert X.yearly_words(trends, 2011).count() == 0 and X.yearly_by_position(trends, 2011).count() == 0
 
 
 def test_yearly_words_year_choice():

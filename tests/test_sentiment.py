@@ -191,6 +191,52 @@ def test_idioms(spark):
     assert [got[i] for i in range(4)] == pytest.approx([c(3.0), c(-2.0), c(-1.0), c(1.9)])
 
 
+def test_a_hundred_thousand_idioms(spark):
+    """No cap: phrases are looked up in a table. The same scores with a shuffled table, and as the
+    sequential rule gives them: begin at the token (longest first), end at it, or one place before."""
+    import random
+
+    from lexitrend.operators import broadcast as BR
+
+    rng = random.Random(5)
+    pool = [f"q{i}" for i in range(60)] + ["good", "bomb"]
+    phrases = {}
+    while len(phrases) < 3000:
+        phrases[" ".join(rng.choice(pool) for _ in range(rng.randint(2, 3)))] = rng.choice([-3.0, -1.0, 2.0, 3.5])
+    many = [*phrases.items(), *((f"z{i} z{i + 1}", 1.0) for i in range(97_000))]
+    texts = [" ".join(rng.choice(pool) for _ in range(rng.randint(1, 12))) for _ in range(300)]
+    values = {"good": 1.9, "bomb": -2.0}
+
+    def brute_idioms(text):
+        w = text.split()
+        total = 0.0
+        for i, t in enumerate(w):
+            if t not in values:
+                continue
+            v = values[t]
+            if i >= 3 and w[i - 3] not in values:
+                at = [(i, i + 3), (i, i + 2), (i - 1, i + 1), (i - 2, i + 1), (i - 2, i), (i - 3, i), (i - 3, i - 1)]
+                found = [phrases[" ".join(w[a:b])] for a, b in at if b <= len(w) and " ".join(w[a:b]) in phrases]
+                v = found[0] if found else v
+            total += v
+        return round(total / math.sqrt(total * total + C.NORMALIZE_ALPHA), 4)
+
+    lex = spark.createDataFrame(list(values.items()), "word string, valence double")
+    idioms = spark.createDataFrame(many, "phrase string, valence double")
+
+    def run():
+        return {r["doc_id"]: r["compound"] for r in S.lexicon_sentiment(
+            _comments(spark, list(enumerate(texts))), lex, idioms=idioms).collect()}
+
+    got = run()
+    assert [got[i] for i in range(len(texts))] == pytest.approx([brute_idioms(t) for t in texts])
+    spark.conf.set(BR.MAX_BYTES_CONF, "0")
+    try:
+        assert run() == got
+    finally:
+        spark.conf.unset(BR.MAX_BYTES_CONF)
+
+
 def test_single_characters_can_be_left_out_of_distances(spark):
     lex = spark.createDataFrame([("good", 1.9)], "word string, valence double")
     neg = spark.createDataFrame([("not",)], "word string")
