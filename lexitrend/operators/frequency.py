@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import ngrams, tokens
+from ..session import ensure_checkpoint_dir
 from .broadcast import Dimension, broadcast_bounded, dimension, join_dimension
 
 
@@ -41,9 +42,38 @@ def with_frequency(counts: DataFrame) -> DataFrame:
     )
 
 
+#: Begins the entry that stands for a comment's number of n-grams (it occurs in no token).
+_TOTAL = "\u0000"
+
+
+def counts_and_totals(comments: DataFrame, n: int = 1, body: str = "body") -> DataFrame:
+    """``(year_month, word, count)`` of every n-gram, and a row with a NULL word for each month that
+    counts all of them: each comment adds one entry with its number of n-grams to the list that is
+    exploded, so counts and totals come out of one pass and one aggregate."""
+    def with_size(grams: Column) -> Column:
+        return F.concat(grams, F.array(F.concat(F.lit(_TOTAL), F.size(grams).cast("string"))))
+
+    # The list is bound once (see functions.ngrams); a NULL body has no list and no entry.
+    entries = F.transform(F.array(ngrams(tokens(body), n)), with_size).getItem(0)
+    rows = comments.select("year_month", F.explode(entries).alias("_e"))
+    total = F.col("_e").startswith(_TOTAL)
+    return rows.select("year_month", F.when(~total, F.col("_e")).alias("word"),
+                       F.when(total, F.substring("_e", 2, 19).cast("long")).otherwise(1).alias("_n")).groupBy(
+        "year_month", "word").agg(F.sum("_n").alias("count"))
+
+
 def monthly_ngrams(comments: DataFrame, n: int = 1, body: str = "body") -> DataFrame:
-    """``(year_month, word, count, frequency)`` for n-grams of order ``n``."""
-    return with_frequency(word_counts(comments, n, body))
+    """``(year_month, word, count, frequency)`` for n-grams of order ``n``: one tokenising pass; its
+    counts are checkpointed, so that dividing them by the month totals reads a table."""
+    ensure_checkpoint_dir(comments.sparkSession)
+    return shares(counts_and_totals(comments, n, body).checkpoint(eager=True))
+
+
+def shares(counted: DataFrame) -> DataFrame:
+    """Counts and totals (as of :func:`counts_and_totals`) as counts and frequencies."""
+    totals = broadcast_bounded(counted.filter("word is null").select("year_month", F.col("count").alias("_total")))
+    return counted.filter("word is not null").join(totals, "year_month").select(
+        "year_month", "word", "count", F.try_divide(F.col("count"), F.col("_total")).alias("frequency"))
 
 
 def monthly_ngrams_of(comments: DataFrame, words: DataFrame | Dimension, n: int = 1,

@@ -54,6 +54,19 @@ def test_frequency_totals_not_collected(spark):
     assert "BroadcastHashJoin" in p
 
 
+def test_counts_and_totals_come_out_of_one_pass(spark):
+    from lexitrend.operators import frequency as FQ
+    from lexitrend.sources import testdata as TD
+
+    rows = [(1, "a b a", "2010-01-01"), (2, None, "2010-01-01"), (3, "", "2010-02-01"), (4, "a b c", "2010-02-01"), (5, "x", "2010-03-01")]
+    c = spark.createDataFrame(rows, "doc_id long, body string, m string").withColumn("year_month", TD.F.to_date("m"))
+    for n in (1, 2):
+        counted = FQ.counts_and_totals(TD.comments(spark, SF), n)
+        assert _plan(counted).count("Generate explode") == 1
+        want = FQ.with_frequency(FQ.word_counts(c, n)).collect()
+        assert sorted(map(str, FQ.monthly_ngrams(c, n).collect())) == sorted(map(str, want))
+
+
 def test_tokeniser_inside_generate(spark):
     p = _plan(E.queries()["word_counts"](spark, SF))
     assert "Generate explode(split(regexp_replace(lower(" in p
