@@ -12,7 +12,9 @@ Results that are fixed here:
 
 - null and empty texts have all counts 0 and get the score of such a vector; texts are never cut;
 - a repeated row is scored like the first; ids with several labels count by the largest;
-- without two labelled rows of both kinds the score is the smoothed share of label 1;
+- without two labelled rows of both kinds the score is the smoothed share of label 1; with two or more
+  the discriminant is fitted, by as many folds as the smaller class allows (four at most);
+- a score of exactly 0.5 is predicted 1; columns of the input that clash with names used here are ignored;
 - an empty table gives an empty result; label, lang, source and id are no input of a score.
 """
 
@@ -134,6 +136,13 @@ def fit_pair(x: np.ndarray, y: np.ndarray, alpha: float, gamma: float) -> tuple[
     return out[0], out[1]
 
 
+def towards_pooled(alpha: float, y: np.ndarray, d: int) -> float:
+    """``alpha`` raised as far as the smaller class has few rows for its ``d`` dimensions: its own
+    covariance counts n / (n + d) of what it would."""
+    few = min(int((y == k).sum()) for k in (0, 1))
+    return 1 - (1 - alpha) * few / (few + d)
+
+
 def calibrate(s: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """Slope and intercept of a logistic fit of ``y`` on ``s`` (Newton steps, lightly damped)."""
     scale = max(1e-9, s.std())
@@ -171,25 +180,29 @@ class Model:
 def fit(x: np.ndarray, y: np.ndarray) -> Model:
     """The model of a sample's statistics ``x`` and labels ``y``."""
     n1, n0 = int((y == 1).sum()), int((y == 0).sum())
-    if min(n1, n0) < 2 * CV_FOLDS:
+    if min(n1, n0) < 2:
         return Model(np.zeros(1), np.ones(1), None, None, 0.0, float(np.log((n1 + 1) / (n0 + 1))))
     shift, scale = x.mean(0), np.maximum(x.std(0), 1e-6)
     z = np.clip((x - shift) / scale, -CLIP, CLIP)
-    part = np.arange(len(y)) % CV_FOLDS
+    # Rows are dealt to folds within each class, so every fold leaves rows of both to learn from.
+    part, folds = np.zeros(len(y), np.int64), min(CV_FOLDS, n1, n0)
+    for k in (0, 1):
+        part[y == k] = np.arange((y == k).sum()) % folds
     best = None
     for alpha in ALPHAS:
         for gamma in GAMMAS:
             s = np.zeros(len(y))
-            for k in range(CV_FOLDS):
-                low, high = fit_pair(z[part != k], y[part != k], alpha, gamma)
+            for k in range(folds):
+                own = y[part != k]
+                low, high = fit_pair(z[part != k], own, towards_pooled(alpha, own, z.shape[1]), gamma)
                 s[part == k] = high.log_density(z[part == k]) - low.log_density(z[part == k])
             slope, bias = calibrate(s, y)
             p = np.clip(sigmoid(slope * s + bias), 1e-9, 1 - 1e-9)
             loss = -float(np.where(y == 1, np.log(p), np.log(1 - p)).mean())
-            if best is None or loss < best[0] - 1e-9:
+            if np.isfinite([loss, slope, bias]).all() and (best is None or loss < best[0] - 1e-9):
                 best = (loss, alpha, gamma, slope, bias)
     _, alpha, gamma, slope, bias = best
-    low, high = fit_pair(z, y, alpha, gamma)
+    low, high = fit_pair(z, y, towards_pooled(alpha, y, z.shape[1]), gamma)
     return Model(shift, scale, low, high, slope, bias)
 
 
