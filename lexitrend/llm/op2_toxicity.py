@@ -32,9 +32,9 @@ from pyspark.sql import functions as F
 from .common import map_arrow, slices, staged, texts_of, word_hashes
 from .models import MAX_TRAIN_ROWS, fold, labelled_sample, score_all, score_column, sigmoid
 
+#: Words of the model: those most tied to the label. Weak ones are left to the penalty, so the rule is
+#: the same for few labelled rows and for many.
 MAX_WORDS = 1024
-#: Words seen in fewer sample texts, or with a weaker tie to the label, are not used.
-MIN_TEXTS, MIN_TIE = 5, 20.0
 L2 = 0.2
 COUNTERFACTUAL = 1.0
 HELD_OUT_FOLDS = 5
@@ -111,8 +111,7 @@ def tied_words(sample: DataFrame) -> tuple[int, int, np.ndarray]:
 
     tie = 2 * (part(a, a + b, F.lit(n1)) + part(b, a + b, F.lit(n0)) + part(c, c + d, F.lit(n1))
                + part(d, c + d, F.lit(n0)))
-    chosen = [r["_word"] for r in counts.filter(f"a + b >= {MIN_TEXTS}").withColumn("tie", tie).filter(
-        f"tie >= {MIN_TIE}").orderBy(F.desc("tie"), "_word").limit(MAX_WORDS).collect()]
+    chosen = [r["_word"] for r in counts.withColumn("tie", tie).orderBy(F.desc("tie"), "_word").limit(MAX_WORDS).collect()]
     return n1, n0, np.array(chosen, np.int64).view(np.uint64)
 
 
