@@ -70,10 +70,11 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     group of any size sends one row per task), and the rows that look their group up, dealt over
     salts so that a very large group is not one task's work.
     """
-    r = staged(recipes(docs, id_col, text_col), "recipes")
+    # Rows are dealt by a number of their own, as one id (or none) may stand in very many of them.
+    r = staged(recipes(docs, id_col, text_col, F.monotonically_increasing_id().alias("_at")), "recipes")
     groups = r.groupBy("_recipe").agg(F.max("_doc").alias("keep_id"),
                                       F.count(F.lit(1)).alias("_size")).filter("_size > 1")
-    found = look_up(r, groups.withColumnRenamed("_recipe", "_key"), {"_recipe": "_key"}, F.col("_doc"))
+    found = look_up(r, groups.withColumnRenamed("_recipe", "_key"), {"_recipe": "_key"}, F.col("_at"))
     keep = F.when(F.col("_size").isNull(), F.col("_doc")).otherwise(F.col("keep_id"))
     return found.select(
         F.col("_doc").alias(id_col), keep.alias("keep_id"), F.coalesce("_size", F.lit(1)).cast("long").alias("group_size"),
