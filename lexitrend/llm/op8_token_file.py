@@ -239,7 +239,8 @@ def write_files(tokens: DataFrame, path: str) -> None:
         if held:
             yield flush()
 
-    ordered = tokens.repartitionByRange("_doc").sortWithinPartitions("_doc", "_n", "_crc")
+    # Rows of one id (or of none) may be many: length and checksum spread them over ranges as well.
+    ordered = tokens.repartitionByRange("_doc", "_n", "_crc").sortWithinPartitions("_doc", "_n", "_crc")
     (map_arrow(ordered.select("_doc", "_ids"), run,
                f"part int, block int, before long, docs array<{doc_type}>, lengths array<long>, "
                "payload binary, checkpoints array<long>")
