@@ -41,6 +41,8 @@ UNKNOWN = "und"
 MAX_LANG_ROWS = 400
 #: Pieces of a dictionary, and characters of a piece.
 DICT_PIECES, PIECE_CHARS = 256, 512
+#: Salts of the first of the two rankings by which the documents are chosen.
+SALTS = 64
 LEVEL, MIN_MATCH = 5, 3
 BLOCK_BYTES = 8192
 LEAD = b" " * 128
@@ -101,8 +103,12 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         F.col(id_col).alias("_id"), F.col(lang_col).cast("string").alias("_lang"),
         F.col(text_col).cast("string").alias("_text")).filter("_id is not null and _lang is not null and _text is not null")
     # The counts and the choice move ids only; the texts of the chosen ids (bounded) are read after it.
-    ranked = Window.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id")
-    chosen = staged(rows.select("_id", "_lang").withColumn("_k", F.row_number().over(ranked))
+    # The smallest hashes are taken within salts first, so no task meets a whole language.
+    order = (F.xxhash64("_id"), F.col("_id"))
+    salted = Window.partitionBy("_lang", "_salt").orderBy(*order)
+    some = rows.select("_id", "_lang", F.pmod(F.xxhash64("_id", F.lit("salt")), F.lit(SALTS)).alias("_salt")).withColumn(
+        "_k", F.row_number().over(salted)).filter(F.col("_k") <= max_rows)
+    chosen = staged(some.withColumn("_k", F.row_number().over(Window.partitionBy("_lang").orderBy(*order)))
                     .filter(F.col("_k") <= max_rows).select(F.col("_id").alias("_i"), F.col("_lang").alias("_l"))
                     .distinct(), "language_ids")
     counts = {r["_lang"]: r["n"] for r in rows.groupBy("_lang").agg(F.count(F.lit(1)).alias("n")).collect()}
