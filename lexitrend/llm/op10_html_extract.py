@@ -15,8 +15,9 @@ Results that are fixed here:
   trimmed, empty blocks are left out; ``br`` is white space inside its block;
 - malformed html is read leniently: unclosed elements end with their parent, stray end tags are
   ignored, an unclosed comment, script or style runs to the end;
-- formulas are inline text of their block; boilerplate words on ``body``, ``html`` and on
-  wrappers of the main article do not count;
+- formulas are inline text of their block; boilerplate words on ``body``, ``html``, on wrappers of the
+  main article, on headings and paragraphs, and in ids of an article's sections do not count; an
+  ``address`` inside an article is part of it;
 - blocks whose costs tie count as boilerplate; an empty table gives an empty result; other
   columns of the input are ignored.
 """
@@ -62,6 +63,8 @@ BOILER_WORDS = {
     "respond", "responses", "widget", "pagination", "pager", "copyright", "legal", "skip", "search", "hidden",
     "complementary", "contentinfo",
 }
+#: Names (class, id, role) of these say nothing about boilerplate: headings often carry ids of their text.
+TEXT_TAGS = {"h1", "h2", "h3", "h4", "h5", "h6", "p", "blockquote", "pre"}
 CONTENT_TAGS = {"article", "main"}
 CONTENT_WORDS = {"article", "content", "post", "entry", "story", "main", "articlebody", "text"}
 
@@ -92,12 +95,13 @@ class Element:
         self.depth = parent.depth + 1 if parent else 0
         #: The outermost article or main around this, and whether something above leaves this out.
         self.article = parent.article if parent else None
-        self.out = bool(parent and parent.out) or tag in DROPPED or tag in BOILER_TAGS
+        boiler_tag = tag in BOILER_TAGS and not (tag == "address" and self.article)
+        self.out = bool(parent and parent.out) or tag in DROPPED or boiler_tag
         #: Its own part; ``weigh`` adds the boilerplate words and the parent's weight.
         self.weight, self.boiler = 0.0, False
         if tag in DROPPED:
             self.weight += W_DROPPED
-        elif tag in BOILER_TAGS:
+        elif boiler_tag:
             self.weight += W_BOILER_TAG
         elif tag == "header" and not self.article:
             self.weight += W_HEADER
@@ -109,13 +113,16 @@ class Element:
 
     def _cues(self, attrs: str) -> None:
         words: set[str] = set()
+        # A heading's or paragraph's names describe its text, and so does a section's id in an article.
+        text = self.tag in TEXT_TAGS
+        own_id = text or self.tag == "section" and self.article is not None and self.article is not self
         for name, value in _ATTR.findall(attrs):
             name, value = name.lower(), value.strip("\"'")
             if name == "hidden" or name == "aria-hidden" and value.lower() == "true" \
                     or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
                 self.weight += W_DROPPED
                 self.out = True
-            elif name in ("class", "id", "role"):
+            elif name in ("class", "role") and not text or name == "id" and not own_id:
                 words.update(w.lower() for w in _NAME.findall(value))
         self.boiler = bool(words & BOILER_WORDS) and self.tag not in ("body", "html")
         if words & CONTENT_WORDS and not self.boiler and self.tag not in ("body", "html"):
@@ -147,7 +154,7 @@ def weigh(elements: list[Element], blocks: list[Block]) -> None:
     inner = [e for e in size if e.tag == "main"] or sorted(size, key=size.get)[-1:]
     wrappers: set[Element] = set()
     for e in inner:
-        while e.parent:
+        while e.parent and e.parent not in wrappers:
             e = e.parent
             wrappers.add(e)
     elements[0].weight = W_START
@@ -165,6 +172,25 @@ def blocks_of(page: str) -> list[Block]:
     parts: list[str] = []
     linked, link_at = 0, None
 
+    #: Open elements by tag, innermost last: ends are found without walking up the tree.
+    opened: dict[str, list[Element]] = {}
+
+    def enter(e: Element) -> Element:
+        elements.append(e)
+        opened.setdefault(e.tag, []).append(e)
+        return e
+
+    def leave(e: Element) -> Element:
+        """Close ``e`` and all that is open inside it."""
+        at = here
+        while at is not e.parent:
+            opened[at.tag].pop()
+            at = at.parent
+        return at
+
+    def innermost(tags) -> Element | None:
+        return max((opened[t][-1] for t in tags if opened.get(t)), key=lambda e: e.depth, default=None)
+
     def flush() -> None:
         nonlocal linked
         if parts:
@@ -203,23 +229,17 @@ def blocks_of(page: str) -> list[Block]:
             continue
         flush()
         if closing:
-            above = here
-            while above is not root and above.tag != name:
-                above = above.parent
-            if above is not root:
-                here = above.parent
+            if opened.get(name):
+                here = leave(opened[name][-1])
         elif name != "hr":
             if here.tag == "p":
-                here = here.parent
-            for _ in range(2):  # a cell and its row at most
-                above = here
-                while above is not root and above.tag not in ENDS.get(name, ()) and above.tag not in SCOPE:
-                    above = above.parent
-                if above.tag in ENDS.get(name, ()):
-                    here = above.parent
+                here = leave(here)
+            for _ in range(2 if name in ENDS else 0):  # a cell and its row at most
+                ended = innermost(ENDS[name] | SCOPE)
+                if ended and ended.tag in ENDS[name]:
+                    here = leave(ended)
             if not attrs.rstrip().endswith("/") or name != "svg":
-                here = Element(name, attrs, here)
-                elements.append(here)
+                here = enter(Element(name, attrs, here))
         if link_at is not None and here.depth < link_at:
             link_at = None
     flush()
@@ -227,9 +247,13 @@ def blocks_of(page: str) -> list[Block]:
     return out
 
 
+#: Steps between two parents beyond which an edge would weigh next to nothing.
+FAR = 12
+
+
 def _distance(a: Element, b: Element) -> int:
     steps = 0
-    while a is not b:
+    while a is not b and steps < FAR:
         if a.depth >= b.depth:
             a = a.parent
         else:
@@ -254,40 +278,81 @@ def smoothness(blocks: list[Block]) -> list[dict[int, float]]:
     return edges
 
 
+EPS = 1e-9
+
+
 def min_cut(net: list[float], edges: list[dict[int, float]]) -> list[bool]:
     """Labels of least total cost. ``net[i]`` above 0 is the capacity from the source, below 0
     to the sink (only the difference of the two matters); ``edges`` holds the capacities between
-    blocks, both ways. Shortest augmenting paths until none is left; the content side is what
-    the source still reaches."""
-    source = [max(0.0, x) for x in net]
-    sink = [max(0.0, -x) for x in net]
-    cap = [dict(e) for e in edges]
-    eps = 1e-9
+    blocks, both ways. Of several least cuts the one with the fewest content blocks is taken.
+
+    A block whose own capacity outweighs all its edges has its label in every such cut; its edges then
+    add to its neighbours' capacities, which may settle them too. What is left, mostly short runs of
+    doubtful blocks, is solved by max-flow; the content side is what the source still reaches."""
+    net, open_edges = list(net), [dict(e) for e in edges]
+    label: list[bool | None] = [None] * len(net)
+    todo = deque(range(len(net)))
+    while todo:
+        i = todo.popleft()
+        if label[i] is not None:
+            continue
+        weight = sum(open_edges[i].values())
+        if net[i] > weight + EPS or -net[i] >= weight - EPS:
+            label[i] = net[i] > 0 and net[i] > weight + EPS
+            for j, c in open_edges[i].items():
+                net[j] += c if label[i] else -c
+                del open_edges[j][i]
+                todo.append(j)
+            open_edges[i] = {}
+    rest = [i for i, x in enumerate(label) if x is None]
+    number = {i: k for k, i in enumerate(rest)}
+    reached = max_flow([net[i] for i in rest], [{number[j]: c for j, c in open_edges[i].items()} for i in rest])
+    for i, x in zip(rest, reached):
+        label[i] = x
+    return [bool(x) for x in label]
+
+
+def max_flow(net: list[float], cap: list[dict[int, float]]) -> list[bool]:
+    """Which blocks the source reaches after a maximum flow: level graphs from the source, and in
+    each a blocking flow along paths that never look at a spent edge twice."""
+    source, sink = [max(0.0, x) for x in net], [max(0.0, -x) for x in net]
+    n = len(net)
     while True:
-        before: dict[int, int] = {i: -1 for i, x in enumerate(source) if x > eps}
-        todo, goal = deque(before), -1
-        while todo:
-            u = todo.popleft()
-            if sink[u] > eps:
-                goal = u
-                break
+        level = [0 if source[i] > EPS else -1 for i in range(n)]
+        order = deque(i for i in range(n) if level[i] == 0)
+        goal = False
+        while order:
+            u = order.popleft()
+            goal = goal or sink[u] > EPS
             for v, c in cap[u].items():
-                if c > eps and v not in before:
-                    before[v] = u
-                    todo.append(v)
-        if goal < 0:
-            return [i in before for i in range(len(net))]
-        path = [goal]
-        while before[path[-1]] >= 0:
-            path.append(before[path[-1]])
-        flow = min(sink[goal], source[path[-1]])
-        for v, u in zip(path, path[1:]):
-            flow = min(flow, cap[u][v])
-        sink[goal] -= flow
-        source[path[-1]] -= flow
-        for v, u in zip(path, path[1:]):
-            cap[u][v] -= flow
-            cap[v][u] = cap[v].get(u, 0.0) + flow
+                if c > EPS and level[v] < 0:
+                    level[v] = level[u] + 1
+                    order.append(v)
+        if not goal:
+            return [x >= 0 for x in level]
+        ways = [list(c) for c in cap]           # edges of each block that are still worth a look
+        for start in range(n):
+            while source[start] > EPS and level[start] == 0:
+                path = [start]
+                while path:
+                    u = path[-1]
+                    if sink[u] > EPS:
+                        break
+                    while ways[u] and not (cap[u][ways[u][-1]] > EPS and level[ways[u][-1]] == level[u] + 1):
+                        ways[u].pop()
+                    if ways[u]:
+                        path.append(ways[u][-1])
+                    else:
+                        level[u] = -1           # no way on from here in this level graph
+                        path.pop()
+                if not path:
+                    break
+                flow = min(source[start], sink[path[-1]], *(cap[u][v] for u, v in zip(path, path[1:])))
+                source[start] -= flow
+                sink[path[-1]] -= flow
+                for u, v in zip(path, path[1:]):
+                    cap[u][v] -= flow
+                    cap[v][u] = cap[v].get(u, 0.0) + flow
 
 
 def main_text(page: str | None) -> str:
