@@ -1,0 +1,72 @@
+"""Long pages take linear time, and names inside an article drop none of its text."""
+
+import random
+import time
+
+import pytest
+
+from lexitrend.llm import op10_html_extract as web
+
+TEXT = "Plain words of the article that go on for quite a while, so that it looks like a sentence of it."
+
+
+def timed(page):
+    t = time.perf_counter()
+    out = web.main_text(page)
+    return out, time.perf_counter() - t
+
+
+@pytest.mark.parametrize("n", [8_000, 50_000])
+def test_alternating_blocks(n):
+    page = "<body>" + f"<p>{TEXT}</p><nav><a href=x>Home</a></nav>" * (n // 2) + "</body>"
+    out, seconds = timed(page)
+    assert seconds < 5 and set(out.split("\n")) <= {TEXT, ""}
+
+
+@pytest.mark.parametrize("n", [8_000, 50_000])
+@pytest.mark.parametrize("tag", ["div", "li", "td", "section"])
+def test_nested_blocks(n, tag):
+    page = "<article>" + f"<{tag}>{TEXT}" * n + f"</{tag}>" * n + "</article>"
+    out, seconds = timed(page)
+    assert seconds < 8 and out.count(TEXT) == n
+
+
+def test_doubtful_blocks():
+    """Blocks near zero, which only the flow can settle, in one long run."""
+    rng = random.Random(2)
+    n = 20_000
+    net = [rng.uniform(-.6, .6) for _ in range(n)]
+    edges = [{} for _ in range(n)]
+    for i in range(1, n):
+        for j in {i - 1, max(0, i - rng.randint(1, 6))}:
+            edges[i][j] = edges[j][i] = .8
+    t = time.perf_counter()
+    keep = web.min_cut(net, edges)
+    assert time.perf_counter() - t < 8 and len(keep) == n
+
+
+def test_stray_and_crossed_ends():
+    assert web.main_text(f"<article></div><div><p>{TEXT}</section></div></p><p>{TEXT}</article>") == f"{TEXT}\n{TEXT}"
+    table = f"<article><table><tr><td>a b<td>c d<tr><td><ul><li>{TEXT}<li>e f</ul><td>g h</table></article>"
+    assert web.main_text(table) == f"a b\nc d\n{TEXT}\ne f\ng h"
+
+
+@pytest.mark.parametrize("inner", [
+    '<h2 id="related-work">Related work</h2>', '<h2 id="search">Searching</h2>', '<h3 id="legal-aspects">Law</h3>',
+    f'<section id="discussion"><p>{TEXT}</p></section>', "<address>1 Long Street, Town</address>",
+    f'<p class="alert">{TEXT}</p>'])
+def test_article_text_stays(inner):
+    import re
+
+    page = f"<body><nav>Home</nav><article><h1>Title</h1><p>{TEXT}</p>{inner}<p>{TEXT}</p></article></body>"
+    want = re.sub("<[^>]+>", "", inner)
+    assert web.main_text(page) == f"Title\n{TEXT}\n{want}\n{TEXT}"
+
+
+@pytest.mark.parametrize("inner", [
+    '<div class="ad-box"><p>Buy this now</p></div>', '<aside><p>Other news</p></aside>', '<form><p>Your mail</p></form>',
+    '<div class="share"><a href=x>Share</a></div>', f'<div class="comments"><p>{TEXT}</p></div>',
+    f'<section class="comments"><p>{TEXT}</p></section>'])
+def test_boilerplate_inside_an_article_goes(inner):
+    page = f"<body><article><h1>Title</h1><p>{TEXT}</p>{inner}<p>{TEXT}</p></article></body>"
+    assert web.main_text(page) == f"Title\n{TEXT}\n{TEXT}"
