@@ -52,7 +52,7 @@ def op4_quality_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_decontaminate_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op5_decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return op5_decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), word_edges=True)
 
 
 def op6_packing_q(spark: SparkSession, sf_dir: str) -> DataFrame:

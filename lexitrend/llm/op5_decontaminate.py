@@ -6,7 +6,8 @@ may differ from a passage of a document in ``k = n * ERROR_RATE`` characters. It
 piece exactly, about where the piece stands in the item. All pieces of a block of items are
 found in one pass over each whole text (Aho-Corasick); each place found is verified by Myers'
 bit-parallel edit distance of the whole item against the passage. Nothing is shuffled: a task
-holds the documents of its partition and one block of items, whose size is bounded.
+holds the documents of its partition and one block of items, whose size is bounded; a Python worker
+keeps the automaton of its last block from batch to batch and from task to task.
 
 Results that are fixed here:
 
@@ -14,12 +15,17 @@ Results that are fixed here:
   row that is repeated is reported as often as it occurs;
 - null and empty texts and items without words match nothing; items shorter than ``1 / ERROR_RATE``
   characters must occur exactly;
-- equal items are each reported; items are compared as whole words at no point, only as characters;
+- equal items are each reported; items are compared as characters. With ``word_edges`` an item that
+  must occur exactly counts only where it begins and ends at the edge of a word (so ``ai`` is not found
+  in ``train``); edges are those of digits and of letters with two cases, as other scripts may write
+  words without spaces. The query and the pipeline ask for word edges;
 - empty tables give an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
 
+import functools
+import pickle
 import re
 from collections.abc import Iterator
 
@@ -77,10 +83,15 @@ def myers(pattern: str, text: str) -> tuple[int, int]:
     return best, end
 
 
+def _runs_on(a: str, b: str) -> bool:
+    """Whether two neighbouring characters belong to one word (of a script that puts spaces)."""
+    return all(c.isdigit() or c.lower() != c.upper() for c in (a, b))
+
+
 class Matcher:
     """A block of items, ready to be looked for in texts."""
 
-    def __init__(self, items: list[tuple[object, str]], error_rate: float):
+    def __init__(self, items: list[tuple[object, str]], error_rate: float, word_edges: bool = False):
         import ahocorasick
 
         self.items = [(key, text, int(len(text) * error_rate)) for key, text in items]
@@ -94,6 +105,11 @@ class Matcher:
         if places:
             self.automaton.make_automaton()
         self.empty = not places
+        self.word_edges = word_edges
+
+    def _cut(self, text: str, a: int, b: int) -> bool:
+        """Whether ``text[a:b]`` begins or ends inside a word."""
+        return a > 0 and _runs_on(text[a - 1], text[a]) or b < len(text) and _runs_on(text[b - 1], text[b])
 
     def find(self, text: str) -> list[tuple[object, int, int, int]]:
         """``(item key, distance, end in the normalised text, item characters)`` within budget."""
@@ -102,6 +118,8 @@ class Matcher:
         starts: dict[int, list[int]] = {}
         for last, (size, where) in self.automaton.iter(text):
             for i, offset in where:
+                if self.word_edges and not self.items[i][2] and self._cut(text, last + 1 - size, last + 1):
+                    continue
                 starts.setdefault(i, []).append(last + 1 - size - offset)
         found = []
         for i, at in starts.items():
@@ -122,20 +140,26 @@ class Matcher:
         return found
 
 
-def item_blocks(items: DataFrame, id_col: str, text_col: str, block_chars: int) -> Iterator[list[tuple]]:
-    """The normalised items in blocks of about ``block_chars`` characters, one block at a time."""
+@functools.lru_cache(maxsize=1)
+def matcher_of(block: bytes, error_rate: float, word_edges: bool) -> Matcher:
+    """The matcher of a pickled block, kept by a Python worker from batch to batch."""
+    return Matcher(pickle.loads(block), error_rate, word_edges)
+
+
+def item_blocks(items: DataFrame, id_col: str, text_col: str, block_chars: int) -> Iterator[bytes]:
+    """The normalised items in pickled blocks of about ``block_chars`` characters, one at a time."""
     rows = items.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).filter(
         F.col("_text").isNotNull())
     total = rows.agg(F.sum(F.length("_text"))).first()[0] or 0
     parts = max(1, -(-total // block_chars))
     for part in range(parts):
         block = rows.filter(F.pmod(F.xxhash64("_id", "_text"), F.lit(parts)) == part).collect()
-        yield [(r["_id"], t) for r in block if (t := normalise(r["_text"]))]
+        yield pickle.dumps([(r["_id"], t) for r in block if (t := normalise(r["_text"]))])
 
 
 def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             item_id_col: str = "item_id", item_text_col: str = "text",
-            error_rate: float = ERROR_RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
+            error_rate: float = ERROR_RATE, block_chars: int = BLOCK_CHARS, word_edges: bool = False) -> DataFrame:
     """``doc_id, item_id, distance, match_end, item_chars`` for each item found in a document."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kinds = (dict(rows.dtypes)["doc_id"], dict(items.dtypes)[item_id_col])
@@ -143,9 +167,9 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
 
     item_type = to_arrow_type(items.schema[item_id_col].dataType)
 
-    def searcher(block: list[tuple]):
+    def searcher(block: bytes):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(block, error_rate)
+            matcher = matcher_of(block, error_rate, word_edges)
             for batch in batches:
                 ids, texts = batch.column(0), batch.column(1)
                 for lo, hi in slices(texts):
@@ -168,14 +192,14 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_col: str = "item_id",
                       item_text_col: str = "text", error_rate: float = ERROR_RATE,
-                      block_chars: int = BLOCK_CHARS) -> DataFrame:
+                      block_chars: int = BLOCK_CHARS, word_edges: bool = False) -> DataFrame:
     """The rows of ``docs`` that hold no item, with all their columns; no shuffle."""
     ship(docs.sparkSession)
 
-    def holds(block: list[tuple]):
+    def holds(block: bytes):
         @F.arrow_udf("boolean")
         def run(texts: pa.Array) -> pa.Array:
-            matcher = Matcher(block, error_rate)
+            matcher = matcher_of(block, error_rate, word_edges)
             return pa.array([bool(matcher.find(normalise(t))) for lo, hi in slices(texts)
                              for t in texts_of(texts, lo, hi)], pa.bool_())
         return run(F.col(text_col).cast("string"))

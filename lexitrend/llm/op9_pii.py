@@ -168,7 +168,7 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return flat.withColumns({"start": start, "valid": valid, "plausible": plausible,
                              "failed": (F.col("wide") == 0) & ~valid & (n >= 10)}).select(
         "_row", "_doc", "kind", "wide", "start", (F.col("start") + size).alias("end"), "valid", "plausible", "failed",
-        F.left("value", F.lit(64)).alias("value"), "left", "right")
+        "value", "left", "right")
 
 
 def with_features(found: DataFrame) -> DataFrame:
