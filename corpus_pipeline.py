@@ -31,7 +31,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    return op5_decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return op5_decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"), word_edges=True)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
