@@ -13,7 +13,7 @@ from the data are scaled down to the weight of its fixed ones, so a kind behaves
 every size. The examples are counted
 per feature vector in Spark, so the trees are grown on the driver from a table whose size is
 bounded by the product of the bins, not by the data. A kind's score is calibrated by the examples' shares per score, and its threshold is
-the least one with the wanted precision. The trees are applied as one SQL expression; spans at
+half-way between the least one with the wanted precision and the next below it. The trees are applied as one SQL expression; spans at
 or above their kind's threshold are added if they are plausible (digits, Luhn), overlap no base
 span, no failed base match of their kind and no span to their left.
 
@@ -74,7 +74,7 @@ CUES = {
     "card": r"(?i)card|visa|master|credit|karte|carte|tarjeta|payment",
     "phone": r"(?i)phone|tel|call|mobile|fax|whatsapp|telefon|t[ée]l[ée]f",
 }
-FEATURES = ("kind", "wide", "digits", "letters", "marks", "groups", "longest", "before", "after", "cue", "lead")
+FEATURES = ("kind", "wide", "digits", "letters", "marks", "groups", "longest", "before", "after", "cue", "lead", "double")
 
 TREES, DEPTH, RATE = 40, 3, 0.3
 PRECISION = 0.98
@@ -101,6 +101,9 @@ PRIOR: tuple[tuple[str, bool, str, str, str], ...] = (
     ("phone", True, "please call ", "(202) 555-0137", " now"),
     ("phone", True, "reach us: ", "202-555-0137", ". Th"),
     ("phone", True, "and ", "202.555.0137", " or "),
+    ("phone", True, "reach us ", "(202) 555 0137", " on "),
+    ("phone", True, "ring me at ", "1-202-555-0137", ". Th"),
+    ("phone", True, "our number ", "0301/2345678", ""),
     ("phone", True, "Tel. ", "0049 30 12345678", ""),
     ("phone", True, "Telefon ", "030/12345678", ", un"),
     ("phone", False, "code ", "1234567.1234567", " of "),
@@ -112,7 +115,8 @@ PRIOR: tuple[tuple[str, bool, str, str, str], ...] = (
 )
 PRIOR_WEIGHT = 20
 IPV6_FORMS = ("2001:db8::1", "::1", "fe80::1", "fe80::1ff:fe23:4567:890a", "2001:db8:0:1::c0a8:101", "2001:db8::",
-              "2001:0db8:85a3:0000:0000:8a2e:0370:7334", "2a00:1450:4001:81b::200e")
+              "2001:0db8:85a3:0000:0000:8a2e:0370:7334", "2a00:1450:4001:81b::200e", "2001:db8:1::5", "fdaa::1:2:3",
+              "fd12:3456::a1b2", "2001:db8:aa:bb::cc:dd", "FD00:AB:CD:EF:1:22:333:4444")
 PRIOR += tuple(("ip", True, left, form, " on ") for form in IPV6_FORMS for left in ("host ", "the list of "))
 PRIOR += tuple(("ip", False, left, form, " on ") for left in ("host ", "the list of ") for form in (
     "12:30:45", "00:1a:2b:3c:4d:5e", "01:02:03:04", "a::b", "be::ad", "dead::beef", "1:2:3:4:5:6:7"))
@@ -187,7 +191,7 @@ def with_features(found: DataFrame) -> DataFrame:
         "longest": F.least(F.array_max(F.transform(parts, lambda p: F.length(p))), F.lit(20)),
         "before": F.col("left").rlike(r"[\p{L}\p{N}]$").cast("int"),
         "after": F.col("right").rlike(r"^[\p{L}\p{N}]").cast("int"), "cue": cue,
-        "lead": F.col("value").rlike("^[+(0]").cast("int")})
+        "lead": F.col("value").rlike("^[+(0]").cast("int"), "double": F.col("value").contains("::").cast("int")})
 
 
 def rewritten(found: DataFrame) -> DataFrame:
@@ -195,7 +199,7 @@ def rewritten(found: DataFrame) -> DataFrame:
     value, kind = F.col("value"), F.col("kind")
     digits = F.regexp_replace(value, "[^0-9]", "")
     # IPv4 spans give their places to valid IPv6 spellings.
-    forms = F.when(kind == 1, F.array(*map(F.lit, IPV6_FORMS))).when(kind == 0, F.array(F.regexp_replace(value, "@", " (at) "), F.regexp_replace(value, "@", " @ "),
+    forms = F.when(kind == 1, F.array(*map(F.lit, IPV6_FORMS))).when(kind == 0, F.array(F.regexp_replace(value, "@", " (at) "), F.regexp_replace(value, "@", "(at)"), F.regexp_replace(value, "@", " @ "),
                                       F.regexp_replace(F.regexp_replace(value, "@", " [at] "), r"\.", " [dot] "))).when(
         kind == 2, F.array(F.regexp_replace(digits, "([0-9]{4})(?=[0-9])", "$1."),
                            F.regexp_replace(digits, "([0-9]{4})(?=[0-9])", "$1/"))).when(
@@ -313,8 +317,10 @@ def fit(found: DataFrame, precision: float = PRECISION) -> Model:
         last = np.append(ranked[1:] < ranked[:-1] - 1e-5, True)[:len(ranked)]     # vectors of one score go together
         good = np.flatnonzero((share >= precision) & last)
         if len(good):
-            # The SQL expression carries eight decimals per tree.
-            thresholds[kind] = float(ranked[good[-1]]) - 1e-6
+            # Half-way to the next score, so vectors that no example has are not held to the best ones'
+            # scores; the SQL expression carries eight decimals per tree.
+            below = ranked[good[-1] + 1:]
+            thresholds[kind] = float(ranked[good[-1]] + below[0]) / 2 if len(below) else float(ranked[-1]) - 1e-6
     return Model(bias, trees, thresholds)
 
 
