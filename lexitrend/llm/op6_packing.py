@@ -8,7 +8,8 @@ total by at most 0.05 %. The
 rounded-down programme leaves a bounded residue (fewer pieces than patterns hold), which best
 fit packs. The plan is small: its size depends on the number of classes, never on the data.
 Every piece then finds its place from its rank within its class: ranks are counted within salted
-parts of a class, so a length that a third of all documents have is not one task's work.
+parts of a class, as many as its share of all pieces, so a length that a third of all documents
+have is a third of the parts and not one task's work.
 
 Results that are fixed here:
 
@@ -34,8 +35,8 @@ from .common import map_arrow, out_batch, slices, staged
 
 SEQ_LEN = 4096
 CLASS = 8
-#: Parts that the rows of one class are ranked in.
-SALTS = 64
+#: All classes together are ranked in about so many parts, each class in as many as its share.
+PARTS = 4096
 
 
 # --- the cutting-stock problem, in numpy; its size is the number of classes -------------------
@@ -227,10 +228,14 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, seq_len: int = S
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``."""
     spark = docs.sparkSession
-    cut = staged(pieces(docs, tokenizer_path, end_id, seq_len, id_col, text_col), "pieces").withColumns({
-        "_class": F.ceil(F.col("length") / CLASS).cast("int"),
-        "_salt": F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(SALTS)).cast("int")})
-    # At most seq_len / CLASS * SALTS rows, whatever the input.
+    cut = staged(pieces(docs, tokenizer_path, end_id, seq_len, id_col, text_col), "pieces").withColumn(
+        "_class", F.ceil(F.col("length") / CLASS).cast("int"))
+    # At most seq_len / CLASS rows, then at most PARTS more, whatever the input.
+    sizes = {r["_class"]: r["count"] for r in cut.groupBy("_class").count().collect()}
+    total = sum(sizes.values())
+    parts = spark.createDataFrame([(c, -(-n * PARTS // total)) for c, n in sizes.items()], "_class int, _parts int")
+    cut = cut.join(F.broadcast(parts), "_class").withColumn("_salt", F.pmod(
+        F.xxhash64("doc_id", "start", "ids_crc32"), F.col("_parts")).cast("int")).drop("_parts")
     counts = cut.groupBy("_class", "_salt").count().collect()
     classes = seq_len // CLASS
     demand = np.zeros(classes, np.int64)
