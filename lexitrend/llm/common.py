@@ -62,6 +62,35 @@ def look_up(rows: DataFrame, groups: DataFrame, keys: dict[str, str], spread: Co
     return left.join(right, on, "left").drop("_salt_r", "_salt_g", *keys.values())
 
 
+#: A key with more than this part of all rows (and ``SLICE_ROWS`` at least) is split into slices.
+HOT_PARTS, SLICE_ROWS = 1000, 200
+
+
+def hot_keys(counts: DataFrame, keys: list[str], n: str, total: int) -> DataFrame:
+    """Keys of ``counts`` (one row per key, ``n`` rows each) that hold more than a ``HOT_PARTS``-th of
+    at most ``total`` rows, as ``_hot0, ..``, and the number ``_slices`` of parts of at most that size
+    they go into. Fewer than ``HOT_PARTS`` keys can hold so many, which bounds their broadcast, and
+    all slices together are fewer than twice that."""
+    limit = max(total // HOT_PARTS, SLICE_ROWS)
+    return counts.filter(F.col(n) > limit).select(
+        *[F.col(k).alias(f"_hot{i}") for i, k in enumerate(keys)], F.ceil(F.col(n) / limit).cast("int").alias("_slices"))
+
+
+def split_join(rows: DataFrame, groups: DataFrame, keys: list[str], hot: DataFrame, spread: Column,
+               how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``groups`` (one row per key) on ``keys``. Rows of a key in ``hot`` (see
+    ``hot_keys``) are dealt by ``spread`` over its slices, and its group is repeated once per slice, so
+    no task meets more than a slice of a key; all other rows and groups are shuffled once."""
+    def marked(side: DataFrame) -> DataFrame:
+        on = functools.reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_hot{i}") for i, k in enumerate(keys)])
+        return side.join(F.broadcast(hot), on, "left").drop(*[f"_hot{i}" for i in range(len(keys))])
+
+    slices_of = F.coalesce(F.col("_slices"), F.lit(1))
+    left = marked(rows).withColumn("_slice", F.pmod(F.xxhash64(spread), slices_of).cast("int")).drop("_slices")
+    right = marked(groups).withColumn("_slice", F.explode(F.sequence(F.lit(0), slices_of - 1))).drop("_slices")
+    return left.join(right, [*keys, "_slice"], how).drop("_slice")
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
 
-from .common import look_up, map_arrow, mix64, slices, staged, texts_of, word_hashes
+from .common import hot_keys, look_up, map_arrow, mix64, slices, split_join, staged, texts_of, word_hashes
 from .components import components
 
 WORDS = 5
@@ -171,10 +171,12 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The pairs ``(u, v)`` of ``_row`` ids whose whole texts are at least ``threshold`` alike."""
+    """The pairs ``(u, v)`` of ``_row`` ids whose whole texts are at least ``threshold`` alike. A ``u`` may be
+    in very many pairs (the least text of large buckets), a ``v`` in one per bucket it is in."""
     a = texts.select(F.col("_row").alias("u"), F.col("_text").alias("_a"))
     b = texts.select(F.col("_row").alias("v"), F.col("_text").alias("_b"))
-    both = pairs.join(a, "u").join(b, "v").select("u", "v", "_a", "_b")
+    hot = hot_keys(pairs.groupBy("u").agg(F.count(F.lit(1)).alias("_n")), ["u"], "_n", pairs.count())
+    both = split_join(pairs, a, ["u"], hot, F.col("v")).join(b, "v").select("u", "v", "_a", "_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -336,14 +338,17 @@ def _classed(table: DataFrame, threshold: float) -> DataFrame:
     """``_row, _doc, _least, _size`` for each row of staged ``signatures``."""
     # Equal sets: the least row stands for all of them.
     heads = table.groupBy("_k1", "_k2").agg(F.min("_row").alias("_head"), F.count(F.lit(1)).alias("_copies"))
-    several = heads.filter("_copies > 1").select(F.col("_k1").alias("_h1"), F.col("_k2").alias("_h2"), "_head")
-    rows = staged(look_up(table.select("_row", "_doc", "_k1", "_k2"), several, {"_k1": "_h1", "_k2": "_h2"},
-                          F.col("_row")).select(
+    several, n_rows = heads.filter("_copies > 1"), table.count()
+    rows = staged(split_join(table.select("_row", "_doc", "_k1", "_k2"), several.drop("_copies"), ["_k1", "_k2"],
+                             hot_keys(several, ["_k1", "_k2"], "_copies", n_rows), F.col("_row"), "left").select(
         "_row", "_doc", F.coalesce("_head", "_row").alias("_head")), "rows")
     copies = rows.filter("_row != _head").select("_row")
     bands = table.select("_row", F.explode("_bands").alias("_bucket")).join(copies, "_row", "left_anti")
-    shared = bands.groupBy("_bucket").agg(F.min("_row").alias("_least"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    hits = staged(bands.join(shared.select("_bucket", "_least"), "_bucket"), "hits")
+    shared = staged(bands.groupBy("_bucket").agg(F.min("_row").alias("_least"), F.count(F.lit(1)).alias("_n"))
+                    .filter("_n > 1"), "shared")
+    in_shared = shared.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    hits = staged(split_join(bands, shared.select("_bucket", "_least"), ["_bucket"],
+                             hot_keys(shared, ["_bucket"], "_n", in_shared), F.col("_row")), "hits")
     first = staged(hits.filter("_row != _least").select(F.col("_least").alias("u"), F.col("_row").alias("v"))
                    .distinct(), "pairs")
     involved = hits.select("_row").distinct()
@@ -358,7 +363,7 @@ def _classed(table: DataFrame, threshold: float) -> DataFrame:
     classes = placed.groupBy("_class").agg(F.min(F.struct("_doc", "_row")).alias("_least"),
                                            F.count(F.lit(1)).alias("_size")).filter("_size > 1")
     single = F.struct("_doc", "_row")
-    return look_up(placed, classes.withColumnRenamed("_class", "_key"), {"_class": "_key"}, F.col("_row")).select(
+    return split_join(placed, classes, ["_class"], hot_keys(classes, ["_class"], "_size", n_rows), F.col("_row"), "left").select(
         "_row", "_doc", F.coalesce("_least", single).alias("_least"), F.coalesce("_size", F.lit(1)).alias("_size"))
 
 
