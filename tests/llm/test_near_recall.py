@@ -1,0 +1,28 @@
+"""Near-duplicate classes against all links of a given table, found by an inverted index."""
+
+import numpy as np
+
+from lexitrend.llm import op1_near_dedup as near
+from lexitrend.llm.common import table
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_no_link_of_a_table_is_lost(spark):
+    docs = table(spark, SF, "documents")
+    rows = docs.select("doc_id", "text").collect()
+    doc, shingle, weight = near.shingles([r["text"] or "" for r in rows])
+    cut = np.searchsorted(doc, np.arange(len(rows) + 1))
+    sets = [(shingle[cut[i]:cut[i + 1]], weight[cut[i]:cut[i + 1]]) for i in range(len(rows))]
+    size = np.diff(cut)
+    order = np.argsort(shingle, kind="stable")
+    value, holder = shingle[order], doc[order]
+    links = []
+    for i, (a, x) in enumerate(sets):
+        first, last = np.searchsorted(value, a, "left"), np.searchsorted(value, a, "right")
+        common = np.bincount(np.concatenate([holder[p:q] for p, q in zip(first, last)] or [holder[:0]]),
+                             minlength=len(rows))
+        links += [(i, int(j)) for j in np.flatnonzero(common > 0.3 * (size + len(a) - common)) if j > i
+                  and near.probability_jaccard(a, x, *sets[j]) >= near.THRESHOLD - 1e-9]
+    of = {r["doc_id"]: r["class_id"] for r in near.near_classes(docs).collect()}
+    assert links and all(of[rows[i]["doc_id"]] == of[rows[j]["doc_id"]] for i, j in links)

@@ -1,3 +1,7 @@
+import collections
+
+from tokenizers import Tokenizer
+
 import corpus_pipeline
 from lexitrend.llm import catalog
 from lexitrend.llm.common import table
@@ -31,7 +35,24 @@ def test_run_matches_the_single_operators(spark):
     assert not got & hits
 
 
-def test_stages_take_edges_and_empty_tables(spark):
-    for docs in (edge.documents(spark), edge.documents(spark).limit(0)):
-        for _, stage in corpus_pipeline.STAGES:
-            stage(spark, docs, SF).collect()
+def test_stages_give_exact_rows_on_edges_and_empty_tables(spark):
+    """Clean documents stay whole (columns of clashing names too), copies leave one row, every id is packed."""
+    docs = edge.documents(spark)
+    stages = dict(corpus_pipeline.STAGES)
+    rows = collections.Counter(edge.ROWS)
+    got = {name: stages[name](spark, docs, SF) for name in list(stages)[:-1]}
+    kept = {name: collections.Counter((r["doc_id"], r["text"]) for r in df.collect()) for name, df in got.items()}
+    assert all(df.columns == docs.columns for df in got.values())
+    assert kept["toxicity"] == rows and kept["decontamination"] == rows
+    text = {i: t for i, t in edge.ROWS}
+    assert kept["exact_dedup"] == collections.Counter(
+        [(i, text[i]) for i in (2, 4, None, 7, 8, 9, 10)] + [(6, edge.LONG), (6, "the same id again")])
+    assert kept["near_dedup"] == collections.Counter(
+        [(i, text[i]) for i in (1, None, 7, 8, 9, 10)] + [(5, edge.LONG), (6, "the same id again"), (3, None)])
+    plain = Tokenizer.from_file(edge.tokenizer("word"))
+    want = [(i, len(plain.encode(t or "", add_special_tokens=False).ids) + 1) for i, t in edge.ROWS]
+    packed = stages["packing"](spark, docs, SF).collect()
+    assert {(r["doc_id"], r["doc_tokens"]) for r in packed} == set(want)
+    assert sum(r["length"] for r in packed) == sum(n for _, n in want)
+    for stage in stages.values():
+        assert stage(spark, docs.limit(0), SF).collect() == []
