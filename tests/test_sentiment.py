@@ -327,3 +327,48 @@ def test_deviation_against_the_formula(spark):
     assert same.select(S.deviation().alias("d")).first()["d"] == 0.0
     one = spark.range(1).select(F.lit(0.1).alias("x")).agg(*S.moments(S.score_units(F.col("x"))))
     assert one.select(S.deviation().alias("d")).first()["d"] is None
+
+
+def test_sentiment_tokens_strip_as_the_pattern_does(spark):
+    """Odd white space, tokens of punctuation, and line ends that are not white space."""
+    import re
+
+    bodies = ["", " ", "a", " a ", "\t(hello), \u000b'x' :) :( !!! a! ab!\r\n", "abc!\u0085", "abc!\u2028 x", "\u0085!abc",
+              "\u00a0abc. d\u00a0", "...abc...def...", "\u00bfabc?", "!\u2029", "abc!!\u0085\u0085", "_a_b_ ~x~ `y` a\\"]
+    punct = "[!-/:-@\\[-`{-~]"
+
+    def stripped(t):
+        end = t[-1] if t[-1] in "\u0085\u2028\u2029" else ""
+        s = re.sub(f"{punct}+$", "", re.sub(f"^{punct}+", "", t))
+        if end:
+            s = re.sub(f"{punct}+$", "", s[:-1]) + end
+        return t if len(s) <= 2 else s
+
+    df = spark.createDataFrame([(b,) for b in bodies], "b string").select("b", S.sentiment_tokens(F.col("b")).alias("t"))
+    for r in df.collect():
+        assert r["t"] == [stripped(t) for t in re.split("[ \t\n\u000b\f\r]+", r["b"]) if t], repr(r["b"])
+    assert spark.range(1).select(S.sentiment_tokens(F.lit(None).cast("string")).alias("t")).first()["t"] is None
+
+
+def test_facts_score_the_comments_once(spark, tmp_path):
+    """Facts and month totals read one aggregate: its exchange is planned alike in both branches, so
+    it is used twice (a pushed-down filter on the word made two different ones before)."""
+    spark.createDataFrame([(k, "good bank the x", "2010-01-01") for k in range(20)], "doc_id long, body string, m string").select(
+        "doc_id", "body", F.to_date("m").alias("year_month")).write.parquet(str(tmp_path / "c"))
+    c = spark.read.parquet(str(tmp_path / "c"))
+    lex = spark.createDataFrame([("good", 1.9)], "word string, valence double")
+    facts = S.monthly_word_facts(c, spark.createDataFrame([("bank",)], "word string"), lex)
+    assert [(r["word"], r["count"], r["frequency"]) for r in facts.collect()] == [("bank", 20, 0.25)]
+    assert "ReusedExchange" in facts._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_window_sees_no_bank_words(spark):
+    """Only tokens with a role in scoring go through the window; bank words wait in the marker row."""
+    c = spark.createDataFrame([(1, "bank bank good bank not bank", "2010-01-01")], "doc_id long, body string, m string").select(
+        "doc_id", "body", F.to_date("m").alias("year_month"))
+    vocab = S.vocabulary(spark.createDataFrame([("good", 1.9)], "word string, valence double"), None,
+                         spark.createDataFrame([("not",)], "word string"), spark.createDataFrame([("bank",)], "word string"))
+    rows = S._gathered(S._hits(c, vocab, "doc_id", "body", True, False)).collect()
+    assert sorted((r["i"], r["word"]) for r in rows if r["i"]) == [(3, "good"), (5, "not")]
+    assert [r["meta"]["matched"] for r in rows if not r["i"]] == [["bank"] * 4]
+
