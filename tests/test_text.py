@@ -66,3 +66,10 @@ def test_restricted_counts_equal_full_counts(spark):
     cols = ["year_month", "word", "count", "frequency"]
     assert part.count() == full.count() > 0
     assert part.select(*cols).exceptAll(full.select(*cols)).count() == 0
+
+
+def test_ngrams_cut_no_list_per_ngram(spark):
+    """Trigrams of a long text: each is put together from its tokens (a slice per n-gram before)."""
+    df = spark.createDataFrame([("a b c d",), ("",), ("a b",), (None,)], "s string").select(ngrams(tokens("s"), 3).alias("g"))
+    assert [r["g"] for r in df.collect()] == [["a b c", "b c d"], [], [], None]
+    assert "array_join" not in df._jdf.queryExecution().optimizedPlan().toString()
