@@ -23,6 +23,8 @@ import pyarrow.compute as pc
 SLICE_CHARS = 14_000_000
 #: Words in one call of the library, which takes some hundred bytes for each.
 WORDS_AT_ONCE = 20_000
+#: Plain words that are kept from slice to slice with their ids; later ones are encoded each time.
+MAX_WORDS = 400_000
 #: Tails (a sign and what follows it) that are kept from slice to slice.
 MAX_TAILS = 50_000
 #: Letters, then a tail from the first of these signs on: both files cut between the two.
@@ -68,6 +70,7 @@ class Encoder:
         if len(line) == 1:
             self.begins["\n"][line] = True
         self.tails: dict[str, np.ndarray] = {}
+        self.words = {gap: (pa.array([], pa.large_string()), np.empty(0, "<u4"), np.empty(0, np.int64)) for gap in self.begins}
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
@@ -76,7 +79,21 @@ class Encoder:
         return [np.array(ids, "<u4") for ids in self._ids(texts)]
 
     def _words(self, gap: str, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of plain words that each follow ``gap``, and how many each has."""
+        """Ids of plain, distinct words that each follow ``gap``, and how many each has."""
+        known, known_ids, known_sizes = self.words[gap]
+        at = pc.index_in(words, value_set=known)
+        unseen = words.filter(at.is_null())
+        new_ids, new_sizes = self._new_words(gap, unseen)
+        place = np.asarray(at.fill_null(-1)).astype(np.int64)
+        place[place < 0] = len(known) + np.arange(len(unseen))
+        ids, sizes = np.concatenate((known_ids, new_ids)), np.concatenate((known_sizes, new_sizes))
+        room = min(MAX_WORDS, len(known) + len(unseen))
+        if room > len(known):
+            kept = pa.concat_arrays([known, unseen.cast(known.type).slice(0, room - len(known))])
+            self.words[gap] = kept, ids[: int(sizes[:room].sum())].copy(), sizes[:room].copy()
+        return _gather(ids, sizes, place)
+
+    def _new_words(self, gap: str, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         ids, sizes = [np.empty(0, "<u4")], [np.empty(0, np.int64)]
         for lo in range(0, len(words), WORDS_AT_ONCE):
             new_ids, new_sizes = self._some_words(gap, words.slice(lo, WORDS_AT_ONCE).to_pylist())

@@ -144,3 +144,27 @@ def _patterns(capacity: int, largest: int | None = None):
                 r = np.zeros(capacity, int)
                 r[s - 1] = 2
                 yield r
+
+
+def test_encoder_keeps_words_from_slice_to_slice(monkeypatch):
+    """Words met in one slice are not encoded again in the next (they were before), and ids are the
+    library's with room for all words, for one and for none."""
+    import pyarrow as pa
+    import public_tokenizers
+
+    from lexitrend.llm import tokens as T
+
+    slices = [["der Hund und die Katze\nunten", None, "  doppelt"], ["die Katze und der Vogel, unten\nunten", ""], ["Vogel Hund"]]
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        for room in (T.MAX_WORDS, 1, 0):
+            monkeypatch.setattr(T, "MAX_WORDS", room)
+            e, asked = T.Encoder(public_tokenizers.path(name), split_added=False), []
+            real = e._some_words
+            monkeypatch.setattr(e, "_some_words", lambda gap, words: asked.append((gap, words)) or real(gap, words))
+            for texts in slices:
+                ids, size = e.encode(pa.array(texts, pa.string()))
+                want = [x.ids for x in e.tok.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
+                assert ids.tolist() == [i for w in want for i in w] and size.tolist() == list(map(len, want))
+            words = [w for gap, ws in asked for w in ws if gap == " "]
+            assert len(words) == len(set(words)) or room < 2
+            monkeypatch.undo()
