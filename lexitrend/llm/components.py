@@ -1,9 +1,10 @@
 """Connected components by alternating large-star and small-star steps (Kiveris et al. 2014).
 
 Each step is an aggregate (partial per task) and a join, in which the edges of a node with very
-many neighbours (the centre of a star) are split over tasks; the edges of a step are written to the
-shared folder and read back, so lineage stays short. Nothing but two numbers per step reaches
-the driver.
+many neighbours (the centre of a star) are split over tasks, if there is such a node. What a step
+reads more than once is written to the shared folder and read back, so lineage and plans stay short:
+the driver plans, compiles and keeps a record of every step. Nothing but a few numbers per step
+reaches the driver.
 """
 
 from __future__ import annotations
@@ -16,9 +17,11 @@ from .common import hot_keys, split_join, staged
 
 def _with_least(edges: DataFrame, total: int) -> DataFrame:
     """Each edge ``(u, v)`` of at most ``total`` with the least of ``u`` and all its neighbours."""
-    around = edges.groupBy("u").agg(F.min("v").alias("_m"), F.count(F.lit(1)).alias("_n"))
+    around = staged(edges.groupBy("u").agg(F.min("v").alias("_m"), F.count(F.lit(1)).alias("_n")), "around")
     hot = hot_keys(around, ["u"], "_n", total)
     least = around.select("u", F.least("u", "_m").alias("m"))
+    if hot.isEmpty():
+        return edges.join(least, "u").select("u", "v", "m")
     return split_join(edges, least, ["u"], hot, F.col("v")).select("u", "v", "m")
 
 
@@ -30,8 +33,8 @@ def components(edges: DataFrame) -> DataFrame:
     before, total = None, 2 * edges.count()
     while total:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _with_least(both, total).filter("v > u").select(
-            F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
+        large = staged(_with_least(both, total).filter("v > u").select(
+            F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct(), "large")
         small = _with_least(large, total)
         edges = staged(small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             small.select("u", F.col("m").alias("v"))).filter("u != v").distinct(), "edges")

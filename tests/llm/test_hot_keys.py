@@ -70,3 +70,21 @@ def test_a_class_with_most_pieces_has_most_parts(spark):
             assert offset == end
             end += length
         assert end <= op6_packing.SEQ_LEN
+
+
+def test_components_plans_stay_short(spark, monkeypatch):
+    """Each frame a step writes has one aggregate (its partial and final half) and no look-up of hot
+    nodes where there is none: the driver plans, compiles and records all of them."""
+    from lexitrend.llm import components as C
+
+    plans, real = [], C.staged
+
+    def staged(df, name="stage"):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, name)
+
+    monkeypatch.setattr(C, "staged", staged)
+    edges = [(k, k + 1) for k in range(30)] + [(100, 101)]
+    got = dict(map(tuple, C.components(spark.createDataFrame(edges, "u long, v long")).collect()))
+    assert got == {**{k: 0 for k in range(31)}, 100: 100, 101: 100}
+    assert max(p.count("HashAggregate") for p in plans) <= 2 and not any("_slices" in p for p in plans)
