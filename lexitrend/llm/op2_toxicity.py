@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, slices, staged, texts_of, word_hashes
+from .common import map_arrow, slices, staged, texts_of, trim, word_hashes
 from .models import MAX_TRAIN_ROWS, fold, labelled_sample, score_all, score_column, sigmoid
 
 #: Words of the model: those most tied to the label. Weak ones are left to the penalty, so the rule is
@@ -38,6 +38,8 @@ MAX_WORDS = 1024
 L2 = 0.2
 COUNTERFACTUAL = 1.0
 HELD_OUT_FOLDS = 5
+#: Rows of the sample whose part of the normal equations is summed at once.
+FIT_ROWS = 1000
 
 # --- fixed values: identity terms by group; the first of each group is the neutral word --------
 IDENTITY_GROUPS = (
@@ -159,37 +161,44 @@ def fit(sample: DataFrame) -> Model:
             for lo, hi in slices(texts):
                 held = texts_of(texts, lo, hi)
                 doc, k = presence(held, hashes)
-                words = np.split(k.astype(np.int32), np.searchsorted(doc, np.arange(1, hi - lo)))
-                found = [[index[x] * len(hashes) + index[y] for (x, y), n in swaps(t).items() for _ in range(n)]
+                words = np.split(k.astype("<i2"), np.searchsorted(doc, np.arange(1, hi - lo)))
+                found = [np.array([index[x] * len(hashes) + index[y] for (x, y), n in swaps(t).items() for _ in range(n)], "<i8")
                          for t in held]
                 yield pa.RecordBatch.from_arrays(
-                    [labels.slice(lo, hi - lo), pa.array([w.tolist() for w in words], pa.list_(pa.int32())),
-                     pa.array(found, pa.list_(pa.int64()))], names=["label", "words", "swaps"])
+                    [labels.slice(lo, hi - lo), pa.array([w.tobytes() for w in words], pa.binary()),
+                     pa.array([f.tobytes() for f in found], pa.binary())], names=["label", "words", "swaps"])
 
-    rows = map_arrow(sample, vectors, "label int, words array<int>, swaps array<long>").collect()
+    # The rows stay packed, and the matrix is a byte an entry, taken ``FIT_ROWS`` rows at a time.
+    rows = map_arrow(sample, vectors, "label int, words binary, swaps binary").collect()
     y = np.array([r["label"] == 1 for r in rows], float)
-    x = np.zeros((len(rows), len(hashes) + 1), np.float32)
-    x[:, -1] = 1
+    held = np.zeros((len(rows), len(hashes) + 1), np.uint8)
+    held[:, -1] = 1
     penalty = np.zeros((len(hashes) + 1, len(hashes) + 1))
     for i, r in enumerate(rows):
-        x[i, r["words"]] = 1
-        for s in r["swaps"]:
+        held[i, np.frombuffer(r["words"], "<i2")] = 1
+        for s in np.frombuffer(r["swaps"], "<i8").tolist():
             p, q = divmod(s, len(hashes))
             penalty[p, p] += 1
             penalty[q, q] += 1
             penalty[p, q] -= 1
             penalty[q, p] -= 1
+    del rows
     penalty = COUNTERFACTUAL * penalty + L2 * np.diag(np.r_[np.ones(len(hashes)), 1e-6])
-    w = np.zeros(x.shape[1])
+    w = np.zeros(held.shape[1])
     for _ in range(25):
-        p = sigmoid(x @ w.astype(np.float32)).astype(float)
-        gradient = (p - y) @ x + penalty @ w
-        hessian = (x * (p * (1 - p)).astype(np.float32)[:, None]).T @ x + penalty
+        gradient, hessian = penalty @ w, penalty.copy()
+        for lo in range(0, len(held), FIT_ROWS):
+            x = held[lo: lo + FIT_ROWS].astype(np.float32)
+            p = sigmoid(x @ w.astype(np.float32)).astype(float)
+            gradient += (p - y[lo: lo + FIT_ROWS]) @ x
+            hessian += (x * (p * (1 - p)).astype(np.float32)[:, None]).T @ x
         step = np.linalg.solve(hessian, gradient)
         step *= min(1.0, 5.0 / max(1e-12, np.abs(step).max()))
         w -= step
         if np.abs(step).max() < 1e-4:
             break
+    del held, hessian
+    trim()      # the driver's process lives on beside its JVM
     return Model(hashes, w[:-1], float(w[-1]))
 
 
