@@ -89,16 +89,26 @@ def canonical_codes(lengths: np.ndarray) -> np.ndarray:
 def encode_block(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[bytes, np.ndarray]:
     """The bit string of ``ids`` and the bit offset of every ``CHECKPOINT``-th code. Ids are put
     into 64-bit words a short run at a time, so that the run's arrays stay in the cache."""
-    bits = lengths.astype(np.int32)
+    bits = lengths.astype(np.uint8)
+    if len(ids) % 2:
+        ids = np.append(ids, ids[:1])       # takes no bits, see below
+        odd = True
+    else:
+        odd = False
+    # Two codes at a time, which fit a word (code lengths are at most 32).
     words = np.zeros(int(bits[ids].sum(dtype=np.int64) >> 6) + 2, np.uint64)
     marks, base = [], 0
     for lo in range(0, len(ids), RUN):
         part = ids[lo: lo + RUN]
-        size = bits[part]
-        end = np.cumsum(size, dtype=np.int64) + base
+        each, code = bits[part], codes[part]
+        if odd and lo + RUN >= len(ids):
+            each[-1], code[-1] = 0, 0
+        code = code[::2] << each[1::2] | code[1::2]
+        size = (each[::2] + each[1::2]).astype(np.int64)
+        end = np.cumsum(size) + base
         at = end - size
-        marks.append(at[::CHECKPOINT])
-        word, room, code = at >> 6, 64 - (at & 63) - size, codes[part]
+        marks.append(at[::CHECKPOINT // 2])
+        word, room = at >> 6, 64 - (at & 63) - size
         value = code << np.maximum(room, 0).astype(np.uint64)
         over = np.flatnonzero(room < 0)                    # codes that go on in the next word
         value[over] = code[over] >> (-room[over]).astype(np.uint64)
@@ -123,17 +133,19 @@ def decode_table(lengths: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, in
 def decode_block(payload: bytes, checkpoints: np.ndarray, n: int, table: np.ndarray, top: int) -> np.ndarray:
     """The ``n`` ids of a block; every stretch between checkpoints is a lane."""
     b = np.frombuffer(payload + b"\0" * 8, np.uint8).astype(np.uint32)
-    window = b[:-3] << np.uint32(24) | b[1:-2] << np.uint32(16) | b[2:-1] << np.uint32(8) | b[3:]
+    window = (b[:-3] << np.uint32(24) | b[1:-2] << np.uint32(16) | b[2:-1] << np.uint32(8) | b[3:]).astype(np.int64)
     lanes = len(checkpoints)
     out = np.zeros((CHECKPOINT, lanes), np.uint32)
-    at, shift = checkpoints.copy(), np.uint32(32 - top)
+    # Places are 64-bit throughout: numpy would copy indices of any other kind.
+    at, shift, mask = checkpoints.copy(), 32 - top, (1 << top) - 1
     tail = n - (lanes - 1) * CHECKPOINT
     for step in range(CHECKPOINT if lanes > 1 else tail):
         if step == tail:
             at = at[:-1]
-        entry = table[(window[at >> 3] << (at & 7).astype(np.uint32)) >> shift]
-        out[step, : len(at)] = entry >> np.uint32(5)
-        at = at + (entry & np.uint32(31))
+        entry = table.take(window.take(at >> 3) >> (shift - (at & 7)) & mask)
+        out[step, : len(at)] = entry
+        at = at + (entry & 31)
+    out >>= np.uint32(5)
     return out.T.reshape(-1)[:n]
 
 

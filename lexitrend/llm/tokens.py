@@ -19,8 +19,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Characters of text that are encoded at once; the more, the more often a piece recurs.
-SLICE_CHARS = 14_000_000
+#: Characters of text that are encoded at once: the more, the more often a piece recurs; the fewer, the
+#: more of the work stays in the cache.
+SLICE_CHARS = 4_000_000
 #: Words in one call of the library, which takes some hundred bytes for each.
 WORDS_AT_ONCE = 20_000
 #: Plain words that are kept from slice to slice with their ids; later ones are encoded each time.
