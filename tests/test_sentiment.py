@@ -1,6 +1,7 @@
 """Lexicon sentiment against a plain sequential implementation of the same rules."""
 
 import math
+import random
 import string
 
 import pytest
@@ -372,3 +373,30 @@ def test_window_sees_no_bank_words(spark):
     assert sorted((r["i"], r["word"]) for r in rows if r["i"]) == [(3, "good"), (5, "not")]
     assert [r["meta"]["matched"] for r in rows if not r["i"]] == [["bank"] * 4]
 
+
+
+def test_scores_in_the_row_are_those_of_the_joins(spark):
+    """Short lists are looked up in a comment's row, without a shuffle of its tokens; long ones by joins.
+    Both give the same scores, rule words, capitals, odd tokens and NULLs included."""
+    words = ["good", "GOOD", "bad", "Bad,", "very", "VERY", "not", "isn't", "GOODN'T", "but", "never", "so", "this", "least", "at",
+             "without", "doubt", "kind", "of", "of,", "ok", ":)", "bank", "x", "...", "!!", "g-o", "café", "bad\u0085", "a", "mid", "of"]
+    rng = random.Random(7)
+    bodies = [" ".join(rng.choices(words, k=rng.randint(0, 14))) + rng.choice(["", "!", "???", " \n"]) for _ in range(400)]
+    bodies += [None, "", " ", "BUT good", "least good", "at least good", "never so good", "without x doubt good"]
+    c = spark.createDataFrame([(None if k % 9 == 0 else k % 5, b, f"2010-0{k % 3 + 1}-01") for k, b in enumerate(bodies)],
+                              "doc_id long, body string, m string").withColumn("year_month", F.to_date("m"))
+    lex = spark.createDataFrame([("good", 1.9), ("bad", -2.5), ("ok", 0.9), (":)", 2.0), ("kind", 2.4), ("café", 0.3), ("goodn't", 1.0)],
+                                "word string, valence double")
+    boost = spark.createDataFrame([("very", 0.293), ("mid", -0.293), ("bad", 0.1)], "word string, scalar double")
+    neg = spark.createDataFrame([("not",), ("never",), ("without",)], "word string")
+    bank = spark.createDataFrame([("good",), ("bank",), ("x",), ("bank",), (None,), ("",)], "word string")
+    found = []
+    for size in (S.DEFAULT_INLINE_BYTES, 0):
+        spark.conf.set(S.INLINE_BYTES_CONF, str(size))
+        try:
+            facts = S.monthly_word_facts(c, bank, lex, boost, neg)
+            assert ("Window" in facts._jdf.queryExecution().optimizedPlan().toString()) == (size == 0)
+            found.append(sorted(map(str, facts.collect())))
+        finally:
+            spark.conf.unset(S.INLINE_BYTES_CONF)
+    assert found[0] == found[1] and found[0]
