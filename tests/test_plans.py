@@ -44,6 +44,21 @@ def test_facts_read_and_tokenise_the_comments_once(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_facts_and_totals_share_one_scoring_pass_when_run(spark):
+    """The plan as it ran: the second use of the scored and counted comments is a reused exchange."""
+    from lexitrend.operators import sentiment as S
+    from lexitrend.sources import testdata as TD
+
+    rows = [(1, "This at the END, no good!", "2010-01-01"), (2, None, "2010-01-01"), (3, "end of the end", "2010-02-01")]
+    c = spark.createDataFrame(rows, "doc_id long, body string, m string").withColumn("year_month", TD.F.to_date("m"))
+    bank = spark.createDataFrame([("end",), ("good",)], "word string")
+    facts = S.monthly_word_facts(c, bank, TD.lexicon(spark), TD.boosters(spark), TD.negations(spark))
+    got = sorted((str(r.year_month), r.word, r["count"], round(r.frequency, 6)) for r in facts.collect())
+    assert got == [("2010-01-01", "end", 1, 0.166667), ("2010-01-01", "good", 1, 0.166667), ("2010-02-01", "end", 2, 0.5)]
+    ran = _plan(facts).split("== Initial Plan ==")[0]
+    assert ran.count("Generate explode") == 1 and "ReusedExchange" in ran
+
+
 def test_year_filter_reaches_the_ranks(spark):
     p = E.queries()["yearly_words"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert p.count("year(year") >= 6
