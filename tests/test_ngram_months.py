@@ -1,0 +1,68 @@
+"""Counts of longer n-grams: each month's are counted where its texts are (disk of trigram_counts)."""
+
+import os
+import re
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from lexitrend.functions import tokens
+from lexitrend.operators import frequency as FQ
+
+ROWS = [("a b a b a b", "2010-01-01"), ("a b a", "2010-01-01"), (None, "2010-01-01"), ("", "2010-01-01"), (" a  b ", "2010-02-01"),
+        ("É a\tb-c\nd x", "2010-02-01"), ("a b", "2010-03-01"), ("a b c d", None), ("x y z", "2010-02-01"), ("x y z", "2010-02-01")]
+
+
+def _comments(spark, rows=ROWS):
+    return spark.createDataFrame(rows, "body string, m string").withColumn("year_month", F.to_date("m"))
+
+
+def _rows(df):
+    return sorted((str(r.year_month), r.word, r["count"], round(r.frequency, 12)) for r in df.collect())
+
+
+def test_trigrams_are_counted_where_the_months_texts_are(spark):
+    """No n-gram is shuffled (only texts, by month), and none is stored."""
+    df = FQ.monthly_ngrams(_comments(spark), 3)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    keys = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
+    assert "Generate explode" in plan and keys and not any("word" in k for k in keys)
+    assert plan.index("Generate explode") < plan.index("Exchange hashpartitioning(year_month")
+    read = {f.split("/")[-2].split("-")[0] for f in df.inputFiles()}
+    assert read == {"texts"}
+    assert _rows(df)[:2] == [("2010-01-01", "a b a", 3, 0.6), ("2010-01-01", "b a b", 2, 0.4)]
+
+
+@pytest.mark.parametrize("most", [1 << 27, 3, 0])
+@pytest.mark.parametrize("n", [2, 3])
+def test_ngrams_of_small_and_large_months(spark, monkeypatch, n, most):
+    """Odd bodies, months without n-grams, NULL months; no month, some and all too large for a task."""
+    monkeypatch.setattr(FQ, "MOST", most)
+    c = _comments(spark)
+    got, want = FQ.monthly_ngrams(c, n), FQ.with_frequency(FQ.word_counts(c, n))
+    assert _rows(got) == _rows(want) and got.dtypes == want.dtypes
+
+
+def test_texts_are_tokenised_once_and_give_the_tokens_back(spark):
+    c = _comments(spark)
+    texts = FQ.token_texts(c, 3)
+    assert texts._jdf.queryExecution().executedPlan().toString().count("split(") == 1
+    want = [tuple(r) for r in c.filter("body is not null and year_month is not null").select("year_month", tokens("body")).collect()]
+    got = [tuple(r) for r in texts.select("year_month", F.split("text", " ")).collect()]
+    assert sorted(got) == sorted(want)
+    assert sorted(r["grams"] for r in texts.collect()) == sorted(max(0, len(t) - 2) for _, t in want)
+    assert {r["year_month"] for r in texts.collect()} == {date(2010, 1, 1), date(2010, 2, 1), date(2010, 3, 1)}
+
+
+def test_month_limit():
+    assert FQ.month_limit(0, 8) == FQ.LEAST and FQ.month_limit(80 * FQ.LEAST, 8) == 20 * FQ.LEAST
+    assert FQ.month_limit(10**12, 8) == FQ.MOST and FQ.month_limit(10**9, 0) == FQ.MOST
+
+
+def test_texts_take_less_room_than_counts(spark):
+    """What is stored: the texts, compressed, against every n-gram with its count."""
+    c = _comments(spark, [(f"word{i} other{i * 7} some{i % 5} thing{i * i} here{i}", "2010-01-01") for i in range(4000)])
+    size = lambda df: sum(os.path.getsize(f.removeprefix("file://")) for f in df.inputFiles())
+    counts = FQ.stored(FQ.counts_and_totals(c, 3), "ngrams")
+    assert size(FQ.monthly_ngrams(c, 3)) < 0.7 * size(counts)
