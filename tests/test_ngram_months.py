@@ -22,13 +22,14 @@ def _rows(df):
     return sorted((str(r.year_month), r.word, r["count"], round(r.frequency, 12)) for r in df.collect())
 
 
-def test_trigrams_are_counted_where_the_months_texts_are(spark):
-    """No n-gram is shuffled (only texts, by month), and none is stored."""
+def test_trigrams_are_counted_where_the_months_texts_are(spark, monkeypatch):
+    """No n-gram is shuffled (only texts, by month, over partitions that stay apart), and none is stored."""
+    monkeypatch.setattr(FQ, "PART", 1)
     df = FQ.monthly_ngrams(_comments(spark), 3)
     plan = df._jdf.queryExecution().executedPlan().toString()
     keys = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
     assert "Generate explode" in plan and keys and not any("word" in k for k in keys)
-    assert plan.index("Generate explode") < plan.index("Exchange hashpartitioning(year_month")
+    assert plan.index("Generate explode") < plan.index("REPARTITION_BY_NUM") < plan.index("BroadcastExchange")
     read = {f.split("/")[-2].split("-")[0] for f in df.inputFiles()}
     assert read == {"texts"}
     assert _rows(df)[:2] == [("2010-01-01", "a b a", 3, 0.6), ("2010-01-01", "b a b", 2, 0.4)]
